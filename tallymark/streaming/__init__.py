@@ -1,0 +1 @@
+"""No streams: a run reads finished tables and files, so nothing lives here."""
