@@ -137,15 +137,15 @@ def export_metrics(tables: DataFrame, type_map: DataFrame) -> DataFrame:
     that allows them; ``position`` keeps that order.
     """
     sums = tables.select(*TABLE_KEY, F.posexplode(name_list(F.col("sum_cols"))).alias("place", "col")).select(
-        *TABLE_KEY, F.lit("SUM").alias("func"), "col", F.struct(F.lit(0).alias("rank"), "place").alias("position")
+        *TABLE_KEY, F.lit("SUM").alias("func"), "col", F.struct(F.lit(0).alias("rank"), F.col("place").cast("bigint").alias("place")).alias("position")
     )
     ordered = type_map.where(
         (strip(F.coalesce("gp_column", F.lit(""))) != "") & types.is_min_max_candidate(F.col("gp_type"), F.col("ext_type"))
-    ).select(*TABLE_KEY, strip(F.col("gp_column")).alias("col"), F.col("ordinal").cast("int").alias("place"))
+    ).select(*TABLE_KEY, strip(F.col("gp_column")).alias("col"), F.col("ordinal").alias("place"))
     extremes = (
         ordered.join(tables.select(*TABLE_KEY).distinct(), TABLE_KEY, "left_semi")
-        .withColumn("f", F.explode(F.array(F.struct(F.lit(1).alias("rank"), F.lit("MIN").alias("func")), F.struct(F.lit(2), F.lit("MAX")))))
-        .select(*TABLE_KEY, "f.func", "col", F.struct("f.rank", "place").alias("position"))
+        .withColumn("f", F.explode(F.array(F.struct(F.lit(1).alias("rank"), F.lit("MIN").alias("func")), F.struct(F.lit(2).alias("rank"), F.lit("MAX").alias("func")))))
+        .select(*TABLE_KEY, "f.func", "col", F.struct("f.rank", F.col("place").cast("bigint").alias("place")).alias("position"))
     )
     return sums.unionByName(extremes)
 

@@ -79,7 +79,9 @@ def _whole_number(kind: T.DataType) -> bool:
     return isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
-_NAMED = {"long": T.LongType(), "date": T.DateType(), "timestamp": T.TimestampType(), "double": T.DoubleType()}
+_NAMED = {
+    "long": T.LongType(), "date": T.DateType(), "timestamp": T.TimestampType(), "double": T.DoubleType(), "string": T.StringType(),
+}
 
 
 def _aggregate(df: DataFrame, metric: Metric, of_copy: bool, whole_seconds: bool) -> Column:
@@ -87,10 +89,14 @@ def _aggregate(df: DataFrame, metric: Metric, of_copy: bool, whole_seconds: bool
     value = name(metric.col)
     if metric.cast is not None:
         value = read_as(value, kind, metric.cast)
-        kind = _NAMED.get(metric.cast, kind if metric.cast == kind.simpleString() else T.StringType())
+        kind = T.DecimalType() if metric.cast.startswith("decimal") else _NAMED[metric.cast]
     if metric.func == "SUM":
         # Twenty digits hold any bigint, so the sum gets thirty: no overflow.
-        total = F.try_sum(value.cast("decimal(20,0)") if _whole_number(kind) else value).cast("string")
+        if _whole_number(kind):
+            value = value.cast("decimal(20,0)")
+        elif isinstance(kind, T.StringType):
+            value = value.try_cast("double")
+        total = F.try_sum(value).cast("string")
         return total if of_copy else F.coalesce(total, F.lit("0"))
     extreme = _as_shown(F.min(value) if metric.func == "MIN" else F.max(value), kind, whole_seconds)
     return extreme if of_copy else F.coalesce(extreme, F.lit(""))

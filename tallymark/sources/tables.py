@@ -103,3 +103,13 @@ def changed_tables(files: DataFrame, manifest: DataFrame, key: str = "directory"
 def ingest(spark: SparkSession, source: str, target: str) -> None:
     """Copy one table's Parquet files, replacing what is at the target."""
     spark.read.parquet(source).write.mode("overwrite").parquet(target)
+
+
+def ingest_family(spark: SparkSession, sources: Mapping[str, str], target: str, column: str = "table") -> None:
+    """Copy the given physical partitions of a table in one job.
+
+    Each lands in a folder of its own below ``target``, replacing what is
+    there; partitions not given stay as they are.
+    """
+    writer = parquet_family(spark, sources, column).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(target)
