@@ -107,7 +107,7 @@ ORACLE["line_decode"] = _long(EVENTS, EVENT_METRICS, "'user_' || user_id", by="u
 ORACLE["line_parse"] = """
     SELECT o_orderkey,
            CASE WHEN o_orderpriority <> '1-URGENT' THEN 't_' || o_orderkey END AS "table",
-           CASE o_orderpriority WHEN '3-MEDIUM' THEN 7 WHEN '4-NOT SPECIFIED' THEN 0 WHEN '5-LOW' THEN 5 END AS row_count,
+           CAST(CASE o_orderpriority WHEN '3-MEDIUM' THEN 7 WHEN '4-NOT SPECIFIED' THEN 0 WHEN '5-LOW' THEN 5 END AS BIGINT) AS row_count,
            CASE o_orderpriority WHEN '2-HIGH' THEN 'SUM(a):1' WHEN '3-MEDIUM' THEN 'SUM(a):6'
                 WHEN '5-LOW' THEN 'SUM(a):6,MAX(c):x,y:z' ELSE '' END AS metric_text,
            CASE o_orderpriority WHEN '3-MEDIUM' THEN 'MIN_MAX_STATUS: DATA_TYPE_FILE_MISSING' ELSE '' END AS line_remark,
@@ -409,8 +409,8 @@ ORACLE["compare_metrics_exact"] = " UNION ALL ".join([
     _exact(LINEITEM, "lineitem", LINEITEM_METRICS, set(), LINEITEM_AMOUNTS, "l_suppkey"),
 ])
 ORACLE["table_status_many"] = """
-    SELECT 'customer_1_prt_' || c_nationkey AS "table", count(*) AS source_count, count(*) AS copy_count, 3 AS total_metrics,
-           0 AS mismatch_metrics, 'WARNING' AS status, 'Success' AS remark
+    SELECT 'customer_1_prt_' || c_nationkey AS "table", count(*) AS source_count, count(*) AS copy_count, CAST(3 AS BIGINT) AS total_metrics,
+           CAST(0 AS BIGINT) AS mismatch_metrics, 'WARNING' AS status, 'Success' AS remark
     FROM customer GROUP BY c_nationkey
     UNION ALL
     SELECT "table", n, n, 7, wrong, CASE wrong WHEN 0 THEN 'COMPLETED' ELSE 'FAILED' END,
@@ -438,7 +438,8 @@ FAILED = """failed AS (
                     ELSE 'Error: An error nobody knows. An error nobody k...' END AS reason
         FROM customer),
     unsuccessful AS (
-        SELECT "table", 0 AS source_count, 0 AS copy_count, 0 AS total_metrics, 0 AS mismatch_metrics,
+        SELECT "table", CAST(0 AS BIGINT) AS source_count, CAST(0 AS BIGINT) AS copy_count,
+               CAST(0 AS BIGINT) AS total_metrics, CAST(0 AS BIGINT) AS mismatch_metrics,
                CASE WHEN has_copy THEN 'FAILED' ELSE 'SKIPPED' END AS status,
                CASE WHEN has_copy THEN reason || ' | ' || substr(replace(error, '''', ''), 1,
                         CASE WHEN reason LIKE 'PySpark%' THEN 198 ELSE 200 END)

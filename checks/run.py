@@ -14,6 +14,9 @@ from checks.queries import QUERIES
 from checks.tables import TABLES
 
 
+SAME_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER"}
+
+
 def _cell(value):
     if isinstance(value, bool):
         return str(int(value))
@@ -42,6 +45,10 @@ def compare(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, float]:
     want = _sorted_rows(names, answer.fetchall())
     if sorted(names) != sorted(df.columns):
         return f"DIFFERENT columns: {sorted(df.columns)} / {sorted(names)}", seconds
+    kinds = dict(df.dtypes)
+    odd = {n: (kinds[n], str(d[1])) for n, d in zip(names, answer.description) if SAME_TYPE.get(kinds[n]) != str(d[1])}
+    if odd:
+        return f"DIFFERENT types: {odd}", seconds
     if got != want:
         only = [r for r in got if r not in set(want)][:2], [r for r in want if r not in set(got)][:2]
         return f"DIFFERENT: {len(got)} / {len(want)} rows; query only {only[0]}; SQL only {only[1]}", seconds

@@ -1,25 +1,36 @@
 """Profiles: the row count and SUM, MIN, MAX of columns, in long form.
 
 A profile has the columns ``func, col, value, position`` (after any grouping
-columns), all values as text. The row count is the row ``COUNT`` of ``*``. One
-profile is one aggregate over one scan; partial aggregation leaves a single
-row per task and group to shuffle.
+columns), all values as text. The row count is the row ``COUNT`` of ``*``.
+
+A profile is one aggregate over one scan, and partial aggregation leaves one
+row per task and group to shuffle. Only a wide table is profiled in several
+passes, each over columns of its own: an aggregate over hundreds of columns
+compiles to methods the JVM does not optimise, and takes four times as long as
+passes of twenty. A columnar file still gives every column once.
+
+Expressions are written as SQL text, since building hundreds of metrics from
+Column calls takes the driver longer than running them.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.functions.text import name
-
 COUNT, EVERY_ROW = "COUNT", "*"
 FUNCTIONS = ("SUM", "MIN", "MAX")
+COLUMNS_PER_PASS = 20
+
+_CAST = re.compile(r"string|long|date|timestamp|double|decimal\(\s*\d+\s*(,\s*\d+\s*)?\)")
+_WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_TIMES = (T.TimestampType, T.TimestampNTZType)
 
 
 class Metric(NamedTuple):
@@ -45,61 +56,76 @@ def filtered(df: DataFrame, predicate: str | None) -> DataFrame:
     return df.where(F.expr(predicate))
 
 
-def read_as(value: Column, source: T.DataType, target: str) -> Column:
-    """Cast a copy's value; what cannot be read becomes NULL, never an error.
-
-    Text read as ``long`` loses its fraction, like a plain numeric cast.
-    """
-    if target == "long":
-        whole = value.try_cast("bigint")
-        if isinstance(source, T.StringType):
-            before_point = F.regexp_extract(value, r"^\s*([+-]?\d+)\.\d*\s*$", 1)
-            return F.coalesce(whole, before_point.try_cast("bigint"))
-        return whole
-    if target == "string":
-        return value.cast("string")
-    return value.try_cast(target)
-
-
-def _type_of(schema: T.StructType, column: str) -> T.DataType:
-    matches = [f.dataType for f in schema.fields if f.name == column]
-    matches = matches or [f.dataType for f in schema.fields if f.name.lower() == column.lower()]
-    if not matches:
-        raise ValueError(f"Column '{column}' not found")
-    return matches[0]
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
 
 
-def _as_shown(value: Column, kind: T.DataType, whole_seconds: bool) -> Column:
-    if whole_seconds and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
-    return value.cast("string")
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _whole_number(kind: T.DataType) -> bool:
-    return isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+def read_as(value: str, source: T.DataType, cast: str) -> str:
+    """SQL that reads a copy's value as a type; what cannot be read becomes NULL, never an error.
 
-
-_NAMED = {
-    "long": T.LongType(), "date": T.DateType(), "timestamp": T.TimestampType(), "double": T.DoubleType(), "string": T.StringType(),
-}
+    Text read as ``long`` loses its fraction, like a plain numeric cast.
+    """
+    if not _CAST.fullmatch(cast):
+        raise ValueError(f"Type '{cast}' is not one a copy is read as")
+    if cast != "long":
+        return f"try_cast({value} AS {cast})"
+    whole = f"try_cast({value} AS bigint)"
+    if not isinstance(source, T.StringType):
+        return whole
+    before_point = rf"regexp_extract({value}, r'^\s*([+-]?\d+)\.\d*\s*$', 1)"
+    return f"coalesce({whole}, try_cast({before_point} AS bigint))"
 
 
-def _aggregate(df: DataFrame, metric: Metric, of_copy: bool, whole_seconds: bool) -> Column:
-    kind = _type_of(df.schema, metric.col)
-    value = name(metric.col)
-    if metric.cast is not None:
-        value = read_as(value, kind, metric.cast)
-        kind = T.DecimalType() if metric.cast.startswith("decimal") else _NAMED[metric.cast]
+def _shown(metric: Metric, value: str, kind: T.DataType, of_copy: bool, whole_seconds: bool) -> str:
+    """SQL that aggregates an input column and shows the result as text."""
     if metric.func == "SUM":
-        # Twenty digits hold any bigint, so the sum gets thirty: no overflow.
-        if _whole_number(kind):
-            value = value.cast("decimal(20,0)")
+        if isinstance(kind, _WHOLE_NUMBERS):
+            # Twenty digits hold any bigint, so the sum gets thirty: no overflow.
+            value = f"cast({value} AS decimal(20,0))"
         elif isinstance(kind, T.StringType):
-            value = value.try_cast("double")
-        total = F.try_sum(value).cast("string")
-        return total if of_copy else F.coalesce(total, F.lit("0"))
-    extreme = _as_shown(F.min(value) if metric.func == "MIN" else F.max(value), kind, whole_seconds)
-    return extreme if of_copy else F.coalesce(extreme, F.lit(""))
+            value = f"try_cast({value} AS double)"
+        shown, nothing = f"cast(try_sum({value}) AS string)", "'0'"
+    else:
+        extreme = f"{metric.func}({value})"
+        in_seconds = whole_seconds and isinstance(kind, _TIMES)
+        shown = f"date_format({extreme}, 'yyyy-MM-dd HH:mm:ss')" if in_seconds else f"cast({extreme} AS string)"
+        nothing = "''"
+    return shown if of_copy else f"coalesce({shown}, {nothing})"
+
+
+def _one_pass(
+    df: DataFrame, by: Sequence[str], metrics: Sequence[tuple[int, Metric]], with_count: bool, of_copy: bool, whole_seconds: bool
+) -> DataFrame:
+    fields = {f.name.lower(): f.dataType for f in df.schema.fields}
+    groups = [_quoted(c) for c in by]
+    # Columns are read and cast once, below the aggregate, whatever the number
+    # of metrics over them.
+    reads, inputs = [], {}
+    for _, metric in metrics:
+        key = metric.col, metric.cast
+        if key not in inputs:
+            value, kind = _quoted(metric.col), fields[metric.col.lower()]
+            inputs[key] = f"input_{len(inputs)}"
+            reads.append(f"{value if metric.cast is None else read_as(value, kind, metric.cast)} AS {inputs[key]}")
+    base = df.selectExpr(*groups, *reads)
+    kinds = {f.name: f.dataType for f in base.schema.fields}
+
+    aggregates, rows = [], []
+    if with_count:
+        aggregates.append("cast(count(1) AS string) AS metric_0")
+        rows.append(f"struct('{COUNT}' AS func, '{EVERY_ROW}' AS col, metric_0 AS value, 0 AS position)")
+    for position, metric in metrics:
+        column = inputs[metric.col, metric.cast]
+        aggregates.append(f"{_shown(metric, column, kinds[column], of_copy, whole_seconds)} AS metric_{position}")
+        rows.append(
+            f"struct('{metric.func}' AS func, {_literal(metric.col)} AS col, metric_{position} AS value, {position} AS position)"
+        )
+    wide = base.groupBy(*by).agg(*[F.expr(a) for a in aggregates])
+    return wide.selectExpr(*groups, f"inline(array({', '.join(rows)}))")
 
 
 def profile(
@@ -108,40 +134,39 @@ def profile(
     by: Sequence[str] = (),
     of_copy: bool = False,
     whole_seconds: bool | None = None,
+    columns_per_pass: int | None = COLUMNS_PER_PASS,
 ) -> DataFrame:
     """Profile a DataFrame, as one table or per group of ``by``.
 
     On the source side a SUM of nothing is ``0`` and an extreme of nothing is
     the empty text. On the copy's side (``of_copy``) both stay NULL, and
     timestamps are shown in whole seconds unless ``whole_seconds`` says
-    otherwise.
+    otherwise. ``columns_per_pass=None`` keeps a wide table to one pass, for
+    sources that are read row by row or may change in between.
     """
-    whole_seconds = of_copy if whole_seconds is None else whole_seconds
+    known = {c.lower() for c in df.columns}
     for metric in metrics:
         if metric.func not in FUNCTIONS:
             raise ValueError(f"Function '{metric.func}' is not one of {', '.join(FUNCTIONS)}")
-    labels = [(COUNT, EVERY_ROW)] + [(m.func, m.col) for m in metrics]
-    values = [F.count(F.lit(1)).cast("string")] + [_aggregate(df, m, of_copy, whole_seconds) for m in metrics]
-    wide = df.groupBy(*by).agg(*[v.alias(f"metric_{i}") for i, v in enumerate(values)])
-    rows = [
-        F.struct(
-            F.lit(func).alias("func"),
-            F.lit(col).alias("col"),
-            F.col(f"metric_{i}").alias("value"),
-            F.lit(i).alias("position"),
-        )
-        for i, (func, col) in enumerate(labels)
-    ]
-    return wide.select(*by, F.inline(F.array(*rows)))
+        if metric.col.lower() not in known:
+            raise ValueError(f"Column '{metric.col}' not found")
+    whole_seconds = of_copy if whole_seconds is None else whole_seconds
+    size = columns_per_pass or max(len(metrics), 1)
+    columns = list(dict.fromkeys(m.col for m in metrics))
+    numbered = list(enumerate(metrics, 1))
+    passes = [set(columns[i : i + size]) for i in range(0, len(columns), size)] or [set()]
+    return all_profiles([
+        _one_pass(df, by, [(i, m) for i, m in numbered if m.col in chosen], first, of_copy, whole_seconds)
+        for first, chosen in zip([True] + [False] * len(passes), passes)
+    ])
 
 
 def profile_table(
     df: DataFrame, db: str, schema: str, table: str, metrics: Sequence[Metric] = (), **options
 ) -> DataFrame:
     """The profile of one table, under its identity."""
-    identity = {"db": F.lit(db), "schema": F.lit(schema), "table": F.lit(table)}
     long = profile(df, metrics, **options)
-    return long.select(*[v.alias(k) for k, v in identity.items()], *long.columns)
+    return long.select(F.lit(db).alias("db"), F.lit(schema).alias("schema"), F.lit(table).alias("table"), *long.columns)
 
 
 def profile_family(
@@ -153,7 +178,7 @@ def profile_family(
     """
     long = profile(df, metrics, by=[table], **options)
     rest = ["func", "col", "value", "position"]
-    return long.select(F.lit(db).alias("db"), F.lit(schema).alias("schema"), F.col(table).alias("table"), *rest)
+    return long.select(F.lit(db).alias("db"), F.lit(schema).alias("schema"), F.col(_quoted(table)).alias("table"), *rest)
 
 
 def all_profiles(profiles: Sequence[DataFrame]) -> DataFrame:
