@@ -477,3 +477,68 @@ ORACLE["incremental_changed"] = """
 ORACLE["incremental_ingest"] = _long(
     f"(SELECT * FROM {LINEITEM} WHERE l_returnflag <> 'A')", LINEITEM_METRICS, "'lineitem_1_prt_' || l_returnflag", by="l_returnflag"
 )
+
+# --- whole runs --------------------------------------------------------------
+
+
+def _text(metrics: list[tuple[str, str]]) -> str:
+    return " || ',' || ".join(f"'{f}({c}):' || {_metric(f, c)}" for f, c in metrics)
+
+
+ALL_LINEITEM = _sums("l_quantity", "l_extendedprice", "l_orderkey") + _extremes(*LINEITEM_COLUMNS)
+ALL_EVENTS = _sums("value") + _extremes("event_id", "ts", "user_id", "event_type", "value", "props")
+NOTE = "MIN_MAX_STATUS: DATA_TYPE_FILE_MISSING"
+ORACLE["export_run_lines"] = f"""
+    SELECT 'whs' AS db, 'sales' AS "schema", 'lineitem' AS "table", count(*) AS row_count, {_text(ALL_LINEITEM)} AS metric_text,
+           '' AS line_remark, CAST(NULL AS VARCHAR) AS reason FROM {LINEITEM}
+    UNION ALL
+    SELECT 'whs', 'sales', 'events', count(*), {_text(ALL_EVENTS)}, '', NULL FROM {EVENTS} WHERE value > 10
+    UNION ALL
+    SELECT 'whs', 'sales', 'documents', count(*), 'SUM(n_chars):' || sum(n_chars), '{NOTE}', NULL FROM documents"""
+ORACLE["export_run_status"] = """
+    SELECT * FROM (VALUES ('lineitem', 'SUCCESS', '-'), ('events', 'SUCCESS', '-'),
+        ('documents', 'WARNING', 'Count/Sum successful, unable to process min/max because the data type mapping file was not found.'),
+        ('customer', 'FAILED', 'Column ''no_such_column'' not found'), ('part', 'SKIPPED', 'No Config'),
+        ('nothing_here', 'FAILED', 'no such path')) AS r("table", status, remark)"""
+YEARS = f"""years AS (
+        SELECT 'orders_1_prt_' || year(o_orderdate) AS "table", count(*) AS source_count,
+               count(*) FILTER (NOT (year(o_orderdate) = 1996 AND o_orderpriority = '5-LOW')) AS copy_count,
+               sum(o_totalprice) AS total, min(o_totalprice) AS t0, max(o_totalprice) AS t1, sum(o_orderkey) AS keys,
+               min(o_orderkey) AS k0, max(o_orderkey) AS k1, min(o_custkey) AS c0, max(o_custkey) AS c1,
+               min(o_orderstatus) AS s0, max(o_orderstatus) AS s1, min(o_orderdate) AS d0, max(o_orderdate) AS d1,
+               min(o_orderpriority) AS p0, max(o_orderpriority) AS p1
+        FROM {ORDERS} GROUP BY 1),
+    copied AS (
+        SELECT 'orders_1_prt_' || year(o_orderdate) AS "table", sum(price) AS total, min(price) AS t0, max(price) AS t1,
+               sum(o_orderkey) AS keys, min(o_orderkey) AS k0, max(o_orderkey) AS k1, min(o_custkey) AS c0, max(o_custkey) AS c1,
+               min(o_orderstatus) AS s0, max(o_orderstatus) AS s1, min(o_orderdate) AS d0, max(o_orderdate) AS d1,
+               min(o_orderpriority) AS p0, max(o_orderpriority) AS p1
+        FROM (SELECT *, CASE WHEN year(o_orderdate) = 1997 AND o_orderstatus = 'P' THEN o_totalprice * 2 ELSE o_totalprice END AS price
+              FROM {ORDERS} WHERE NOT (year(o_orderdate) = 1996 AND o_orderpriority = '5-LOW'))
+        GROUP BY 1),
+    wrong AS (
+        SELECT y."table", source_count, copy_count,
+               {' + '.join(f'CAST(y.{m} <> c.{m} AS INTEGER)' for m in ('total', 't0', 't1', 'keys', 'k0', 'k1', 'c0', 'c1', 's0', 's1', 'd0', 'd1', 'p0', 'p1'))}
+               AS mismatched
+        FROM years y JOIN copied c ON y."table" = c."table"),
+    run AS (
+        SELECT "table", source_count, copy_count, CAST(14 AS BIGINT) AS total_metrics, CAST(mismatched AS BIGINT) AS mismatch_metrics,
+               CASE WHEN source_count = copy_count AND mismatched = 0 THEN 'COMPLETED' ELSE 'FAILED' END AS status,
+               CASE WHEN source_count <> copy_count THEN 'Count Mismatch' WHEN mismatched = 0 THEN 'Success'
+                    ELSE 'Data Mismatch (' || mismatched || '/14)' END AS remark
+        FROM wrong
+        UNION ALL
+        SELECT 'customer', count(*), count(*), 1, 0, 'WARNING', 'Success | {NOTE}' FROM customer
+        UNION ALL
+        SELECT 'gone', 0, 0, 0, 0, 'FAILED',
+               'Source Parquet Not Found (Check Mount/Path) | Local path not found or inaccessible: /copy/gone'
+        UNION ALL
+        SELECT 'part', 0, 0, 0, 0, 'SKIPPED', 'SKIPPED: Status is not SUCCEEDED in any log files')"""
+ORACLE["reconcile_run"] = f"WITH {YEARS} SELECT * FROM run"
+ORACLE["reconcile_run_logs"] = f"""
+    WITH {YEARS}
+    SELECT 'run-1' AS execution_id, lower(status) AS outcome, count(*) AS n FROM run GROUP BY status
+    UNION ALL
+    SELECT 'run-1', outcome, CAST(n AS BIGINT) FROM (
+        SELECT unnest([{{'outcome': 'Matched', 'n': sum(total_metrics - mismatch_metrics)}},
+                       {{'outcome': 'Mismatch', 'n': sum(mismatch_metrics)}}], recursive := true) FROM run)"""

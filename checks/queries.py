@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.runs import RUNS
 from checks.tables import (
     DB, TABLES, TYPE_NAMES, as_text_copy, customers, master_lines, order_table, order_type_map, read, source, type_map_of,
 )
@@ -569,4 +570,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         compare_metrics, compare_metrics_exact, table_status, table_status_many, failure_class, export_status, run_summary,
         table_log, column_log, export_gzip, export_content_parquet, export_lines, incremental_changed, incremental_ingest,
     )
-}
+} | RUNS
