@@ -28,7 +28,7 @@ UNDEFINED = "�"
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(" \t\n\r\x0b\x0c"))
 
 
 def name(column: str) -> Column:

@@ -71,13 +71,11 @@ def read_as(value: str, source: T.DataType, cast: str) -> str:
     """
     if not _CAST.fullmatch(cast):
         raise ValueError(f"Type '{cast}' is not one a copy is read as")
-    if cast != "long":
-        return f"try_cast({value} AS {cast})"
-    whole = f"try_cast({value} AS bigint)"
-    if not isinstance(source, T.StringType):
-        return whole
-    before_point = rf"regexp_extract({value}, r'^\s*([+-]?\d+)\.\d*\s*$', 1)"
-    return f"coalesce({whole}, try_cast({before_point} AS bigint))"
+    if cast == "long" and isinstance(source, T.StringType):
+        # A text that is no number is told apart before the cast, which would
+        # throw and catch an exception for each.
+        value = rf"nullif(regexp_extract({value}, r'^\s*([+-]?\d+)(?:\.\d*)?\s*$', 1), '')"
+    return f"try_cast({value} AS {cast})"
 
 
 def _shown(metric: Metric, value: str, kind: T.DataType, of_copy: bool, whole_seconds: bool) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from typing import NamedTuple
 
@@ -33,25 +34,19 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _batches(requests: Sequence[Request], size: int) -> Iterator[list[Request]]:
-    batch, held = [], 0
-    for request in requests:
-        batch.append(request)
-        held += 1
-        if held >= size:
-            yield batch
-            batch, held = [], 0
-    if batch:
-        yield batch
+def _batches(requests: Sequence[Request], size: int) -> Iterator[Sequence[Request]]:
+    for start in range(0, len(requests), size):
+        yield requests[start : start + size]
 
 
-def _one_by_one(requests: Sequence[Request]) -> list[Request]:
-    return [Request((table,), r.build) for r in requests for table in r.tables]
-
-
-def _write(requests: Sequence[Request], folder: str) -> None:
-    profiles = all_profiles([r.build(r.tables) for r in requests])
-    profiles.coalesce(1).write.mode("append").parquet(folder)
+def _built(request: Request) -> list[tuple[tuple, DataFrame | Exception]]:
+    """The request's profile, or its tables' one by one if it cannot be planned."""
+    try:
+        return [(request.tables, request.build(request.tables))]
+    except Exception as failure:
+        if len(request.tables) == 1:
+            return [(request.tables, failure)]
+        return [built for table in request.tables for built in _built(Request((table,), request.build))]
 
 
 def write_profiles(
@@ -60,25 +55,36 @@ def write_profiles(
     """Write the profiles of all requests below ``folder``, a batch per job.
 
     A batch is the union of its profiles, so its tables run side by side and
-    its plan stays bounded. A batch that fails leaves nothing behind and runs
-    again table by table, so that one bad table costs only itself. Tables that
-    fail have no rows in the folder; the error tells why.
+    its plan stays bounded. A table that cannot be planned is left out; a batch
+    that fails while running leaves nothing behind and runs again table by
+    table. So one bad table costs only itself: it has no rows in the folder,
+    and its error tells why.
     """
     spark.createDataFrame([], PROFILE_SCHEMA).write.mode("append").parquet(folder)
     outcomes = []
     for batch in _batches(requests, batch_size):
         started = _now()
+        # Planning reads file footers, so the wait is for storage.
+        with ThreadPoolExecutor(8) as pool:
+            built = [b for found in pool.map(_built, batch) for b in found]
+        good = [(tables, df) for tables, df in built if isinstance(df, DataFrame)]
+        outcomes += [Outcome(tables[0], started, _now(), str(e)) for tables, e in built if not isinstance(e, DataFrame)]
         try:
-            _write(batch, folder)
+            if good:
+                _write([df for _, df in good], folder)
         except Exception:
-            for single in _one_by_one(batch):
+            build = {table: r.build for r in batch for table in r.tables}
+            for table in [t for tables, _ in good for t in tables]:
                 started, error = _now(), None
                 try:
-                    _write([single], folder)
+                    _write([build[table]((table,))], folder)
                 except Exception as failure:
                     error = str(failure)
-                outcomes.append(Outcome(single.tables[0], started, _now(), error))
+                outcomes.append(Outcome(table, started, _now(), error))
         else:
-            ended = _now()
-            outcomes.extend(Outcome(table, started, ended, None) for r in batch for table in r.tables)
+            outcomes += [Outcome(table, started, _now(), None) for tables, _ in good for table in tables]
     return outcomes
+
+
+def _write(profiles: Sequence[DataFrame], folder: str) -> None:
+    all_profiles(profiles).write.mode("append").parquet(folder)
