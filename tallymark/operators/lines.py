@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions import rules
@@ -16,7 +16,7 @@ from tallymark.operators.profile import COUNT, EVERY_ROW
 STATUS = "MIN_MAX_STATUS"
 # Fixed value: how a metric reads in a line. A value ends where the next metric
 # begins, so it may hold commas and colons.
-METRIC = r"(?is)(SUM|MIN|MAX)\(([^)]*)\):(.*?)(?=,\s*(?:SUM|MIN|MAX)\([^)]*\):|$)"
+METRIC = r"(?is)(SUM|MIN|MAX)\(([^()]*)\):(.*?)(?=,\s*(?:SUM|MIN|MAX)\([^()]*\):|$)"
 
 
 def mark_missing_type_map(tables: DataFrame) -> DataFrame:
@@ -55,7 +55,10 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """
     fields = F.split(strip(F.col("value")), r"\|")
     metric_text = strip(F.coalesce(F.get("fields", F.lit(4)), F.lit("")))
-    before_status = F.regexp_replace(strip(F.substring_index("metric_text", rules.STATUS_TOKEN, 1)), ",+$", "")
+    has_status = F.contains("metric_text", F.lit(rules.STATUS_TOKEN))
+    before_status = F.when(
+        has_status, F.rtrim(strip(F.substring_index("metric_text", rules.STATUS_TOKEN, 1)), F.lit(","))
+    ).otherwise(F.col("metric_text"))
     after_status = strip(F.get(F.split("metric_text", rules.STATUS_TOKEN), F.lit(1)))
     count = F.get("fields", F.lit(3))
     reason = F.when((F.size("fields") < 4) | ~F.coalesce(count.rlike(r"^\s*[+-]?\d+\s*$"), F.lit(False)), F.lit("Failed to parse GP Result"))
@@ -87,6 +90,10 @@ def latest_lines(parsed: DataFrame) -> DataFrame:
     )
 
 
+def _row(func: Column, col: Column, value: Column, position: Column) -> Column:
+    return F.struct(func.alias("func"), col.alias("col"), value.alias("value"), position.alias("position"))
+
+
 def decode_lines(parsed: DataFrame) -> DataFrame:
     """Parsed lines -> profile rows, with the count and any status note."""
 
@@ -105,21 +112,10 @@ def decode_lines(parsed: DataFrame) -> DataFrame:
             F.slice(F.col("found"), i + 2, F.size("found")), lambda n: (n["func"] == m["func"]) & (n["col"] == m["col"])
         ),
     )
-    columns = "func string, col string, value string, position int"
-    metrics = F.transform(
-        F.col("kept"),
-        lambda m, i: F.struct(m["func"].alias("func"), m["col"].alias("col"), m["value"].alias("value"), (i + 1).alias("position")),
-    )
-    status = strip(F.replace(F.col("line_remark"), F.lit(rules.STATUS_TOKEN), F.lit("")))
-    notes = F.when(
-        F.col("line_remark") != "",
-        F.array(F.struct(F.lit(STATUS), F.lit(""), status, F.lit(2**31 - 1))).cast(f"array<struct<{columns.replace(' ', ':').replace(',:', ',')}>>"),
-    ).otherwise(F.array().cast(f"array<struct<{columns.replace(' ', ':').replace(',:', ',')}>>"))
-    count = F.array(
-        F.struct(
-            F.lit(COUNT).alias("func"), F.lit(EVERY_ROW).alias("col"), F.col("row_count").cast("string").alias("value"), F.lit(0).alias("position")
-        )
-    )
+    metrics = F.transform("kept", lambda m, i: _row(m["func"], m["col"], m["value"], i + 1))
+    status = strip(F.replace("line_remark", F.lit(rules.STATUS_TOKEN), F.lit("")))
+    notes = F.filter(F.array(_row(F.lit(STATUS), F.lit(""), status, F.lit(2**31 - 1))), lambda _: F.col("line_remark") != "")
+    count = F.array(_row(F.lit(COUNT), F.lit(EVERY_ROW), F.col("row_count").cast("string"), F.lit(0)))
     return (
         parsed.where(F.col("reason").isNull())
         .withColumn("found", found)
