@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from datetime import date
 
@@ -12,11 +13,14 @@ CONTENT = ["hash_key", "key", "hash_content", "content"]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the shared folder the cluster names.
+    """A new folder below the shared folder that the session names.
 
-    The session's ``spark.checkpoint.dir`` must be a path every executor sees.
+    ``spark.checkpoint.dir`` must be a path every executor sees. Only a local
+    session, which has a single machine, may go without it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and spark.sparkContext.master.startswith("local"):
+        root = tempfile.mkdtemp()
     if not root:
         raise ValueError("spark.checkpoint.dir is not set")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"

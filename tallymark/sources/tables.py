@@ -66,10 +66,14 @@ def parquet_family(spark: SparkSession, paths: Mapping[str, str], column: str =
     names = {directory.rstrip("/").rsplit("/", 1)[-1]: table for table, directory in paths.items()}
     if len(names) < len(paths):
         raise ValueError("Two partitions have the same directory name")
-    directory = F.url_decode(F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+$", 1))
-    if any(last != table for last, table in names.items()):
-        directory = F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), directory)
-    return spark.read.option("mergeSchema", True).parquet(*paths.values()).withColumn(column, directory)
+    encoded = F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1)
+    directory = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    family = spark.read.option("mergeSchema", True).parquet(*paths.values())
+    if all(last == table for last, table in names.items()):
+        return family.withColumn(column, directory)
+    # One row per given path, so small enough to broadcast whatever the data.
+    named = F.broadcast(spark.createDataFrame(list(names.items()), ["last directory", column]))
+    return family.withColumn("last directory", directory).join(named, "last directory", "left").drop("last directory")
 
 
 # --- incremental ingest ------------------------------------------------------
