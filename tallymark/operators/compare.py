@@ -20,7 +20,8 @@ def compare_profiles(
 
     The row count must be equal. Other metrics follow their source type;
     ``exact`` compares decimals to the last digit instead of within a
-    tolerance. Values are shown with the scale of their type. A metric the
+    tolerance, and takes a SUM over nothing as ``0`` on the copy's side as on
+    the source's. Values are shown with the scale of their type. A metric the
     copy lacks reads as the empty text.
     """
     right = actual.select(*METRIC_KEY, F.col("value").alias("copy_value"))
@@ -29,6 +30,7 @@ def compare_profiles(
     expected_text, actual_text = F.col("source_text"), F.col("copy_text")
     as_number = rules.is_compared_as_number(func, source_type, expected_text, actual_text)
     scale = types.number_scale(source_type)
+    zero_if_absent = [COUNT, "SUM"] if exact else [COUNT]
 
     def shown(value):
         return F.when(as_number & (func != COUNT), rules.shown_number(value, scale)).otherwise(value)
@@ -43,7 +45,7 @@ def compare_profiles(
             F.coalesce("source_type", F.lit(types.UNMAPPED)).alias("source_type"),
             text.strip(F.coalesce("value", F.lit(""))).alias("source_text"),
             # A copy without rows has no group of its own in a family's profile.
-            text.strip(F.coalesce("copy_value", F.when(func == COUNT, "0").otherwise(""))).alias("copy_text"),
+            text.strip(F.coalesce("copy_value", F.when(func.isin(zero_if_absent), "0").otherwise(""))).alias("copy_text"),
         )
         .select(
             *METRIC_KEY,

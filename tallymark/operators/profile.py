@@ -96,7 +96,13 @@ def _shown(metric: Metric, value: str, kind: T.DataType, of_copy: bool, whole_se
 
 
 def _one_pass(
-    df: DataFrame, by: Sequence[str], metrics: Sequence[tuple[int, Metric]], with_count: bool, of_copy: bool, whole_seconds: bool
+    df: DataFrame,
+    by: Sequence[str],
+    metrics: Sequence[tuple[int, Metric]],
+    with_count: bool,
+    of_copy: bool,
+    whole_seconds: bool,
+    collation: str | None,
 ) -> DataFrame:
     fields = {f.name.lower(): f.dataType for f in df.schema.fields}
     groups = [_quoted(c) for c in by]
@@ -112,13 +118,18 @@ def _one_pass(
     base = df.selectExpr(*groups, *reads)
     kinds = {f.name: f.dataType for f in base.schema.fields}
 
+    def ordered(column: str, func: str) -> str:
+        as_is = collation is None or func == "SUM" or not isinstance(kinds[column], T.StringType)
+        return column if as_is else f"{column} COLLATE {collation}"
+
     aggregates, rows = [], []
     if with_count:
         aggregates.append("cast(count(1) AS string) AS metric_0")
         rows.append(f"struct('{COUNT}' AS func, '{EVERY_ROW}' AS col, metric_0 AS value, 0 AS position)")
     for position, metric in metrics:
         column = inputs[metric.col, metric.cast]
-        aggregates.append(f"{_shown(metric, column, kinds[column], of_copy, whole_seconds)} AS metric_{position}")
+        shown = _shown(metric, ordered(column, metric.func), kinds[column], of_copy, whole_seconds)
+        aggregates.append(f"{shown} AS metric_{position}")
         rows.append(
             f"struct('{metric.func}' AS func, {_literal(metric.col)} AS col, metric_{position} AS value, {position} AS position)"
         )
@@ -133,6 +144,7 @@ def profile(
     of_copy: bool = False,
     whole_seconds: bool | None = None,
     columns_per_pass: int | None = COLUMNS_PER_PASS,
+    collation: str | None = None,
 ) -> DataFrame:
     """Profile a DataFrame, as one table or per group of ``by``.
 
@@ -140,7 +152,9 @@ def profile(
     the empty text. On the copy's side (``of_copy``) both stay NULL, and
     timestamps are shown in whole seconds unless ``whole_seconds`` says
     otherwise. ``columns_per_pass=None`` keeps a wide table to one pass, for
-    sources that are read row by row or may change in between.
+    sources that are read row by row or may change in between. Text is ordered
+    by its bytes, or by ``collation``, e.g. ``UNICODE`` for a source that
+    orders by language.
     """
     known = {c.lower() for c in df.columns}
     for metric in metrics:
@@ -154,7 +168,7 @@ def profile(
     numbered = list(enumerate(metrics, 1))
     passes = [set(columns[i : i + size]) for i in range(0, len(columns), size)] or [set()]
     return all_profiles([
-        _one_pass(df, by, [(i, m) for i, m in numbered if m.col in chosen], first, of_copy, whole_seconds)
+        _one_pass(df, by, [(i, m) for i, m in numbered if m.col in chosen], first, of_copy, whole_seconds, collation)
         for first, chosen in zip([True] + [False] * len(passes), passes)
     ])
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallymark.functions import types
 from tallymark.operators import compare, control, lines
 from tallymark.operators.control import TABLE_KEY
-from tallymark.operators.profile import Metric, profile_family, profile_table
+from tallymark.operators.profile import Metric, filtered, profile_family, profile_table
 from tallymark.plans.batches import Outcome, Request, write_profiles
 from tallymark.sources.tables import parquet_copy, parquet_family
 
@@ -56,6 +56,7 @@ def reconcile(
     path_from: str | None = None,
     path_to: str | None = None,
     exact: bool = False,
+    master: DataFrame | None = None,
     batch_size: int = 50,
 ) -> Reconciliation:
     """Profile the copy of every listed table and compare it with its line.
@@ -63,7 +64,9 @@ def reconcile(
     Partitions of one table with the same metrics are profiled together, in
     one grouped aggregate over all their files. Only the plan passes through
     the driver: paths, names of columns, types. Profiles of the copies are
-    written below ``folder``, and every result reads them from there.
+    written below ``folder``, and every result reads them from there. The
+    configured predicates were applied to the sources; they are applied to the
+    copies too when ``master`` is given.
     """
     run_start = datetime.now(timezone.utc).replace(tzinfo=None)
     execution_id = execution_id or spark.sparkContext.applicationId
@@ -81,12 +84,16 @@ def reconcile(
         .distinct()
         .collect()
     )
+    wheres = {}
+    if master is not None:
+        chosen = master.join(tables.select(*TABLE_KEY).distinct(), TABLE_KEY, "left_semi")
+        wheres = {(r.db, r.schema, r.table): r.where for r in chosen.collect()}
     paths, families, outcomes = {}, defaultdict(list), []
     for row in plan:
         table = (row.db, row.schema, row.table)
         if row.has_copy and not row.reason:
             paths[table] = row.file_path
-            families[row.db, row.schema, row.base_table, tuple(metrics[table])].append(table)
+            families[row.db, row.schema, row.base_table, tuple(metrics[table]), wheres.get(table)].append(table)
         else:
             outcomes.append(Outcome(table, run_start, run_start, row.reason if row.has_copy else None))
 
@@ -95,9 +102,10 @@ def reconcile(
         options = {"of_copy": True, "whole_seconds": not exact}
         try:
             if len(members) == 1:
-                copy = parquet_copy(spark, paths[members[0]])
+                copy = filtered(parquet_copy(spark, paths[members[0]]), wheres.get(members[0]))
                 return profile_table(copy, *members[0], metrics[members[0]], **options)
             family = parquet_family(spark, {table: paths[db, schema, table] for _, _, table in members}, FAMILY_MEMBER)
+            family = filtered(family, wheres.get(members[0]))
             return profile_family(family, db, schema, metrics[members[0]], FAMILY_MEMBER, **options)
         except AnalysisException as failure:
             if failure.getCondition() == "PATH_NOT_FOUND":

@@ -75,6 +75,12 @@ def test_predicate(spark):
     assert filtered(df, "id > 6").count() == 3
 
 
+def test_collation(spark):
+    df = spark.createDataFrame([("a",), ("B",)], "t string")
+    assert _values(profile(df, extremes("t")))["MIN", "t"] == "B"
+    assert _values(profile(df, extremes("t"), collation="UNICODE"))["MIN", "t"] == "a"
+
+
 def test_one_scan_reads_only_what_it_needs(spark):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     plan = _plan(profile(filtered(orders, "o_orderkey > 5"), sums("o_custkey") + extremes("o_orderstatus")))
