@@ -143,7 +143,7 @@ def export_metrics(tables: DataFrame, type_map: DataFrame) -> DataFrame:
         (strip(F.coalesce("gp_column", F.lit(""))) != "") & types.is_min_max_candidate(F.col("gp_type"), F.col("ext_type"))
     ).select(*TABLE_KEY, strip(F.col("gp_column")).alias("col"), F.col("ordinal").alias("place"))
     extremes = (
-        ordered.join(tables.select(*TABLE_KEY).distinct(), TABLE_KEY, "left_semi")
+        ordered.join(tables, TABLE_KEY, "left_semi")
         .withColumn("f", F.explode(F.array(F.struct(F.lit(1).alias("rank"), F.lit("MIN").alias("func")), F.struct(F.lit(2).alias("rank"), F.lit("MAX").alias("func")))))
         .select(*TABLE_KEY, "f.func", "col", F.struct("f.rank", F.col("place").cast("bigint").alias("place")).alias("position"))
     )
@@ -253,7 +253,7 @@ def resolve_keys(tables: DataFrame, type_map: DataFrame) -> DataFrame:
         .agg(F.min_by("key", "place").alias("unknown"))
     )
     error = (
-        F.when(F.coalesce("mapped_columns", F.lit(0)) == 0, F.lit("No columns found"))
+        F.when(F.col("has_columns").isNull(), F.lit("No columns found"))
         .when(
             F.col("unknown").isNotNull(),
             F.concat(
@@ -262,7 +262,7 @@ def resolve_keys(tables: DataFrame, type_map: DataFrame) -> DataFrame:
         )
     )
     return (
-        listed.join(type_map_presence(type_map), TABLE_KEY, "left")
+        listed.join(mapped.select(*TABLE_KEY, F.col("known").alias("has_columns")).distinct(), TABLE_KEY, "left")
         .join(first_unknown, TABLE_KEY + ["key_cols"], "left")
         .select(*tables.columns, "keys", error.alias("error"))
     )

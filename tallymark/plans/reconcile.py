@@ -72,7 +72,7 @@ def reconcile(
     execution_id = execution_id or spark.sparkContext.applicationId
     located = control.with_copy_path(tables, control.latest_success(success_log, by_time=exact), path_from, path_to)
     parsed = lines.latest_lines(lines.parse_lines(result_lines))
-    expected = lines.decode_lines(parsed.join(tables.select(*TABLE_KEY).distinct(), TABLE_KEY, "left_semi"))
+    expected = lines.decode_lines(parsed.join(tables, TABLE_KEY, "left_semi"))
     metric_types = control.metric_types(type_map, exact)
 
     metrics = defaultdict(list)
@@ -86,7 +86,7 @@ def reconcile(
     )
     wheres = {}
     if master is not None:
-        chosen = master.join(tables.select(*TABLE_KEY).distinct(), TABLE_KEY, "left_semi")
+        chosen = master.join(tables, TABLE_KEY, "left_semi").select(*TABLE_KEY, "where")
         wheres = {(r.db, r.schema, r.table): r.where for r in chosen.collect()}
     paths, families, outcomes = {}, defaultdict(list), []
     for row in plan:
