@@ -448,7 +448,7 @@ FAILED = """failed AS (
 ORACLE["failure_class"] = f"WITH {FAILED} SELECT * FROM unsuccessful"
 ORACLE["export_status"] = f"""
     WITH {MASTER}, {FAILED},
-    mapped AS (SELECT DISTINCT o_custkey FROM orders WHERE {ORDER_TYPE} = 'text')
+    mapped AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P')
     SELECT "table", status, CASE status WHEN 'SKIPPED' THEN 'No Config' WHEN 'FAILED' THEN error WHEN 'SUCCESS' THEN '-'
         ELSE 'Count/Sum successful, unable to process min/max because the data type mapping file was not found.' END AS remark
     FROM (SELECT f."table", f.error,

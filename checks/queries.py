@@ -464,7 +464,7 @@ def export_status(spark, sf_dir):
     """Customers without configuration, without type map, or failed."""
     master = control.parse_master_config(master_lines(spark, sf_dir))
     configured = control.with_master_config(customers(spark, sf_dir), master)
-    mapped = order_type_map(spark, sf_dir).where(F.col("gp_type") == "text")
+    mapped = order_type_map(spark, sf_dir).where(F.col("ext_type") == "bytea")
     failed = _failed_customers(spark, sf_dir).where(F.col("error").isNotNull())
     return control.export_results(configured, mapped, failed).select("table", "status", "remark")
 
