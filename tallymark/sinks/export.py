@@ -26,9 +26,15 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def write_lines(lines: DataFrame, path: str, run_date: date | str, gzip: bool = False) -> None:
-    """Profile lines as text, one folder per run date; no header."""
-    writer = lines.select("value").write.mode("append")
+def write_lines(
+    lines: DataFrame, path: str, run_date: date | str, gzip: bool = False, line_sep: str = "\n"
+) -> None:
+    """Profile lines as text, one folder per run date; no header.
+
+    A file holds many lines. If values may hold line breaks, give another
+    ``line_sep``, here and to the reader.
+    """
+    writer = lines.select("value").write.mode("append").option("lineSep", line_sep)
     writer.option("compression", "gzip" if gzip else "none").text(f"{path}/run_date={run_date}")
 
 

@@ -78,13 +78,17 @@ def read_success_log(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def read_result_lines(spark: SparkSession, paths: str | list[str], one_per_file: bool = True) -> DataFrame:
+def read_result_lines(
+    spark: SparkSession, paths: str | list[str], one_per_file: bool = True, line_sep: str = "\n"
+) -> DataFrame:
     """``value, path, modified``: exported profile lines.
 
     A file holds one line, which may hold line breaks inside a value; exports
-    written by `tallymark.sinks.export` hold many (``one_per_file=False``).
+    written by `tallymark.sinks.export` hold many (``one_per_file=False``),
+    each ended by ``line_sep``.
     """
-    return spark.read.text(paths, wholetext=one_per_file).select(
+    separator = None if one_per_file else line_sep
+    return spark.read.text(paths, wholetext=one_per_file, lineSep=separator).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("modified"),

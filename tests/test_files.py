@@ -84,6 +84,10 @@ def test_sinks(spark, tmp_path):
         write_content(content, f"{tmp_path}/x", form="csv")
     write_lines(spark.createDataFrame([("d|s|t|1|",)], "value string"), f"{tmp_path}/lines", "2024-01-31")
     assert "".join(p.read_text() for p in (tmp_path / "lines/run_date=2024-01-31").glob("*.txt")) == "d|s|t|1|\n"
+    broken = spark.createDataFrame([("d|s|t|1|MAX(a):x\ny",), ("d|s|u|2|",)], "value string")
+    write_lines(broken, f"{tmp_path}/broken", "2024-01-31", gzip=True, line_sep="\x1e\n")
+    found = files.read_result_lines(spark, f"{tmp_path}/broken", one_per_file=False, line_sep="\x1e\n")
+    assert sorted(found.select("value").collect()) == sorted(broken.collect())
     for _ in range(2):
         append_log(rows, path=f"{tmp_path}/log")
         append_log(rows, table="result_log")
