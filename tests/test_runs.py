@@ -5,9 +5,9 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.operators import compare, control
+from tallymark.operators import control
 from tallymark.operators.lines import mark_missing_type_map
-from tallymark.operators.profile import Metric, profile_table, sums
+from tallymark.operators.profile import profile_table, sums
 from tallymark.plans.batches import Request, write_profiles
 from tallymark.plans.reconcile import reconcile
 
