@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,11 @@ SPACES = b" \t\n\v\f\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table. Python workers are told where this package lies, whatever folder the driver runs in."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
