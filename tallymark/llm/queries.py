@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import byte_bpe, exact_dedup, hyperminhash, mixing
+from tallymark.llm import byte_bpe, exact_dedup, hyperminhash, mixing, quality
 from tallymark.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -24,11 +24,15 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents")).select("doc_id", "score", "kept")
+
+
 def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op5_mix_sources, op6_byte_bpe, op10_hyperminhash)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op5_mix_sources, op6_byte_bpe, op9_quality, op10_hyperminhash)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
