@@ -11,10 +11,10 @@
    has. That bounds every possible intersection, and settles most classes that
    differ too much from all others without looking at pairs.
 4. Each remaining class is compared with one hub, the most typical class of its
-   bands, and the links give components. Pairs of a band are then compared only
-   across components, so a group of thousands of copies costs about one
-   comparison each. Pairs pass the bound and the collision-corrected Jaccard
-   estimate, five standard errors wide, before full sets are intersected.
+   bands, and with eight if that gives no link; the links give components. Pairs
+   of a band are then compared only across components, so a group of thousands of
+   copies costs few comparisons each. Pairs pass a bound by bitmaps of their sets, which never
+   drops a link, and the collision-corrected Jaccard estimate, five standard errors wide, before full sets are intersected.
 
 All steps are shuffles of narrow rows on hashes with counts combined before the
 shuffle; texts are shuffled once, to fetch those of candidate classes. Sets,
@@ -29,15 +29,19 @@ and is never a component's name unless it is alone; repeated rows are copies.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import Words, bytes_of, chunks, mixed, text_of, work_folder, written
 
 ROWS, BANDS = 4, 32
 REGISTERS = ROWS * BANDS
+#: 64-bit words of a set's bitmap.
+BITMAP = 16
 MANTISSA = 10
 PROBES = 512
+#: Hubs of a bucket that classes are tried with before pairs are looked at.
+HUBS = 8
 ERRORS = 5
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PROBE = (mixed(np.arange(REGISTERS * PROBES, dtype=np.uint64) * _ODD + np.uint64(7)) % np.uint64(REGISTERS)).astype(np.int64).reshape(PROBES, REGISTERS)
@@ -101,8 +105,22 @@ def registers(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return packed.astype(np.uint16)
 
 
+def bitmaps(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A bitmap per set of which each shingle sets one bit: a bit that another set lacks is a shingle that it lacks."""
+    bits = np.zeros((len(counts), 64 * BITMAP), dtype=bool)
+    bits[np.repeat(np.arange(len(counts)), counts), (values >> np.uint64(40)) % np.uint64(64 * BITMAP)] = True
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
+def _possible(percent: int) -> str:
+    """Whether a and b, by their bitmaps and shared shingles, may have enough in common."""
+    lacking = lambda x, y: " + ".join(f"bit_count({x}.bits[{i}] & ~{y}.bits[{i}])" for i in range(BITMAP))
+    most = f"least(a.shared, b.shared, a.n - ({lacking('a', 'b')}), b.n - ({lacking('b', 'a')}))"
+    return f"{100 + percent} * {most} >= {percent} * (a.n + b.n)"
+
+
 def sketches(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: doc_id, n_shingles, class, registers (the last two null for an empty set)."""
+    """One row per row: doc_id, n_shingles, class and registers (null for an empty set), bits."""
 
     def batches(stream):
         import pyarrow as pa
@@ -117,12 +135,13 @@ def sketches(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str
                     [
                         batch.column("doc_id").slice(low, high - low), pa.array(counts, pa.int64()), pa.array(class_of(values, counts), mask=empty),
                         pa.array([None if e else r.tobytes() for r, e in zip(rows, empty, strict=True)], pa.binary()),
+                        pa.FixedSizeListArray.from_arrays(pa.array(bitmaps(values, counts).ravel()), BITMAP).cast(pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "class", "registers"],
+                    names=["doc_id", "n_shingles", "class", "registers", "bits"],
                 )
 
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, class long, registers binary")
+    return rows.mapInArrow(batches, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, class long, registers binary, bits array<long>")
 
 
 def sets_of(texts: DataFrame, words: int) -> DataFrame:
@@ -173,8 +192,10 @@ def _likely(pairs: DataFrame, percent: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, known: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The links among pairs ``a, b``: by bound and estimate, then by intersecting full sets."""
-    side = lambda x: known.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("shared").alias(f"s_{x}"), F.col("registers").alias(f"r_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").where(f"{100 + percent} * least(s_a, s_b) >= {percent} * (n_a + n_b)")
+    both = (
+        pairs.alias("p").join(known.alias("a"), F.expr("p.a = a.class")).join(known.alias("b"), F.expr(f"p.b = b.class and {_possible(percent)}"))
+        .selectExpr("p.a", "p.b", "a.n as n_a", "b.n as n_b", "a.registers as r_a", "b.registers as r_b")
+    )
     full = (
         _likely(both, percent)
         .join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("x")), "a")
@@ -198,11 +219,18 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             return labels
 
 
+def _placed(rows: DataFrame, known: DataFrame, hubs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of the buckets with what pairs are judged by; ``outside``: in another component than the bucket's hub."""
+    heads = hubs.select("bucket", F.col("top.hub").alias("class")).join(labels, "class").select("bucket", F.col("label").alias("main"))
+    own = rows.select("class", "bucket").join(labels, "class").join(known.select("class", "n", "shared", "bits"), "class")
+    return written(own.join(heads, "bucket").withColumn("outside", F.expr("label != main")))
+
+
 def near_classes(docs: DataFrame, drawn: DataFrame, words: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """class and component_id of every class that has links. ``drawn``: the sketches of ``docs``, as a table."""
-    classes = drawn.where("class is not null").groupBy("class", "n_shingles", "registers").agg(F.min("doc_id").alias("doc_id"))
-    key = F.expr(f"xxhash64(band, substring(registers, {2 * ROWS} * band + 1, {2 * ROWS}))")
-    banded = classes.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1)))).select("class", key.alias("bucket"))
+    classes = drawn.where("class is not null").groupBy("class", "n_shingles", "registers", "bits").agg(F.min("doc_id").alias("doc_id"))
+    buckets = F.expr(f"transform(sequence(0, {BANDS - 1}), band -> xxhash64(band, substring(registers, {2 * ROWS} * band + 1, {2 * ROWS})))")
+    banded = classes.select("class", F.explode(buckets).alias("bucket"))
     met = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     banded = written(banded.join(met, "bucket", "left_semi"))
     candidates = written(classes.join(banded.select("class").distinct(), "class", "left_semi"))
@@ -213,7 +241,7 @@ def near_classes(docs: DataFrame, drawn: DataFrame, words: int, percent: int, id
     common = shingles.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
     shared = shingles.join(common, "shingle", "left_semi").groupBy("class").agg(F.count("*").alias("shared"))
     linkable = f"{(100 + percent) * 100} * shared >= {percent} * {100 + percent} * n"
-    known = written(candidates.join(shared, "class").select("class", F.col("n_shingles").alias("n"), "shared", "registers", "doc_id").where(linkable))
+    known = written(candidates.join(shared, "class").select("class", F.col("n_shingles").alias("n"), "shared", "registers", "bits", "doc_id").where(linkable))
     # The hub of a bucket has the largest share of shingles that others have too.
     typical = F.struct((F.col("shared") / F.col("n")).alias("share"), F.col("class").alias("hub"))
     rows = written(banded.join(known.select("class", typical.alias("typical")), "class"))
@@ -221,15 +249,20 @@ def near_classes(docs: DataFrame, drawn: DataFrame, words: int, percent: int, id
     star = rows.join(hubs, "bucket").groupBy(F.col("class").alias("a")).agg(F.max("top").alias("top")).select("a", F.col("top.hub").alias("b")).where("a != b")
     links = _confirmed(star, known, sets, percent)
     labels = components(known, links)
-    # What is left: pairs of a bucket across components, of which one is not its hub's.
-    in_part = rows.select("class", "bucket").join(labels, "class").join(known.select("class", "n", "shared"), "class")
-    heads = hubs.select("bucket", F.col("top.hub").alias("class")).join(labels, "class").select("bucket", F.col("label").alias("main"))
-    placed = written(in_part.join(heads, "bucket").withColumn("outside", F.expr("label != main")))
-    mixed_buckets = placed.where("outside").select("bucket").distinct()
-    placed = placed.join(mixed_buckets, "bucket", "left_semi")
+    # Classes that are not with their hub yet are compared with more hubs of their buckets.
+    placed = _placed(rows, known, hubs, labels)
+    order = Window.partitionBy("bucket").orderBy(F.desc("typical"))
+    more_hubs = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS).select("bucket", "class")
+    more_hubs = more_hubs.join(known.select("class", "n", "shared", "bits"), "class").alias("b")
+    again = placed.where("outside").alias("a").join(more_hubs, F.expr(f"a.bucket = b.bucket and a.class != b.class and {_possible(percent)}"))
+    again = again.select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
+    links = links.union(_confirmed(again, known, sets, percent))
+    labels = components(known, links)
+    # What is left: pairs across components of which one is not with its hub.
+    placed = _placed(rows, known, hubs, labels)
+    placed = placed.join(placed.where("outside").select("bucket").distinct(), "bucket", "left_semi")
     a, b = placed.where("outside").alias("a"), placed.alias("b")
-    bound = f"{100 + percent} * least(a.shared, b.shared) >= {percent} * (a.n + b.n)"
-    across = a.join(b, F.expr(f"a.bucket = b.bucket and a.label != b.label and (not b.outside or a.class < b.class) and {bound}"))
+    across = a.join(b, F.expr(f"a.bucket = b.bucket and a.label != b.label and (not b.outside or a.class < b.class) and {_possible(percent)}"))
     more = _confirmed(across.select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct(), known, sets, percent)
     labels = components(known, links.union(more))
     names = labels.join(known.select("class", "doc_id"), "class")

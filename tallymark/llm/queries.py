@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymark.llm import byte_bpe, exact_dedup, hyperminhash, mixing, quality
-from tallymark.llm.common import table
+from tallymark.llm import byte_bpe, exact_dedup, hyperminhash, licenses, mixing, quality, toxicity
+from tallymark.llm.common import crc_remainder, table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
@@ -15,6 +15,17 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_remainder("doc_id", 4) == 2
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -32,7 +43,7 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op5_mix_sources, op6_byte_bpe, op9_quality, op10_hyperminhash)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_licenses, op5_mix_sources, op6_byte_bpe, op9_quality, op10_hyperminhash)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
