@@ -115,7 +115,7 @@ class Words:
 
 
 def bytes_of(batch, name: str) -> list[bytes]:
-    """A text column of an Arrow batch as UTF-8 bytes, nulls as empty."""
+    """A text column of an Arrow batch or table as UTF-8 bytes, nulls as empty."""
     import pyarrow as pa
 
     column = batch.column(name)

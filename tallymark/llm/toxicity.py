@@ -6,7 +6,8 @@ a group of people is named, the names are swapped for those of other groups,
 and the squared change of the score is added to the loss. So a mention alone
 cannot carry weight, and neutral mentions raise no alarm.
 
-The score is calibrated on the training rows so that 0.3 is the cut. Texts are
+The score is calibrated on the training rows, by models that have not seen
+them, so that 0.3 is the cut. Texts are
 read once to train (sampled rows only are collected) and once to score; nothing
 is shuffled but the join of the sample with its labels. Defined results: a null
 or empty text has the lowest evidence and the score of the bias; rows of labels
@@ -23,7 +24,9 @@ from pyspark.sql import functions as F
 from tallymark.llm.common import Words, bytes_of, chunks, mixed, text_of
 
 #: Labelled rows that are trained on, chosen by hash: about so many toxic and so many other ones.
-SAMPLE = 3000
+SAMPLE = 2000
+SUPPORT = 4
+FOLDS = 3
 SLOTS = 1 << 18
 BEGINNINGS = (4, 5, 6)
 CUT = 0.3
@@ -82,32 +85,48 @@ def swapped(text: str) -> list[str]:
 class Model:
     """Sparse logistic regression over presence of slots, with the counterfactual penalty."""
 
-    def __init__(self, texts: list[str], labels: list[int], steps: int = 300, decay: float = 3e-4):
-        self.slots, self.weights, self.bias, self.shift = np.zeros(0, dtype=np.int64), np.zeros(0), -30.0, 0.0
+    def __init__(self, texts: list[str], labels: list[int], plain: float = 1.0):
+        """``plain``: labelled rows that each sampled row with label 0 stands for."""
+        self.slots, self.weights, self.bias, self.shift = np.zeros(0, dtype=np.int64), np.zeros(0), 0.0, 0.0
         y = np.array(labels, dtype=float)
         if not len(y):
             return
         raw = [t.encode() for t in texts]
         pairs = [(i, v) for i, t in enumerate(texts) for v in swapped(t)]
+        base = np.array([i for i, _ in pairs], dtype=np.int64)
         doc, slot = self._events(raw + [v.encode() for _, v in pairs])
-        seen, slot = np.unique(slot, return_inverse=True)
-        n, base = len(texts), np.array([i for i, _ in pairs], dtype=np.int64)
-        w, b = np.zeros(len(seen)), float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)))
-        m, v = np.zeros(len(seen) + 1), np.zeros(len(seen) + 1)
-        total = n + len(pairs)
+        # A slot that few texts have can only be learned by heart.
+        seen, slot, support = np.unique(slot, return_inverse=True, return_counts=True)
+        told = support[slot] >= SUPPORT
+        doc, slot = doc[told], slot[told]
+        fold = np.arange(len(y)) % FOLDS
+        z = np.zeros(len(y))
+        for k in range(FOLDS):
+            w, b = self._fit(doc, slot, len(seen), y, base, fold != k)
+            z = np.where(fold == k, np.bincount(doc, weights=w[slot], minlength=len(y) + len(base))[: len(y)] + b, z)
+        w, self.bias = self._fit(doc, slot, len(seen), y, base, np.ones(len(y), dtype=bool))
+        self.slots, self.weights = seen[w != 0], w[w != 0]
+        self._calibrate(z, y, plain)
+
+    @staticmethod
+    def _fit(doc: np.ndarray, slot: np.ndarray, width: int, y: np.ndarray, base: np.ndarray, used: np.ndarray, steps: int = 150, decay: float = 3e-4):
+        """Weights and bias by Adam over the ``used`` texts and their swapped versions."""
+        n, total = len(y), len(y) + len(base)
+        share, paired = used / max(used.sum(), 1), used[base] / max(used.sum(), 1)
+        w, b = np.zeros(width), 0.0
+        m, v = np.zeros(width + 1), np.zeros(width + 1)
         for t in range(1, steps + 1):
             z = np.bincount(doc, weights=w[slot], minlength=total) + b
             pull = np.zeros(total)
-            pull[:n] = (1 / (1 + np.exp(-np.clip(z[:n], -50, 50))) - y) / n
-            change = z[n:] - z[base]
-            pull[n:] += PENALTY * change / n
-            np.add.at(pull, base, -PENALTY * change / n)
-            gradient = np.append(np.bincount(slot, weights=pull[doc], minlength=len(seen)) + decay * w, pull[:n].sum())
+            pull[:n] = (1 / (1 + np.exp(-np.clip(z[:n], -50, 50))) - y) * share
+            change = PENALTY * (z[n:] - z[base]) * paired
+            pull[n:] += change
+            np.add.at(pull, base, -change)
+            gradient = np.append(np.bincount(slot, weights=pull[doc], minlength=width) + decay * w, pull[:n].sum())
             m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
-            step = 0.03 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+            step = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
             w, b = w - step[:-1], b - step[-1]
-        self.slots, self.weights, self.bias = seen, w, b
-        self._calibrate(np.bincount(doc, weights=w[slot], minlength=total)[:n] + b, y)
+        return w, float(b)
 
     @staticmethod
     def _events(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -118,11 +137,11 @@ class Model:
             slots.append(s)
         return np.concatenate(docs), np.concatenate(slots)
 
-    def _calibrate(self, z: np.ndarray, y: np.ndarray) -> None:
-        """Move the scores so that the cut lies where the training rows are told apart best (balanced error)."""
+    def _calibrate(self, z: np.ndarray, y: np.ndarray, plain: float) -> None:
+        """Move the scores so that the cut lies where rows that a model was not trained on are told apart best."""
         order = np.argsort(-z, kind="stable")
-        hit = np.cumsum(y[order]) / max(y.sum(), 1) - np.cumsum(1 - y[order]) / max((1 - y).sum(), 1)
-        best = int(np.argmax(hit))
+        hits, alarms = np.cumsum(y[order]), np.cumsum(1 - y[order]) * plain
+        best = int(np.argmax(2 * hits / (hits + alarms + y.sum())))  # the F1 score over all labelled rows
         low = z[order[best + 1]] if best + 1 < len(z) else z[order[best]] - 1
         self.shift = float(np.log(CUT / (1 - CUT)) - (0.5 * z[order[best]] + 0.5 * low))
 
@@ -146,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, may_train: Column, id_col: str = "
     rows = docs.where(may_train).select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     rows = rows.join(chosen, F.col("id") == F.col("labelled")).select("text", "y").dropDuplicates(["text"]).collect()  # about 2 * sample rows
     rows.sort(key=lambda r: r["text"])
-    return Model([r["text"] for r in rows], [r["y"] for r in rows])
+    return Model([r["text"] for r in rows], [r["y"] for r in rows], max(1.0, counts.get(0, 0) / sample) / max(1.0, counts.get(1, 0) / sample))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
