@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallymark.llm import byte_bpe, exact_dedup, hpylm, hyperminhash, licenses, mixing, quality, toxicity
+from tallymark.llm import byte_bpe, covertree, exact_dedup, hpylm, hyperminhash, licenses, mixing, quality, toxicity
 from tallymark.llm.common import crc_remainder, table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -26,6 +27,10 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -47,7 +52,7 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_licenses, op5_mix_sources, op6_byte_bpe, op8_hierarchical_lm, op9_quality, op10_hyperminhash)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_licenses, op4_cover_tree, op5_mix_sources, op6_byte_bpe, op8_hierarchical_lm, op9_quality, op10_hyperminhash)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
@@ -59,4 +64,15 @@ ORACLE = {
         FROM (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id,
                      count(*) OVER (PARTITION BY text_sha256) AS group_size FROM t)
     """,
+    "op4_cover_tree": """
+        WITH e AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.v, x.v) AS BIGINT) AS score
+            FROM e q JOIN e x ON q.vec_id % 20 = 0 AND q.vec_id <> x.vec_id),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
 }
