@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import byte_bpe, covertree, exact_dedup, hpylm, hyperminhash, licenses, mixing, quality, toxicity
+from tallymark.llm import byte_bpe, covertree, exact_dedup, hpylm, html_content, hyperminhash, licenses, mixing, quality, toxicity
 from tallymark.llm.common import crc_remainder, table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -40,6 +40,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op7_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_content.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_hierarchical_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hpylm.score(table(spark, sf_dir, "documents"), crc_remainder("doc_id", 5) != 1)
 
@@ -52,7 +56,7 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_licenses, op4_cover_tree, op5_mix_sources, op6_byte_bpe, op8_hierarchical_lm, op9_quality, op10_hyperminhash)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_toxicity, op3_licenses, op4_cover_tree, op5_mix_sources, op6_byte_bpe, op7_html_content, op8_hierarchical_lm, op9_quality, op10_hyperminhash)}
 
 ORACLE = {
     "op1_exact_dedup": r"""
