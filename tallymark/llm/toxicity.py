@@ -9,7 +9,7 @@ cannot carry weight, and neutral mentions raise no alarm.
 The score is calibrated on the training rows, by models that have not seen
 them, so that 0.3 is the cut. Texts are
 read once to train (sampled rows only are collected) and once to score; nothing
-is shuffled but the join of the sample with its labels. Defined results: a null
+is shuffled but the sample. Defined results: a null
 or empty text has the lowest evidence and the score of the bias; rows of labels
 without text, or with a null label, are not trained on; if no labelled row is
 left every text gets score 0; repeated rows and other columns have no influence.
@@ -163,7 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, may_train: Column, id_col: str = "
     limit = lambda y: int(span * min(1.0, sample / max(counts.get(y, 0), 1)))
     chosen = told.where(F.pmod(F.xxhash64("labelled"), F.lit(span)) < F.when(F.col("y") == 1, limit(1)).otherwise(limit(0)))
     rows = docs.where(may_train).select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    rows = rows.join(chosen, F.col("id") == F.col("labelled")).select("text", "y").dropDuplicates(["text"]).collect()  # about 2 * sample rows
+    # The sample is bounded by its parameter, so it is sent to the texts and not the texts to it.
+    rows = rows.join(F.broadcast(chosen), F.col("id") == F.col("labelled")).select("text", "y").dropDuplicates(["text"]).collect()  # about 2 * sample rows
     rows.sort(key=lambda r: r["text"])
     return Model([r["text"] for r in rows], [r["y"] for r in rows], max(1.0, counts.get(0, 0) / sample) / max(1.0, counts.get(1, 0) / sample))
 
