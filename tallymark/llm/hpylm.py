@@ -49,6 +49,9 @@ for _i, _group in enumerate((b"e", b"n", b"s", b"t", b"d", b"r", b"aiou", b"lh",
     _CLASS[list(_group + _group.upper())] = _i
 _CLASS[128:], _CLASS[48:58] = 11, 13
 _CLASS[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".!?,;:"]] = 14
+#: Stands for the restaurant of no context, after all contexts.
+PARENT = CONTEXTS
+_ENTRY = np.dtype([("context", "u1"), ("customers", "<u4"), ("tables", "<u4", (SAMPLES,))])
 _COUNTS = [f"c{k}" for k in range(CONTEXTS)]
 
 
@@ -167,7 +170,7 @@ def seated(customers: np.ndarray, new: np.ndarray, discount: float, draw: np.ran
 
 
 def sampled(counts: DataFrame, types: np.ndarray, vocabulary: int) -> DataFrame:
-    """word and count; customers, and tables of every kept sample with those of the parent last, as packed numbers."""
+    """word and entries: customers and tables of every kept sample, of the contexts that serve it and, last, of the parent."""
     unseen = (PARENT_STRENGTH + PARENT_DISCOUNT * vocabulary) / (vocabulary + 1)
 
     def batches(stream):
@@ -192,17 +195,25 @@ def sampled(counts: DataFrame, types: np.ndarray, vocabulary: int) -> DataFrame:
                     dish = t.sum(axis=1)
                     above = seated(dish, np.full(len(dish), unseen), PARENT_DISCOUNT, draw)
                     kept.append(np.column_stack([t, above]))
-            flat = np.stack(kept, axis=1).astype("<i4")
-            packed = lambda rows: pa.array([r.tobytes() for r in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(c.sum(axis=1)), packed(c.astype("<i4")), packed(flat)], names=["word", "count", "customers", "tables"])
+            row, k = np.nonzero(c)
+            row, k = np.append(row, np.arange(len(c))), np.append(k, np.full(len(c), PARENT))
+            order = np.argsort(row, kind="stable")
+            row, k = row[order], k[order]
+            entries = np.empty(len(row), dtype=_ENTRY)
+            entries["context"], entries["customers"] = k, np.column_stack([c, c.sum(axis=1)])[row, k]
+            entries["tables"] = np.stack(kept, axis=1)[row, :, k]
+            edges = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(c))))) * _ENTRY.itemsize
+            raw = entries.tobytes()
+            packed = pa.array([raw[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(word), packed], names=["word", "entries"])
 
-    return counts.mapInArrow(batches, "word long, count long, customers binary, tables binary")
+    return counts.mapInArrow(batches, "word long, entries binary")
 
 
-def _unpacked(batch) -> tuple[np.ndarray, np.ndarray]:
-    c = np.frombuffer(b"".join(batch.column("customers").to_pylist()), dtype="<i4").reshape(-1, CONTEXTS).astype(np.int64)
-    t = np.frombuffer(b"".join(batch.column("tables").to_pylist()), dtype="<i4").reshape(-1, SAMPLES, CONTEXTS + 1).astype(np.int64)
-    return c, t
+def _unpacked(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of all rows, and the row of each."""
+    sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // _ENTRY.itemsize
+    return np.frombuffer(b"".join(packed), dtype=_ENTRY), np.repeat(np.arange(len(packed)), sizes)
 
 
 class Sums:
@@ -214,8 +225,10 @@ class Sums:
 
             for batch in stream:
                 if batch.num_rows:
-                    c, t = _unpacked(batch)
-                    row = np.concatenate([c.sum(axis=0), t.sum(axis=0).ravel(), [c.sum(), len(c)]])
+                    entries, _ = _unpacked(batch.column("entries").to_pylist())
+                    per = lambda x: np.bincount(entries["context"], weights=x, minlength=CONTEXTS + 1)
+                    c, t = per(entries["customers"]), [per(entries["tables"][:, s]) for s in range(SAMPLES)]
+                    row = np.concatenate([c[:CONTEXTS], *t, [c[PARENT], batch.num_rows]]).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(row))), pa.array(row)], names=["at", "n"])
 
         found = {r["at"]: r["n"] for r in model.mapInArrow(batches, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}
@@ -227,32 +240,15 @@ class Sums:
         self.dishes = tables[:, :CONTEXTS].sum(axis=1) + PARENT_STRENGTH
 
 
-_ENTRY = np.dtype([("context", "u1"), ("p", "<f4")])
-
-
-def answers(model: DataFrame, sums: Sums) -> DataFrame:
-    """word, count, parent (its probability without context, by sample) and entries: contexts that it was seen in, with its averaged probability there."""
-
-    def batches(stream):
-        import pyarrow as pa
-
-        for batch in stream:
-            if not batch.num_rows:
-                continue
-            c, t = _unpacked(batch)
-            dish, above = t[:, :, :CONTEXTS].sum(axis=2), t[:, :, CONTEXTS]
-            parent = (dish - PARENT_DISCOUNT * above + sums.unseen) / sums.dishes
-            row, k = np.nonzero(c)
-            p = (c[row, k][:, None] - DISCOUNT * t[row, :, k]) / (STRENGTH + sums.customers[k])[:, None] + sums.back[:, k].T * parent[row]
-            entries = np.empty(len(row), dtype=_ENTRY)
-            entries["context"], entries["p"] = k, p.mean(axis=1)
-            edges = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(c))))) * _ENTRY.itemsize
-            raw = entries.tobytes()
-            packed = pa.array([raw[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
-            first = pa.array([r.tobytes() for r in parent.astype("<f4")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("count"), first, packed], names=["word", "count", "parent", "entries"])
-
-    return model.mapInArrow(batches, "word long, count long, parent binary, entries binary")
+def _probabilities(entries: np.ndarray, row: np.ndarray, n: int, sums: Sums):
+    """Of ``n`` words: training count and parent's probability by sample; and keys (word and context) with averaged probability."""
+    own = entries["context"] < PARENT
+    row_, k, tables = row[own], entries["context"][own].astype(np.int64), entries["tables"][own].astype(float)
+    count = entries["customers"][~own].astype(float)
+    dish = np.stack([np.bincount(row_, weights=tables[:, s], minlength=n) for s in range(SAMPLES)], axis=1)
+    parent = (dish - PARENT_DISCOUNT * entries["tables"][~own] + sums.unseen) / sums.dishes
+    here = (entries["customers"][own][:, None] - DISCOUNT * tables) / (STRENGTH + sums.customers[k])[:, None] + sums.back[:, k].T * parent[row_]
+    return count, parent, row_ * CONTEXTS + k, here.mean(axis=1)
 
 
 def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -265,18 +261,15 @@ def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     model = written(sampled(counts, np.maximum([seen[c] for c in _COUNTS], 1).astype(float), seen["v"]))
     sums = Sums(model)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition("block")
-    replies = asked(dealt).join(answers(model, sums), "word")
+    replies = asked(dealt).join(model, "word")
 
     def scored(left, right):
         import pyarrow as pa
 
         words = np.concatenate([right.column("word").to_numpy().view(np.uint64), np.zeros(0, dtype=np.uint64)])
         words, at = np.unique(words, return_index=True)
-        count = right.column("count").to_numpy()[at].astype(float)
-        parent = np.frombuffer(b"".join(right.column("parent").combine_chunks().take(pa.array(at)).to_pylist()), dtype="<f4").reshape(-1, SAMPLES)
-        packed = right.column("entries").combine_chunks().take(pa.array(at)).to_pylist()
-        entries = np.frombuffer(b"".join(packed), dtype=_ENTRY)
-        key = np.repeat(np.arange(len(words)), [len(x) // _ENTRY.itemsize for x in packed]) * CONTEXTS + entries["context"]
+        entries, row = _unpacked(right.column("entries").combine_chunks().take(pa.array(at)).to_pylist() if len(words) else [])
+        count, parent, key, there = _probabilities(entries, row, len(words), sums)
         raw, out = bytes_of(left, "text"), []
         nothing = (sums.unseen / sums.dishes)[None]
         for low, high in chunks(raw):
@@ -290,7 +283,7 @@ def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
             if len(key):
                 wanted = i * CONTEXTS + contexts
                 j = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
-                p = np.where(known & (key[j] == wanted), entries["p"][j], p)
+                p = np.where(known & (key[j] == wanted), there[j], p)
             doc = np.repeat(np.arange(high - low), sizes)
             total = lambda x, doc=doc, n=high - low: np.bincount(doc, weights=x, minlength=n)
             base = np.log10((c + 0.5) / (sums.n + 0.5 * (sums.v + 1)))
