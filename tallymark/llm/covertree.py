@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DATA_BLOCK, QUERY_BLOCK = 4096, 1024
-LEAF = 48
+LEAF = 256
 NET = 24
 SHRINK = 1.4
 
