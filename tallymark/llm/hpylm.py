@@ -114,7 +114,7 @@ def counted(rows: DataFrame) -> DataFrame:
                 if len(parts) > 16:
                     parts = [_merged(parts)]
                     held = len(parts[0][0])
-            if held > 4_000_000:  # bounds the memory of a worker; the shuffle sums the rest
+            if held > 1_000_000:  # bounds the memory of a worker; the shuffle sums the rest
                 yield from _rows_of(*_merged(parts))
                 parts, held = [], 0
         if parts:
