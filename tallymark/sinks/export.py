@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from datetime import date
 
@@ -15,14 +14,10 @@ CONTENT = ["hash_key", "key", "hash_content", "content"]
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below the shared folder that the session names.
 
-    ``spark.checkpoint.dir`` must be a path every executor sees. Only a local
-    session, which has a single machine, may go without it.
+    ``spark.checkpoint.dir`` is a path that every executor sees; without it the
+    folder lies in the warehouse, which they share as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root and spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp()
-    if not root:
-        raise ValueError("spark.checkpoint.dir is not set")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
