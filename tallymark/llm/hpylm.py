@@ -13,8 +13,8 @@ counts into one row per distinct token (never per occurrence), with one column
 per context, so that all restaurants in which a token is served lie in one row
 and are sampled together in arrays. The sampled rows are kept as a table: that
 is the model, and it grows with the corpus. To score, a block asks for its
-distinct tokens by one join, and the answers are brought back to the block's
-texts. The driver holds only sums per context.
+distinct tokens and contexts by one join, and the answers to just these are
+brought back to the block's texts. The driver holds only sums per context.
 
 Between rows the sampler exchanges only the number of tables of each context,
 as they were after the sweep before (the usual approximation of distributed
@@ -37,6 +37,8 @@ from tallymark.llm.common import Words, bytes_of, chunks, text_of, written
 BLOCK_BYTES = 16 << 20
 CONTEXTS = 16
 SWEEPS, SAMPLES = 3, 2
+#: Keys that a worker holds before it passes them on.
+HELD = 2_000_000
 DISCOUNT, STRENGTH = 0.7, 20.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.7, 20.0
 #: The hash of the end of a text, which is no word's.
@@ -51,6 +53,8 @@ _CLASS[128:], _CLASS[48:58] = 11, 13
 _CLASS[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".!?,;:"]] = 14
 #: Stands for the restaurant of no context, after all contexts.
 PARENT = CONTEXTS
+#: Stands for the sum over a word's contexts, in replies.
+DISHES = CONTEXTS + 1
 _ENTRY = np.dtype([("context", "u1"), ("customers", "<u4"), ("tables", "<u4", (SAMPLES,))])
 _COUNTS = [f"c{k}" for k in range(CONTEXTS)]
 
@@ -125,28 +129,69 @@ def counted(rows: DataFrame) -> DataFrame:
 
 
 def asked(rows: DataFrame) -> DataFrame:
-    """block and word: the distinct tokens of each block (a few may come twice)."""
+    """block, word and wanted: the distinct tokens of each block, and a bit for each context it serves them in.
+
+    A worker that holds much passes it on, so a token of a block may come twice.
+    """
 
     def batches(stream):
         import pyarrow as pa
 
+        def passed_on(found):
+            for block, own in found.items():
+                key = np.unique(np.concatenate(own))
+                word = _word(key)
+                starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+                wanted = np.bitwise_or.reduceat(1 << (key & np.uint64(15)).astype(np.int32), starts).astype(np.int32)
+                word = word[starts].view(np.int64)
+                for low in range(0, len(word), 100_000):
+                    part = slice(low, low + 100_000)
+                    blocks = np.full(len(word[part]), block, dtype=np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(word[part]), pa.array(blocks), pa.array(wanted[part])], names=["word", "block", "wanted"])
+
         found: dict[int, list[np.ndarray]] = {}
         for batch in stream:
             raw, blocks = bytes_of(batch, "text"), batch.column("block").to_numpy()
             for block in np.unique(blocks):
                 texts = [raw[i] for i in np.flatnonzero(blocks == block)]
                 own = found.setdefault(int(block), [])
-                own += [np.unique(_word(tokens(texts[low:high])[0])) for low, high in chunks(texts)]
+                for low, high in chunks(texts):
+                    hashes, contexts, _ = tokens(texts[low:high])
+                    own.append(np.unique(_word(hashes) | contexts.astype(np.uint64)))
                 if len(own) > 16:
                     own[:] = [np.unique(np.concatenate(own))]
-        for block, own in found.items():
-            words = np.unique(np.concatenate(own)).view(np.int64)
-            for low in range(0, len(words), 100_000):
-                part = words[low : low + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), block, dtype=np.int32))], names=["word", "block"])
+            if sum(len(x) for own in found.values() for x in own) > HELD:
+                yield from passed_on(found)
+                found = {}
+        yield from passed_on(found)
 
     # All columns are taken, so that Spark can use the texts' one exchange here and for the scores.
-    return rows.mapInArrow(batches, "word long, block int")
+    return rows.mapInArrow(batches, "word long, block int, wanted int")
+
+
+def narrowed(replies: DataFrame) -> DataFrame:
+    """word, block and entries: of each reply the contexts that were asked for, the parent, and what all contexts add up to there."""
+
+    def batches(stream):
+        import pyarrow as pa
+
+        for batch in stream:
+            if not batch.num_rows:
+                continue
+            entries, row = _unpacked(batch.column("entries"))
+            own = entries["context"] < PARENT
+            asked_for = batch.column("wanted").to_numpy()[row] >> np.minimum(entries["context"], PARENT).astype(np.int32) & 1
+            dishes = np.zeros(batch.num_rows, dtype=_ENTRY)
+            dishes["context"] = DISHES
+            for s in range(SAMPLES):
+                dishes["tables"][:, s] = np.bincount(row[own], weights=entries["tables"][own, s], minlength=batch.num_rows)
+            keep = ~own | (asked_for == 1)
+            row = np.append(row[keep], np.arange(batch.num_rows))
+            order = np.argsort(row, kind="stable")
+            packed = _packed(np.concatenate([entries[keep], dishes])[order], np.bincount(row, minlength=batch.num_rows))
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("block"), packed], names=["word", "block", "entries"])
+
+    return replies.select("word", "block", "wanted", "entries").mapInArrow(batches, "word long, block int, entries binary")
 
 
 def seated(customers: np.ndarray, new: np.ndarray, discount: float, draw: np.random.Generator) -> np.ndarray:
@@ -203,18 +248,30 @@ def sampled(counts: DataFrame, types: np.ndarray, vocabulary: int) -> DataFrame:
             entries = np.empty(len(row), dtype=_ENTRY)
             entries["context"], entries["customers"] = k, np.column_stack([c, c.sum(axis=1)])[row, k]
             entries["tables"] = np.stack(kept, axis=1)[row, :, k]
-            edges = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(c))))) * _ENTRY.itemsize
-            raw = entries.tobytes()
-            packed = pa.array([raw[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+            packed = _packed(entries, np.bincount(row, minlength=len(c)))
             yield pa.RecordBatch.from_arrays([pa.array(word), packed], names=["word", "entries"])
 
     return counts.mapInArrow(batches, "word long, entries binary")
 
 
-def _unpacked(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The entries of all rows, and the row of each."""
-    sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // _ENTRY.itemsize
-    return np.frombuffer(b"".join(packed), dtype=_ENTRY), np.repeat(np.arange(len(packed)), sizes)
+def _packed(entries: np.ndarray, sizes: np.ndarray):
+    """An Arrow array of one binary per row, which holds the row's entries."""
+    import pyarrow as pa
+
+    edges = (np.concatenate(([0], np.cumsum(sizes))) * _ENTRY.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(entries.tobytes())])
+
+
+def _unpacked(column) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of all rows of an Arrow array of binaries, and the row of each."""
+    import pyarrow as pa
+
+    if not len(column):
+        return np.empty(0, dtype=_ENTRY), np.empty(0, dtype=np.int64)
+    _, edges, data = column.buffers()
+    edges = np.frombuffer(edges, dtype=np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset : column.offset + len(column) + 1]
+    sizes = np.diff(edges) // _ENTRY.itemsize
+    return np.frombuffer(data, dtype=_ENTRY, count=int(sizes.sum()), offset=int(edges[0])), np.repeat(np.arange(len(column)), sizes)
 
 
 class Sums:
@@ -226,7 +283,7 @@ class Sums:
 
             for batch in stream:
                 if batch.num_rows:
-                    entries, _ = _unpacked(batch.column("entries").to_pylist())
+                    entries, _ = _unpacked(batch.column("entries"))
                     per = lambda x: np.bincount(entries["context"], weights=x, minlength=CONTEXTS + 1)
                     c, t = per(entries["customers"]), [per(entries["tables"][:, s]) for s in range(SAMPLES)]
                     row = np.concatenate([c[:CONTEXTS], *t, [c[PARENT], batch.num_rows]]).astype(np.int64)
@@ -241,15 +298,28 @@ class Sums:
         self.dishes = tables[:, :CONTEXTS].sum(axis=1) + PARENT_STRENGTH
 
 
-def _probabilities(entries: np.ndarray, row: np.ndarray, n: int, sums: Sums):
-    """Of ``n`` words: training count and parent's probability by sample; and keys (word and context) with averaged probability."""
-    own = entries["context"] < PARENT
-    row_, k, tables = row[own], entries["context"][own].astype(np.int64), entries["tables"][own].astype(float)
-    count = entries["customers"][~own].astype(float)
-    dish = np.stack([np.bincount(row_, weights=tables[:, s], minlength=n) for s in range(SAMPLES)], axis=1)
-    parent = (dish - PARENT_DISCOUNT * entries["tables"][~own] + sums.unseen) / sums.dishes
-    here = (entries["customers"][own][:, None] - DISCOUNT * tables) / (STRENGTH + sums.customers[k])[:, None] + sums.back[:, k].T * parent[row_]
-    return count, parent, row_ * CONTEXTS + k, here.mean(axis=1)
+class Answers:
+    """What a block knows of its words: training count and parent's probability by sample, and the averaged probability in a context."""
+
+    def __init__(self, replies, sums: Sums):
+        """``replies``: an Arrow table of words and entries, read in slices, for arrays of all entries are large."""
+        column = replies.column("word").to_numpy().view(np.uint64)
+        self.words, at = np.unique(column, return_inverse=True)
+        self.count = np.zeros(len(self.words))
+        self.parent = np.zeros((len(self.words), SAMPLES))
+        keys, means, low = [np.empty(0, dtype=np.int64)], [np.empty(0)], 0
+        for batch in replies.select(["entries"]).to_batches(max_chunksize=20_000):
+            entries, row = _unpacked(batch.column(0))
+            row, low = at[low + row], low + batch.num_rows
+            parent, dishes, own = entries["context"] == PARENT, entries["context"] == DISHES, entries["context"] < PARENT
+            self.count[row[parent]] = entries["customers"][parent]
+            self.parent[row[parent]] = (entries["tables"][dishes] - PARENT_DISCOUNT * entries["tables"][parent] + sums.unseen) / sums.dishes
+            k = entries["context"][own].astype(np.int64)
+            here = (entries["customers"][own][:, None] - DISCOUNT * entries["tables"][own]) / (STRENGTH + sums.customers[k])[:, None]
+            keys.append(row[own] * CONTEXTS + k)
+            means.append((here + sums.back[:, k].T * self.parent[row[own]]).mean(axis=1))
+        self.key, first = np.unique(np.concatenate(keys), return_index=True)
+        self.there = np.concatenate(means)[first]
 
 
 def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -262,15 +332,13 @@ def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     model = written(sampled(counts, np.maximum([seen[c] for c in _COUNTS], 1).astype(float), seen["v"]))
     sums = Sums(model)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition("block")
-    replies = asked(dealt).join(model, "word")
+    replies = narrowed(asked(dealt).join(model, "word"))
 
     def scored(left, right):
         import pyarrow as pa
 
-        words = np.concatenate([right.column("word").to_numpy().view(np.uint64), np.zeros(0, dtype=np.uint64)])
-        words, at = np.unique(words, return_index=True)
-        entries, row = _unpacked(right.column("entries").combine_chunks().take(pa.array(at)).to_pylist() if len(words) else [])
-        count, parent, key, there = _probabilities(entries, row, len(words), sums)
+        answers = Answers(right, sums)
+        words, count, parent, key, there = answers.words, answers.count, answers.parent, answers.key, answers.there
         raw, out = bytes_of(left, "text"), []
         nothing = (sums.unseen / sums.dishes)[None]
         for low, high in chunks(raw):
