@@ -39,12 +39,27 @@ ERROR_IN_REMARK, ERROR_IN_LOG = 40, 200
 
 _NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
+_DIGITS = r"(?i)^\s*([+-]?)(?=\.?\d)(\d*)\.?(\d*)(?:e([+-]?\d+))?\s*$"
+
 
 def as_number(value: Column) -> Column:
     """The text as a double; NULL when it is not a number."""
     return F.when(value.rlike(_NUMBER), value.try_cast("double"))
 
 
+def exact_number(value: Column) -> Column:
+    """A number's text in one form for each value, of any length; NULL when it is not a number.
+
+    Sign, digits without zeros around them, and the power of ten of the last.
+    """
+    sign, whole, fraction, power = (F.regexp_extract(value, _DIGITS, i) for i in range(1, 5))
+    significant = F.regexp_replace(F.concat(whole, fraction), "^0+", "")
+    digits = F.regexp_replace(significant, "0+$", "")
+    last = F.coalesce(power.try_cast("bigint"), F.lit(0)) - F.length(fraction) + F.length(significant) - F.length(digits)
+    form = F.concat(F.when(sign == "-", "-").otherwise(""), digits, F.lit("e"), last.cast("string"))
+    return F.when(value.rlike(_DIGITS), F.when(digits == "", "0").otherwise(form))
+
+
 def is_compared_as_number(func: Column, source_type: Column, expected: Column, actual: Column) -> Column:
     """Numbers are compared as numbers only when both texts are there and read as one."""
     wanted = types.is_numeric_type(source_type) | (func == "SUM")
@@ -64,7 +79,7 @@ def metric_matches(func: Column, source_type: Column, expected: Column, actual:
 def metric_matches_exactly(func: Column, source_type: Column, expected: Column, actual: Column) -> Column:
     """Decimals must be equal to the last digit; no tolerance."""
     wanted = types.is_numeric_type(source_type) | (func == "SUM")
-    left, right = expected.try_cast("decimal(38,10)"), actual.try_cast("decimal(38,10)")
+    left, right = exact_number(expected), exact_number(actual)
     return F.when(wanted & left.isNotNull() & right.isNotNull(), left == right).otherwise(expected == actual)
 
 

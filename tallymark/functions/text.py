@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -123,3 +125,16 @@ def on_one_line(text: Column) -> Column:
 def shortened(text: Column, limit: int) -> Column:
     """The first ``limit`` characters, marked with dots when cut."""
     return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit("..."))).otherwise(text)
+
+
+def separated(line: Column, separator: str) -> Column:
+    """The fields of a line; one in double quotes may hold the separator, and a quote as two."""
+    sep, quoted = re.escape(separator), r'"([^"]*(?:""[^"]*)*)"'
+    field = rf"{sep}(?:\s*{quoted}\s*(?={sep}|$)|[^{sep}]*)"
+    found = F.regexp_extract_all(F.concat(F.lit(separator), line), F.lit(field), F.lit(0))
+
+    def bare(part: Column) -> Column:
+        inside = F.replace(F.regexp_extract(part, rf"^{sep}\s*{quoted}\s*$", 1), F.lit('""'), F.lit('"'))
+        return F.when(part.rlike(rf"^{sep}\s*{quoted}\s*$"), inside).otherwise(F.substring(part, F.lit(2), F.length(part)))
+
+    return F.transform(found, bare)

@@ -24,6 +24,8 @@ TEXT_LIKE = ["text", "character varying", "varchar", "string", "char"]
 
 # Fixed value: the type of a number declared without precision.
 PLAIN_NUMBER = "decimal(38,4)"
+# The same without rounding: as many digits after the point as sums leave room for.
+EXACT_PLAIN_NUMBER = "decimal(38,18)"
 # Fixed value: the type assumed for a column the type map does not name.
 UNMAPPED = "string"
 
@@ -93,6 +95,12 @@ def exact_spark_type(source_type: Column) -> Column:
     )
 
 
+def exact_cast_type(source_type: Column) -> Column:
+    """`exact_spark_type` for values that are compared to the last digit: a number without a scale is not rounded to four."""
+    plain = type_name(strip(source_type)).isin("numeric", "decimal") & (type_length(source_type) == "")
+    return F.when(plain, EXACT_PLAIN_NUMBER).otherwise(exact_spark_type(source_type))
+
+
 def number_scale(source_type: Column) -> Column:
     """Digits after the point when a compared number is shown."""
     declared = F.coalesce(source_type, F.lit(""))

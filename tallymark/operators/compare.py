@@ -21,8 +21,8 @@ def compare_profiles(
     The row count must be equal. Other metrics follow their source type;
     ``exact`` compares decimals to the last digit instead of within a
     tolerance, and takes a SUM over nothing as ``0`` on the copy's side as on
-    the source's. Values are shown with the scale of their type. A metric the
-    copy lacks reads as the empty text.
+    the source's. Values are shown with the scale of their type, or as they are
+    when ``exact``. A metric the copy lacks reads as the empty text.
     """
     right = actual.select(*METRIC_KEY, F.col("value").alias("copy_value"))
     matches = rules.metric_matches_exactly if exact else rules.metric_matches
@@ -33,6 +33,8 @@ def compare_profiles(
     zero_if_absent = [COUNT, "SUM"] if exact else [COUNT]
 
     def shown(value):
+        if exact:  # a double would lose digits
+            return value
         return F.when(as_number & (func != COUNT), rules.shown_number(value, scale)).otherwise(value)
 
     return (

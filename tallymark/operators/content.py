@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions import text
-from tallymark.operators.control import ALL_COLUMNS
+from tallymark.operators.control import ALL_COLUMNS, NO_KEYS
 
 
 def key_columns(keys: str | Sequence[str], columns: Sequence[str], table: str = "") -> list[str]:
@@ -20,6 +20,8 @@ def key_columns(keys: str | Sequence[str], columns: Sequence[str], table: str =
         if keys.upper() == ALL_COLUMNS:
             return list(columns)
         keys = [k.strip() for k in keys.split(",") if k.strip()]
+    if not keys:
+        raise ValueError(NO_KEYS)
     known = {c.lower() for c in columns}
     for key in keys:
         if key.lower() not in known:

@@ -17,6 +17,7 @@ from tallymark.functions.text import strip
 TABLE_KEY = ["db", "schema", "table"]
 # Words for "all columns" and "not set" (any case).
 ALL_COLUMNS, UNSET = "ALL", "none"
+NO_KEYS = "No key columns given"
 
 
 def is_set(value: Column) -> Column:
@@ -80,8 +81,11 @@ def rejected_entries(parsed: DataFrame) -> DataFrame:
 
 
 def parse_master_config(lines: DataFrame) -> DataFrame:
-    """``db|schema|table|sum_cols|where`` per line; a later line replaces an earlier one."""
-    parts = F.transform(F.split("value", r"\|"), strip)
+    """``db|schema|table|sum_cols|where`` per line; a later line replaces an earlier one.
+
+    A field in double quotes may hold ``|``.
+    """
+    parts = F.transform(text.separated(F.col("value"), "|"), strip)
     fields = [F.get("parts", F.lit(i)).alias(c) for i, c in enumerate(TABLE_KEY + ["sum_cols", "where"])]
     return (
         lines.withColumn("parts", parts)
@@ -254,6 +258,7 @@ def resolve_keys(tables: DataFrame, type_map: DataFrame) -> DataFrame:
     )
     error = (
         F.when(F.col("has_columns").isNull(), F.lit("No columns found"))
+        .when(~F.coalesce(wants_all, F.lit(False)) & (F.coalesce(F.size("keys"), F.lit(0)) <= 0), F.lit(NO_KEYS))
         .when(
             F.col("unknown").isNotNull(),
             F.concat(

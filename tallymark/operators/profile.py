@@ -4,10 +4,9 @@ A profile has the columns ``func, col, value, position`` (after any grouping
 columns), all values as text. The row count is the row ``COUNT`` of ``*``.
 
 A profile is one aggregate over one scan, and partial aggregation leaves one
-row per task and group to shuffle. Only a wide table is profiled in several
-passes, each over columns of its own: an aggregate over hundreds of columns
-compiles to methods the JVM does not optimise, and takes four times as long as
-passes of twenty. A columnar file still gives every column once.
+row per task and group to shuffle. That holds at any width, so all metrics of a
+table come from one moment and one read of its rows. A caller whose source is a
+columnar file that does not change may ask for passes over some columns each.
 
 Expressions are written as SQL text, since building hundreds of metrics from
 Column calls takes the driver longer than running them.
@@ -26,7 +25,6 @@ from pyspark.sql import types as T
 
 COUNT, EVERY_ROW = "COUNT", "*"
 FUNCTIONS = ("SUM", "MIN", "MAX")
-COLUMNS_PER_PASS = 20
 
 _CAST = re.compile(r"string|long|date|timestamp|double|decimal\(\s*\d+\s*(,\s*\d+\s*)?\)")
 _WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -143,7 +141,7 @@ def profile(
     by: Sequence[str] = (),
     of_copy: bool = False,
     whole_seconds: bool | None = None,
-    columns_per_pass: int | None = COLUMNS_PER_PASS,
+    columns_per_pass: int | None = None,
     collation: str | None = None,
 ) -> DataFrame:
     """Profile a DataFrame, as one table or per group of ``by``.
@@ -151,9 +149,10 @@ def profile(
     On the source side a SUM of nothing is ``0`` and an extreme of nothing is
     the empty text. On the copy's side (``of_copy``) both stay NULL, and
     timestamps are shown in whole seconds unless ``whole_seconds`` says
-    otherwise. ``columns_per_pass=None`` keeps a wide table to one pass, for
-    sources that are read row by row or may change in between. Text is ordered
-    by its bytes, or by ``collation``, e.g. ``UNICODE`` for a source that
+    otherwise. All columns are read in one pass unless ``columns_per_pass`` asks
+    for more, which only suits columnar files that do not change in between: an
+    aggregate over hundreds of columns compiles to methods the JVM does not
+    optimise. Text is ordered by its bytes, or by ``collation``, e.g. ``UNICODE`` for a source that
     orders by language.
     """
     known = {c.lower() for c in df.columns}

@@ -56,9 +56,10 @@ def write_profiles(
 
     A batch is the union of its profiles, so its tables run side by side and
     its plan stays bounded. A table that cannot be planned is left out; a batch
-    that fails while running leaves nothing behind and runs again table by
-    table. So one bad table costs only itself: it has no rows in the folder,
-    and its error tells why.
+    that fails while running leaves nothing behind and runs again in halves, of
+    which only those with a bad table are halved further. So one bad table
+    costs few runs beside its own: it has no rows in the folder, and its error
+    tells why.
     """
     spark.createDataFrame([], PROFILE_SCHEMA).write.mode("append").parquet(folder)
     outcomes = []
@@ -69,22 +70,36 @@ def write_profiles(
             built = [b for found in pool.map(_built, batch) for b in found]
         good = [(tables, df) for tables, df in built if isinstance(df, DataFrame)]
         outcomes += [Outcome(tables[0], started, _now(), str(e)) for tables, e in built if not isinstance(e, DataFrame)]
-        try:
-            if good:
-                _write([df for _, df in good], folder)
-        except Exception:
-            build = {table: r.build for r in batch for table in r.tables}
-            for table in [t for tables, _ in good for t in tables]:
-                started, error = _now(), None
-                try:
-                    _write([build[table]((table,))], folder)
-                except Exception as failure:
-                    error = str(failure)
-                outcomes.append(Outcome(table, started, _now(), error))
-        else:
-            outcomes += [Outcome(table, started, _now(), None) for tables, _ in good for table in tables]
+        build = {table: r.build for r in batch for table in r.tables}
+        outcomes += _run([(tables, df, build[tables[0]]) for tables, df in good], folder)
     return outcomes
 
 
 def _write(profiles: Sequence[DataFrame], folder: str) -> None:
     all_profiles(profiles).write.mode("append").parquet(folder)
+
+
+def _run(parts: Sequence[tuple[tuple, DataFrame, Callable]], folder: str) -> list[Outcome]:
+    """Write the given profiles; if that fails, the halves of them, down to single tables."""
+    if not parts:
+        return []
+    started = _now()
+    try:
+        _write([df for _, df, _ in parts], folder)
+    except Exception as failure:
+        if len(parts) > 1:
+            middle = len(parts) // 2
+            return _run(parts[:middle], folder) + _run(parts[middle:], folder)
+        ((tables, _, build),) = parts
+        if len(tables) == 1:
+            return [Outcome(tables[0], started, _now(), str(failure))]
+        outcomes = []
+        for half in (tables[: len(tables) // 2], tables[len(tables) // 2 :]):
+            for members, df in _built(Request(half, build)):
+                outcomes += (
+                    _run([(members, df, build)], folder)
+                    if isinstance(df, DataFrame)
+                    else [Outcome(members[0], started, _now(), str(df))]
+                )
+        return outcomes
+    return [Outcome(table, started, _now(), None) for tables, _, _ in parts for table in tables]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Callable
 from typing import NamedTuple
@@ -27,14 +28,18 @@ def export_profiles(
     read_table: Callable[[str, str, str], DataFrame],
     folder: str,
     batch_size: int = 50,
+    **options,
 ) -> Export:
     """Profile every listed table that has a configuration.
 
     ``read_table(db, schema, table)`` gives the source table, from JDBC or any
     other reader. Only the plan passes through the driver: names of tables and
-    of their columns. The profiles are written below ``folder``; returned are
-    the lines to export and the status of every table.
+    of their columns. The profiles are written to a new folder of this run below
+    ``folder``; returned are the lines to export and the status of every table.
+    A table listed twice counts once. ``options`` go to `profile`.
     """
+    folder = f"{folder}/{uuid.uuid4().hex}"
+    tables = tables.dropDuplicates(TABLE_KEY)
     configured = control.with_master_config(tables, master)
     chosen = configured.where("has_config")
     metrics = defaultdict(list)
@@ -44,7 +49,7 @@ def export_profiles(
 
     def build(members):
         (table,) = members
-        return profile_table(filtered(read_table(*table), wheres[table]), *table, metrics[table])
+        return profile_table(filtered(read_table(*table), wheres[table]), *table, metrics[table], **options)
 
     outcomes = write_profiles(spark, [Request((t,), build) for t in sorted(wheres)], folder, batch_size)
     errors = spark.createDataFrame(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from typing import NamedTuple
 
@@ -36,7 +38,7 @@ class Reconciliation(NamedTuple):
 
 def _metrics_to_run(expected: DataFrame, metric_types: DataFrame, exact: bool) -> DataFrame:
     """Per table and metric of the line: the type the copy is read as."""
-    to_spark = types.exact_spark_type if exact else types.spark_type
+    to_spark = types.exact_cast_type if exact else types.spark_type
     return (
         compare.metric_rows(expected)
         .withColumn("type_key", F.lower("col"))
@@ -45,6 +47,14 @@ def _metrics_to_run(expected: DataFrame, metric_types: DataFrame, exact: bool) -
     )
 
 
+def _shape(spark: SparkSession, path: str) -> tuple | str:
+    """Names and types of a copy's columns, or the error why it cannot be read."""
+    try:
+        return tuple(sorted((f.name.lower(), f.dataType.simpleString()) for f in parquet_copy(spark, path).schema))
+    except AnalysisException as failure:
+        return PATH_MISSING + path if failure.getCondition() == "PATH_NOT_FOUND" else AGGREGATION_FAILED + str(failure)
+
+
 def reconcile(
     spark: SparkSession,
     tables: DataFrame,
@@ -58,17 +68,22 @@ def reconcile(
     exact: bool = False,
     master: DataFrame | None = None,
     batch_size: int = 50,
+    **options,
 ) -> Reconciliation:
     """Profile the copy of every listed table and compare it with its line.
 
-    Partitions of one table with the same metrics are profiled together, in
-    one grouped aggregate over all their files. Only the plan passes through
-    the driver: paths, names of columns, types. Profiles of the copies are
-    written below ``folder``, and every result reads them from there. The
+    Partitions of one table with the same metrics and whose copies have the
+    same columns are profiled together, in one grouped aggregate over all their
+    files. Only the plan passes through the driver: paths, names of columns,
+    types. Profiles of the copies are written to a new folder of this run below
+    ``folder``, and every result reads them from there. A table listed twice
+    counts once. ``options``, such as a collation, go to `profile`. The
     configured predicates were applied to the sources; they are applied to the
     copies too when ``master`` is given.
     """
     run_start = datetime.now(timezone.utc).replace(tzinfo=None)
+    folder = f"{folder}/{uuid.uuid4().hex}"
+    tables = tables.dropDuplicates(TABLE_KEY)
     execution_id = execution_id or spark.sparkContext.applicationId
     located = control.with_copy_path(tables, control.latest_success(success_log, by_time=exact), path_from, path_to)
     parsed = lines.latest_lines(lines.parse_lines(result_lines))
@@ -88,45 +103,43 @@ def reconcile(
     if master is not None:
         chosen = master.join(tables, TABLE_KEY, "left_semi").select(*TABLE_KEY, "where")
         wheres = {(r.db, r.schema, r.table): r.where for r in chosen.collect()}
+    readable = {(r.db, r.schema, r.table): r.file_path for r in plan if r.has_copy and not r.reason}
+    # Looking at a copy waits for storage. A copy that is not there never gets into a family.
+    with ThreadPoolExecutor(16) as pool:
+        shapes = dict(zip(readable, pool.map(lambda path: _shape(spark, path), readable.values())))
     paths, families, outcomes = {}, defaultdict(list), []
     for row in plan:
         table = (row.db, row.schema, row.table)
-        if row.has_copy and not row.reason:
+        if isinstance(shapes.get(table), str):
+            outcomes.append(Outcome(table, run_start, run_start, shapes[table]))
+        elif table in readable:
             paths[table] = row.file_path
-            families[row.db, row.schema, row.base_table, tuple(metrics[table]), wheres.get(table)].append(table)
+            families[row.db, row.schema, row.base_table, tuple(metrics[table]), wheres.get(table), shapes[table]].append(table)
         else:
             outcomes.append(Outcome(table, run_start, run_start, row.reason if row.has_copy else None))
 
     def build(members):
         db, schema, _ = members[0]
-        options = {"of_copy": True, "whole_seconds": not exact}
-        try:
-            if len(members) == 1:
-                copy = filtered(parquet_copy(spark, paths[members[0]]), wheres.get(members[0]))
-                return profile_table(copy, *members[0], metrics[members[0]], **options)
-            family = parquet_family(spark, {table: paths[db, schema, table] for _, _, table in members}, FAMILY_MEMBER)
-            family = filtered(family, wheres.get(members[0]))
-            return profile_family(family, db, schema, metrics[members[0]], FAMILY_MEMBER, **options)
-        except AnalysisException as failure:
-            if failure.getCondition() == "PATH_NOT_FOUND":
-                raise FileNotFoundError(PATH_MISSING + paths[members[0]]) from failure
-            raise
+        chosen = {"of_copy": True, "whole_seconds": not exact, **options}
+        if len(members) == 1:
+            copy = filtered(parquet_copy(spark, paths[members[0]]), wheres.get(members[0]))
+            return profile_table(copy, *members[0], metrics[members[0]], **chosen)
+        family = parquet_family(spark, {table: paths[db, schema, table] for _, _, table in members}, FAMILY_MEMBER, merge_schemas=False)
+        family = filtered(family, wheres.get(members[0]))
+        return profile_family(family, db, schema, metrics[members[0]], FAMILY_MEMBER, **chosen)
 
     requests = [Request(tuple(sorted(members)), build) for members in families.values()]
-    for outcome in write_profiles(spark, requests, folder, batch_size):
-        error = outcome.error
-        if error is not None and not error.startswith(PATH_MISSING):
-            error = AGGREGATION_FAILED + error
-        outcomes.append(outcome._replace(error=error))
+    for outcome in write_profiles(spark, requests, f"{folder}/profiles", batch_size):
+        outcomes.append(outcome._replace(error=outcome.error and AGGREGATION_FAILED + outcome.error))
     status = spark.createDataFrame([(*o.table, o.started, o.ended, o.error) for o in outcomes], OUTCOME_SCHEMA)
 
     profiled = status.where(F.col("error").isNull()).join(located.where("has_copy"), TABLE_KEY, "left_semi")
     compared = compare.compare_profiles(
-        expected.join(profiled, TABLE_KEY, "left_semi"), spark.read.parquet(folder), metric_types, exact
+        expected.join(profiled, TABLE_KEY, "left_semi"), spark.read.parquet(f"{folder}/profiles"), metric_types, exact
     )
     # Kept as a table, for the results, both logs and the summary read it.
-    compared.write.mode("overwrite").parquet(f"{folder}-compared")
-    compared = spark.read.parquet(f"{folder}-compared")
+    compared.write.parquet(f"{folder}/compared")
+    compared = spark.read.parquet(f"{folder}/compared")
     results = compare.classify_tables(compared, metric_types).unionByName(
         compare.without_result(located.select(*TABLE_KEY, "has_copy").distinct().join(status, TABLE_KEY))
     )

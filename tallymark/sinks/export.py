@@ -27,9 +27,12 @@ def write_lines(
     """Profile lines as text, one folder per run date; no header.
 
     A file holds many lines. If values may hold line breaks, give another
-    ``line_sep``, here and to the reader.
+    ``line_sep``, here and to the reader. A value that holds the separator
+    would come back as two lines, so it raises.
     """
-    writer = lines.select("value").write.mode("append").option("lineSep", line_sep)
+    broken = F.raise_error(F.concat(F.lit("A value holds the line separator: "), F.substring("value", 1, 200)))
+    whole = F.when(F.contains("value", F.lit(line_sep)), broken).otherwise(F.col("value"))
+    writer = lines.select(whole.alias("value")).write.mode("append").option("lineSep", line_sep)
     writer.option("compression", "gzip" if gzip else "none").text(f"{path}/run_date={run_date}")
 
 

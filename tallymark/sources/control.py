@@ -3,7 +3,7 @@
 Control files are written by people or once per table, so one file is read as
 one record: that keeps every line's place in its file, which decides between
 repeated entries and orders the columns of a type map. Logs grow with every
-run and are read as splittable CSV.
+run and are read as splittable lines.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.functions.text import strip
+from tallymark.functions.text import separated, strip
 
 # Header names of a type map and of a success log.
 TYPE_MAP_HEADER = ["gp_column_nm", "gp_datatype", "ext_column_nm", "ext_datatype"]
@@ -38,7 +38,7 @@ def read_type_map(spark: SparkSession, root: str) -> DataFrame:
     )
 
     def cells(line):
-        return F.transform(F.split(line, r"\|"), lambda c: F.regexp_replace(strip(c), r'^"(.*)"$', "$1"))
+        return F.transform(separated(line, "|"), strip)
 
     def cell(header: str):
         place = F.array_position("header", header)
@@ -59,22 +59,38 @@ def read_type_map(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_success_log(spark: SparkSession, root: str) -> DataFrame:
-    """All success logs at ``<db>/<run>/offloadgp_stat_succeeded.<schema>.csv``."""
+    """All success logs at ``<db>/<run>/offloadgp_stat_succeeded.<schema>.csv``.
+
+    Every file is read by its own header, so the columns may come in any order.
+    """
     place = r"/([^/]+)/[^/]+/offloadgp_stat_succeeded\.([^/]+)\.csv$"
     log = (
-        spark.read.option("header", True).csv(f"{root}/*/*/offloadgp_stat_succeeded.*.csv")
+        spark.read.text(f"{root}/*/*/offloadgp_stat_succeeded.*.csv")
         .withColumn("path", F.col("_metadata.file_path"))
         .withColumn("block", F.col("_metadata.file_block_start"))
     )
     # Within a file rows are ordered by split, and in a split by the row id,
     # whose lower 33 bits count the rows of a task.
     ordinal = F.col("block").cast("decimal(20,0)") * F.lit(1 << 33) + F.monotonically_increasing_id() % F.lit(1 << 33)
-    names = zip(SUCCESS_LOG_HEADER, ["name", "status", "ended", "file_path"])
-    return log.select(
-        *[F.url_decode(F.regexp_extract("path", place, i)).alias(c) for i, c in enumerate(["db", "schema"], 1)],
-        *[F.col(header).alias(column) for header, column in names],
-        "path",
-        ordinal.alias("ordinal"),
+    rows = log.select("path", ordinal.alias("ordinal"), separated(F.regexp_replace("value", r"\r$", ""), ",").alias("cells"))
+    names = F.transform("cells", strip)
+    is_header = F.size(F.array_intersect(names, F.array(*map(F.lit, SUCCESS_LOG_HEADER)))) == len(SUCCESS_LOG_HEADER)
+    headers = rows.where(is_header).groupBy("path").agg(F.min_by(names, "ordinal").alias("header"))
+
+    def cell(header: str):
+        value = F.get("cells", (F.array_position("header", header) - 1).cast("int"))
+        return F.when(value != "", value)
+
+    columns = zip(SUCCESS_LOG_HEADER, ["name", "status", "ended", "file_path"])
+    return (
+        rows.where(~is_header)
+        .join(headers, "path")
+        .select(
+            *[F.url_decode(F.regexp_extract("path", place, i)).alias(c) for i, c in enumerate(["db", "schema"], 1)],
+            *[cell(header).alias(column) for header, column in columns],
+            "path",
+            "ordinal",
+        )
     )
 
 

@@ -57,22 +57,24 @@ def parquet_copy(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def parquet_family(spark: SparkSession, paths: Mapping[str, str], column: str = "table") -> DataFrame:
+def parquet_family(
+    spark: SparkSession, paths: Mapping[str, str], column: str = "table", merge_schemas: bool = True
+) -> DataFrame:
     """All physical partitions of a table as one DataFrame.
 
     ``paths`` gives the directory of each partition, and ``column`` gets the
     name of the partition a row came from, by the last part of the directory.
+    Without ``merge_schemas`` all of them must have the same columns.
     """
     names = {directory.rstrip("/").rsplit("/", 1)[-1]: table for table, directory in paths.items()}
     if len(names) < len(paths):
         raise ValueError("Two partitions have the same directory name")
     encoded = F.substring_index(F.substring_index("_metadata.file_path", "/", -2), "/", 1)
     directory = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
-    family = spark.read.option("mergeSchema", True).parquet(*paths.values())
+    family = spark.read.option("mergeSchema", merge_schemas).parquet(*paths.values())
     if all(last == table for last, table in names.items()):
         return family.withColumn(column, directory)
-    # One row per given path, so small enough to broadcast whatever the data.
-    named = F.broadcast(spark.createDataFrame(list(names.items()), ["last directory", column]))
+    named = spark.createDataFrame(list(names.items()), ["last directory", column])
     return family.withColumn("last directory", directory).join(named, "last directory", "left").drop("last directory")
 
 
