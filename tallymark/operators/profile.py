@@ -8,6 +8,11 @@ row per task and group to shuffle. That holds at any width, so all metrics of a
 table come from one moment and one read of its rows. A caller whose source is a
 columnar file that does not change may ask for passes over some columns each.
 
+Grouped extremes of text do not fit Spark's fixed-width hash maps, and would
+make it sort every input row. They are kept in its hash map of objects instead,
+which sorts only in a task with more groups than
+``spark.sql.objectHashAggregate.sortBased.fallbackThreshold`` (128).
+
 Expressions are written as SQL text, since building hundreds of metrics from
 Column calls takes the driver longer than running them.
 """
@@ -24,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 COUNT, EVERY_ROW = "COUNT", "*"
+# An aggregate that gathers nothing, but whose kind makes Spark aggregate in a hash map of objects.
+_IN_OBJECTS = "collect_list(cast(NULL AS boolean)) AS in_objects"
 FUNCTIONS = ("SUM", "MIN", "MAX")
 
 _CAST = re.compile(r"string|long|date|timestamp|double|decimal\(\s*\d+\s*(,\s*\d+\s*)?\)")
@@ -131,7 +138,11 @@ def _one_pass(
         rows.append(
             f"struct('{metric.func}' AS func, {_literal(metric.col)} AS col, metric_{position} AS value, {position} AS position)"
         )
-    wide = base.groupBy(*by).agg(*[F.expr(a) for a in aggregates])
+    of_text = any(m.func != "SUM" and isinstance(kinds[inputs[m.col, m.cast]], T.StringType) for _, m in metrics)
+    if by and of_text:
+        wide = base.groupBy(*by).agg(*[F.expr(a) for a in [*aggregates, _IN_OBJECTS]]).where("size(in_objects) = 0")
+    else:
+        wide = base.groupBy(*by).agg(*[F.expr(a) for a in aggregates])
     return wide.selectExpr(*groups, f"inline(array({', '.join(rows)}))")
 
 
