@@ -309,8 +309,7 @@ ORACLE["content_rows_nulls"] = _content(
     ORDER_COLUMNS,
 )
 # Bytes of the text as hex pairs, each replaced by its Windows-874 character.
-ORACLE["content_rows_special"] = f"""
-    WITH chars AS (
+REREAD = """chars AS (
         SELECT list(CASE WHEN b < 128 OR b = 160 THEN chr(CAST(b AS INTEGER))
                          WHEN b BETWEEN 161 AND 218 OR b BETWEEN 223 AND 251 THEN chr(CAST(b - 160 + 3584 AS INTEGER))
                          WHEN b = 128 THEN '€' WHEN b = 133 THEN '…'
@@ -320,8 +319,22 @@ ORACLE["content_rows_special"] = f"""
     reread AS (
         SELECT doc_id, lang, source, n_chars,
                array_to_string(list_transform(regexp_extract_all(hex(text), '..'), lambda x: c[CAST('0x' || x AS INTEGER)]), '') AS text
-        FROM documents, chars)
-    {_content('reread', ['doc_id', 'text'], DOCUMENT_COLUMNS)}"""
+        FROM documents, chars)"""
+ORACLE["content_rows_special"] = f"WITH {REREAD} {_content('reread', ['doc_id', 'text'], DOCUMENT_COLUMNS)}"
+ORACLE["content_run_rows"] = f"""
+    WITH {REREAD}
+    SELECT *, 'orders' AS "table" FROM ({_content(ORDERS, ['o_orderkey', 'o_custkey'], ORDER_COLUMNS)})
+    UNION ALL SELECT *, 'customer' FROM ({_content(CUSTOMER, CUSTOMER_COLUMNS[::-1], CUSTOMER_COLUMNS[::-1])})
+    UNION ALL SELECT *, 'documents' FROM ({_content('reread', ['doc_id', 'text'], DOCUMENT_COLUMNS)})"""
+ORACLE["content_run_status"] = """
+    SELECT 'orders' AS "table", 'SUCCESS' AS status, '-' AS message, count(*) AS n FROM orders
+    UNION ALL SELECT 'customer', 'SUCCESS', '-', count(*) FROM customer
+    UNION ALL SELECT 'documents', 'SUCCESS', '-', count(*) FROM documents
+    UNION ALL SELECT 'part', 'FAILED', 'Key column ''no_such_key'' not found in table ''sales.part''', 0
+    UNION ALL SELECT 'supplier', 'FAILED', 'No key columns given', 0
+    UNION ALL SELECT 'lineitem', 'FAILED', 'No columns found', 0
+    UNION ALL SELECT 'nothing_here', 'FAILED', 'no such path', 0
+    UNION ALL SELECT 'region', 'FAILED', 'no such column', 0"""
 ORACLE["export_gzip"] = f"""
     SELECT hash_key || '|' || key || '|' || hash_content || '|' || content AS value
     FROM ({_content(ORDERS, ['o_orderkey', 'o_custkey'], ORDER_COLUMNS)})"""

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.tables import DB, SOURCE_TYPES, as_text_copy, source
 from tallymark.operators import control
 from tallymark.operators.lines import parse_lines
+from tallymark.plans.content import export_content
 from tallymark.plans.export import export_profiles
 from tallymark.plans.reconcile import reconcile
 from tallymark.sinks.export import append_log, shared_folder, write_lines
@@ -31,6 +34,17 @@ whs|sales|documents|n_chars|none
 whs|sales|customer|c_acctbal, no_such_column|none
 whs|sales|nothing_here|a|none
 """
+CONTENT_LIST = """
+whs|sales.orders|no_such_key
+whs|sales.orders|O_ORDERKEY, o_custkey
+whs|sales.customer|all
+whs|sales.documents|doc_id, text
+whs|sales.part|p_partkey, no_such_key
+whs|sales.supplier| ,
+whs|sales.lineitem|l_orderkey
+whs|sales.nothing_here|r_regionkey
+whs|sales.region|R_NAME
+"""
 MAPPED = ["lineitem", "events", "customer", "nothing_here"]
 
 
@@ -137,4 +151,49 @@ def reconcile_run_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.agg(count).unionByName(columns.agg(count))
 
 
-RUNS = {run.__name__: run for run in (export_run_lines, export_run_status, reconcile_run, reconcile_run_logs)}
+def _content_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest listed tables; customers are mapped in reverse order, texts are reread, region's map has a column more."""
+    mapped = {t: t for t in ("orders", "customer", "documents", "part", "supplier", "region")} | {"nothing_here": "region"}
+    type_map = _type_map(spark, sf_dir, mapped)
+    order = F.when(F.col("table") == "customer", -F.col("ordinal")).otherwise(F.col("ordinal"))
+    unknown = spark.createDataFrame([(DB, "sales", "region", 99, "r_gone", "text", "r_gone", "string")], type_map.schema)
+    special = spark.createDataFrame(
+        [("WHS", "Sales.Documents", "TEXT", "y"), ("whs", "sales.orders", "o_orderstatus", "n")],
+        "database_name string, original_table_name string, th_column_name string, active_flag string",
+    )
+    return export_content(
+        spark,
+        control.listed_tables(control.parse_table_list(_lines(spark, CONTENT_LIST), with_keys=True)),
+        type_map.withColumn("ordinal", order).unionByName(unknown),
+        control.special_columns(special),
+        lambda db, schema, table: source(spark, sf_dir, table),
+        shared_folder(spark),
+        form="parquet",
+    ).results
+
+
+def _content_written(spark: SparkSession, results: DataFrame) -> DataFrame:
+    done = results.where("status = 'SUCCESS'").collect()
+    return reduce(DataFrame.unionByName, [spark.read.parquet(r.path).withColumn("table", F.lit(r.table)) for r in done])
+
+
+def content_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per table: status, message and rows written; bad, empty and unmapped keys, a missing table, a missing column."""
+    results = _content_run(spark, sf_dir)
+    rows = _content_written(spark, results).groupBy("table").agg(F.count(F.lit(1)).alias("n"))
+    # How Spark words a missing file or column is not the point.
+    message = (
+        F.when(F.contains("message", F.lit("PATH_NOT_FOUND")), "no such path")
+        .when(F.contains("message", F.lit("UNRESOLVED_COLUMN")), "no such column")
+        .otherwise(F.col("message"))
+    )
+    n = F.coalesce("n", F.lit(0).cast("bigint")).alias("n")
+    return results.join(rows, "table", "left").select("table", "status", message.alias("message"), n)
+
+
+def content_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digests that a run wrote, of all tables."""
+    return _content_written(spark, _content_run(spark, sf_dir))
+
+
+RUNS = {run.__name__: run for run in (content_run_status, content_run_rows, export_run_lines, export_run_status, reconcile_run, reconcile_run_logs)}

@@ -147,3 +147,23 @@ def test_line_notes(spark):
         ("t", "COUNT", "*"): "3", ("t", "SUM", "a"): "6", ("t", "MIN_MAX_STATUS", ""): "DATA_TYPE_FILE_MISSING",
         ("u", "COUNT", "*"): "0", ("w", "COUNT", "*"): "1", ("w", "SUM", "a"): "2",
     }
+
+
+@pytest.mark.parametrize("collation", [None, "UNICODE"])
+def test_a_family_with_text_extremes_sorts_no_rows(spark, collation):
+    rows = [("p1", "bé", 1), ("p1", "a", 2), ("p2", None, 3), ("p2", "", None), ("p3", None, None)] * 50
+    df = spark.createDataFrame(rows, "table string, name string, n int")
+    family = profile_family(df, "d", "s", sums("n") + extremes("name", "n"), collation=collation)
+    plan = family._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "Sort" not in plan
+    got = {(r.table, r.func, r.col): r.value for r in family.collect()}
+    assert got["p1", "MIN", "name"] == "a" and got["p1", "MAX", "name"] == "bé" and got["p1", "SUM", "n"] == "150"
+    assert got["p2", "MIN", "name"] == "" and got["p3", "MAX", "name"] == "" and got["p3", "SUM", "n"] == "0"
+    assert got["p1", "COUNT", "*"] == "100" and got["p3", "COUNT", "*"] == "50"
+
+
+def test_more_groups_than_the_hash_map_of_objects_holds(spark):
+    df = spark.range(2000).selectExpr("concat('p', id % 500) AS table", "cast(id AS string) AS name")
+    got = profile_family(df, "d", "s", extremes("name")).where("func = 'MAX'").collect()
+    want = {f"p{k}": max(str(i) for i in range(k, 2000, 500)) for k in range(500)}
+    assert {r.table: r.value for r in got} == want
