@@ -1,24 +1,22 @@
 """Language-model scores by a hierarchical Pitman-Yor model with Gibbs-sampled seating.
 
 Two levels of restaurants above a uniform base over the V+1 known and unknown
-tokens: one restaurant per context, and the restaurant of no context, which all
-of them share as parent. A token's context is the class of the token before it:
-its last character, in ``CONTEXTS`` classes. The tables of every (context,
-token) are seated by Gibbs sampling; the probability of a token is averaged
-over the ``SAMPLES`` kept samples.
-
-How it is spread: texts are dealt into blocks of about ``BLOCK_BYTES``. A block
-counts its own tokens by context, as hashes; one shuffle sums the blocks'
-counts into one row per distinct token (never per occurrence), with one column
-per context, so that all restaurants in which a token is served lie in one row
-and are sampled together in arrays. The sampled rows are kept as a table: that
-is the model, and it grows with the corpus. To score, a block asks for its
-distinct tokens and contexts by one join, and the answers to just these are
-brought back to the block's texts. The driver holds only sums per context.
-
-Between rows the sampler exchanges only the number of tables of each context,
-as they were after the sweep before (the usual approximation of distributed
-Gibbs sampling); sums are exact.
+tokens: one restaurant per preceding word, and the unigram restaurant, which all
+of them share as parent. The first token of a text has the end of a text as its
+context. The tables of every (context, token) are seated by Gibbs sampling; the
+probability of a token is averaged over the ``SAMPLES`` kept samples.
+
+How it is spread: a worker counts its distinct pairs of context and token, as
+hashes; one shuffle sums them into one row per pair (never per occurrence). Each
+sweep is one pass over these rows: tables are summed by token and by context
+over all rows, both sums are joined to the pairs, and all pairs are seated again
+and written. The sampled rows are the model, and it grows with the corpus. To
+score, texts are dealt into blocks of about ``BLOCK_BYTES``; a block asks for its
+distinct tokens, contexts and pairs by one join, and the answers to just these
+are brought back to the block's texts. The driver holds only sums over all rows.
+
+A sweep sees the tables of other pairs as they were after the sweep before (the
+usual approximation of distributed Gibbs sampling); sums are exact.
 
 Defined results: A-Z count as a-z; a null or blank text is one end token;
 tokens that no training text has share the unknown entry of the base; if no row
@@ -28,126 +26,100 @@ they are there.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import Words, bytes_of, chunks, text_of, written
+from tallymark.llm.common import Words, bytes_of, chunks, mixed, text_of, written
 
 BLOCK_BYTES = 16 << 20
-CONTEXTS = 16
 SWEEPS, SAMPLES = 3, 2
 #: Keys that a worker holds before it passes them on.
 HELD = 2_000_000
 DISCOUNT, STRENGTH = 0.7, 20.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.7, 20.0
-#: The hash of the end of a text, which is no word's.
+#: The hash of the end of a text, which is no word's, and the context of its first token.
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
 _WORDS = Words()
-_START = CONTEXTS - 1
-#: Class of a token by its last byte: frequent letters and marks have their own, others share.
-_CLASS = np.full(256, 12)
-for _i, _group in enumerate((b"e", b"n", b"s", b"t", b"d", b"r", b"aiou", b"lh", b"g", b".!?", b",;:")):
-    _CLASS[list(_group + _group.upper())] = _i
-_CLASS[128:], _CLASS[48:58] = 11, 13
-_CLASS[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in ".!?,;:"]] = 14
-#: Stands for the restaurant of no context, after all contexts.
-PARENT = CONTEXTS
-#: Stands for the sum over a word's contexts, in replies.
-DISHES = CONTEXTS + 1
-_ENTRY = np.dtype([("context", "u1"), ("customers", "<u4"), ("tables", "<u4", (SAMPLES,))])
-_COUNTS = [f"c{k}" for k in range(CONTEXTS)]
+_TABLES = [f"t{s}" for s in range(SAMPLES)]
+_VALUES = [f"a{s}" for s in range(SAMPLES)]
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and context of every token, ends included, and the number of tokens of each text."""
-    hashes, _, ends, counts = _WORDS.split(texts)
-    buffer = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-    stops = np.cumsum(counts + 1) - 1
+    """Hash and context (the hash before it) of every token, ends included, and the number of tokens of each text."""
+    hashes, _, _, counts = _WORDS.split(texts)
     out = np.full(len(hashes) + len(texts), END, dtype=np.uint64)
-    kinds = np.zeros(len(out), dtype=np.int64)
     is_word = np.ones(len(out), dtype=bool)
-    is_word[stops] = False
-    out[is_word], kinds[is_word] = hashes, _CLASS[buffer[ends - 1]]
-    contexts = np.concatenate(([_START], kinds[:-1]))
-    contexts[stops[:-1] + 1] = _START
-    return out, contexts, counts + 1
+    is_word[np.cumsum(counts + 1) - 1] = False
+    out[is_word] = hashes
+    return out, np.concatenate(([END], out[:-1])), counts + 1
+
 
+def _context_key(context: np.ndarray) -> np.ndarray:
+    """Keys of contexts, which are not those of the words."""
+    return mixed(context ^ np.uint64(0x5BD1E9955BD1E995))
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    key, count = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(key, kind="stable")
-    key, count = key[order], count[order]
-    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return key[starts], np.add.reduceat(count, starts)
 
+def _pair_key(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(mixed(context) + word)
 
-def _word(hashes: np.ndarray) -> np.ndarray:
-    """Word keys leave their low bits to the context."""
-    return hashes >> np.uint64(4) << np.uint64(4)
 
+def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """One entry for each pair of context and word, with its count."""
+    context, word, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((word, context))
+    context, word, count = context[order], word[order], count[order]
+    starts = np.flatnonzero(np.concatenate(([True], (context[1:] != context[:-1]) | (word[1:] != word[:-1]))))
+    return context[starts], word[starts], np.add.reduceat(count, starts)
 
-def _rows_of(key: np.ndarray, count: np.ndarray):
-    """Batches of rows ``word`` and counts by context, of sorted keys of words and contexts."""
+
+def _batches(names: list[str], columns: list[np.ndarray], size: int = 100_000) -> Iterator:
     import pyarrow as pa
 
-    word = _word(key)
-    starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-    edges = np.append(starts, len(key))
-    for low in range(0, len(starts), 20_000):
-        high = min(low + 20_000, len(starts))
-        a, b = edges[low], edges[high]
-        table = np.zeros((high - low, CONTEXTS), dtype=np.int64)
-        table[np.repeat(np.arange(high - low), np.diff(edges[low : high + 1])), (key[a:b] & np.uint64(15)).astype(np.int64)] = count[a:b]
-        yield pa.RecordBatch.from_arrays([pa.array(word[starts[low:high]].view(np.int64)), *(pa.array(table[:, k].copy()) for k in range(CONTEXTS))], names=["word", *_COUNTS])
+    columns = [c.view(np.int64) if c.dtype == np.uint64 else c for c in columns]
+    for low in range(0, len(columns[0]), size):
+        yield pa.RecordBatch.from_arrays([pa.array(c[low : low + size]) for c in columns], names=names)
 
 
 def counted(rows: DataFrame) -> DataFrame:
-    """Training counts: one row per distinct token, summed over all partitions."""
+    """context, word and customers: one row per distinct pair of the training texts, summed over all partitions."""
+    names = ["context", "word", "customers"]
 
     def batches(stream):
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        parts: list[tuple[np.ndarray, ...]] = []
         held = 0
         for batch in stream:
             raw = bytes_of(batch, "text")
             for low, high in chunks(raw):
-                hashes, contexts, _ = tokens(raw[low:high])
-                key, count = np.unique(_word(hashes) | contexts.astype(np.uint64), return_counts=True)
-                parts.append((key, count.astype(np.int64)))
-                held += len(key)
+                word, context, _ = tokens(raw[low:high])
+                parts.append(_merged([(context, word, np.ones(len(word), dtype=np.int64))]))
+                held += len(parts[-1][0])
                 if len(parts) > 16:
                     parts = [_merged(parts)]
                     held = len(parts[0][0])
-            if held > 1_000_000:  # bounds the memory of a worker; the shuffle sums the rest
-                yield from _rows_of(*_merged(parts))
-                parts, held = [], 0
+                if held > HELD:  # bounds the memory of a worker; the shuffle sums the rest
+                    yield from _batches(names, list(_merged(parts)))
+                    parts, held = [], 0
         if parts:
-            yield from _rows_of(*_merged(parts))
+            yield from _batches(names, list(_merged(parts)))
 
-    part = rows.where("learn").select("text").mapInArrow(batches, ", ".join(f"{c} long" for c in ["word", *_COUNTS]))
-    return part.groupBy("word").agg(*(F.sum(c).alias(c) for c in _COUNTS))
+    part = rows.where("learn").select("text").mapInArrow(batches, "context long, word long, customers long")
+    return part.groupBy("context", "word").agg(F.sum("customers").alias("customers"))
 
 
 def asked(rows: DataFrame) -> DataFrame:
-    """block, word and wanted: the distinct tokens of each block, and a bit for each context it serves them in.
+    """block and key: of each block the distinct keys of its tokens, contexts and pairs.
 
-    A worker that holds much passes it on, so a token of a block may come twice.
+    A worker that holds much passes it on, so a key of a block may come twice.
     """
 
     def batches(stream):
-        import pyarrow as pa
-
         def passed_on(found):
             for block, own in found.items():
                 key = np.unique(np.concatenate(own))
-                word = _word(key)
-                starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-                wanted = np.bitwise_or.reduceat(1 << (key & np.uint64(15)).astype(np.int32), starts).astype(np.int32)
-                word = word[starts].view(np.int64)
-                for low in range(0, len(word), 100_000):
-                    part = slice(low, low + 100_000)
-                    blocks = np.full(len(word[part]), block, dtype=np.int32)
-                    yield pa.RecordBatch.from_arrays([pa.array(word[part]), pa.array(blocks), pa.array(wanted[part])], names=["word", "block", "wanted"])
+                yield from _batches(["key", "block"], [key, np.full(len(key), block, dtype=np.int32)])
 
         found: dict[int, list[np.ndarray]] = {}
         for batch in stream:
@@ -156,42 +128,17 @@ def asked(rows: DataFrame) -> DataFrame:
                 texts = [raw[i] for i in np.flatnonzero(blocks == block)]
                 own = found.setdefault(int(block), [])
                 for low, high in chunks(texts):
-                    hashes, contexts, _ = tokens(texts[low:high])
-                    own.append(np.unique(_word(hashes) | contexts.astype(np.uint64)))
-                if len(own) > 16:
-                    own[:] = [np.unique(np.concatenate(own))]
+                    word, context, _ = tokens(texts[low:high])
+                    own.append(np.unique(np.concatenate([np.unique(word), _context_key(np.unique(context)), _pair_key(context, word)])))
+                    if len(own) > 16:
+                        own[:] = [np.unique(np.concatenate(own))]
             if sum(len(x) for own in found.values() for x in own) > HELD:
                 yield from passed_on(found)
                 found = {}
         yield from passed_on(found)
 
     # All columns are taken, so that Spark can use the texts' one exchange here and for the scores.
-    return rows.mapInArrow(batches, "word long, block int, wanted int")
-
-
-def narrowed(replies: DataFrame) -> DataFrame:
-    """word, block and entries: of each reply the contexts that were asked for, the parent, and what all contexts add up to there."""
-
-    def batches(stream):
-        import pyarrow as pa
-
-        for batch in stream:
-            if not batch.num_rows:
-                continue
-            entries, row = _unpacked(batch.column("entries"))
-            own = entries["context"] < PARENT
-            asked_for = batch.column("wanted").to_numpy()[row] >> np.minimum(entries["context"], PARENT).astype(np.int32) & 1
-            dishes = np.zeros(batch.num_rows, dtype=_ENTRY)
-            dishes["context"] = DISHES
-            for s in range(SAMPLES):
-                dishes["tables"][:, s] = np.bincount(row[own], weights=entries["tables"][own, s], minlength=batch.num_rows)
-            keep = ~own | (asked_for == 1)
-            row = np.append(row[keep], np.arange(batch.num_rows))
-            order = np.argsort(row, kind="stable")
-            packed = _packed(np.concatenate([entries[keep], dishes])[order], np.bincount(row, minlength=batch.num_rows))
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("block"), packed], names=["word", "block", "entries"])
-
-    return replies.select("word", "block", "wanted", "entries").mapInArrow(batches, "word long, block int, entries binary")
+    return rows.mapInArrow(batches, "key long, block int")
 
 
 def seated(customers: np.ndarray, new: np.ndarray, discount: float, draw: np.random.Generator) -> np.ndarray:
@@ -215,111 +162,112 @@ def seated(customers: np.ndarray, new: np.ndarray, discount: float, draw: np.ran
     return t.astype(np.int64)
 
 
-def sampled(counts: DataFrame, types: np.ndarray, vocabulary: int) -> DataFrame:
-    """word and entries: customers and tables of every kept sample, of the contexts that serve it and, last, of the parent."""
-    unseen = (PARENT_STRENGTH + PARENT_DISCOUNT * vocabulary) / (vocabulary + 1)
+def _column(batch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy()
 
-    def batches(stream):
-        import pyarrow as pa
 
-        for batch in stream:
-            word = batch.column("word").to_numpy()
-            if not len(word):
-                continue
-            c = np.stack([batch.column(k).to_numpy() for k in _COUNTS], axis=1)
-            draw = np.random.default_rng(int(word.min()) & 0xFFFFFFFF)
-            own = np.maximum((c > 0).sum(axis=0), 1)
-            t, kept = np.minimum(c, 1), []
-            for sweep in range(SWEEPS):
-                seats = types * (t.sum(axis=0) / own)  # tables of each context: this batch is a random share of its dishes
-                dish = t.sum(axis=1)
-                above = seated(dish, np.full(len(dish), unseen), PARENT_DISCOUNT, draw)
-                parent = (dish - PARENT_DISCOUNT * above + unseen) / (seats.sum() + PARENT_STRENGTH)
-                new = (STRENGTH + DISCOUNT * seats)[None] * np.minimum(parent, 1)[:, None]
-                t = seated(c.ravel(), new.ravel(), DISCOUNT, draw).reshape(c.shape)
-                if sweep >= SWEEPS - SAMPLES:
-                    dish = t.sum(axis=1)
-                    above = seated(dish, np.full(len(dish), unseen), PARENT_DISCOUNT, draw)
-                    kept.append(np.column_stack([t, above]))
-            row, k = np.nonzero(c)
-            row, k = np.append(row, np.arange(len(c))), np.append(k, np.full(len(c), PARENT))
-            order = np.argsort(row, kind="stable")
-            row, k = row[order], k[order]
-            entries = np.empty(len(row), dtype=_ENTRY)
-            entries["context"], entries["customers"] = k, np.column_stack([c, c.sum(axis=1)])[row, k]
-            entries["tables"] = np.stack(kept, axis=1)[row, :, k]
-            packed = _packed(entries, np.bincount(row, minlength=len(c)))
-            yield pa.RecordBatch.from_arrays([pa.array(word), packed], names=["word", "entries"])
-
-    return counts.mapInArrow(batches, "word long, entries binary")
-
-
-def _packed(entries: np.ndarray, sizes: np.ndarray):
-    """An Arrow array of one binary per row, which holds the row's entries."""
-    import pyarrow as pa
+class Parent:
+    """The unigram restaurant for one sample of the pairs' tables: word, customers, dishes and above (tables), and their sums."""
 
-    edges = (np.concatenate(([0], np.cumsum(sizes))) * _ENTRY.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(entries.tobytes())])
+    def __init__(self, pairs: DataFrame, tables: str, above: float | None, sweep: int):
+        """``above``: tables of the unigram restaurant after the sweep before; one for each word if None."""
+        dishes = written(pairs.groupBy("word").agg(F.sum("customers").alias("customers"), F.sum(tables).alias("dishes")))
+        seen = dishes.agg(F.count("*").alias("v"), F.sum("customers").alias("n"), F.sum("dishes").alias("d")).first()
+        self.v, self.n = seen["v"], seen["n"] or 0
+        self.total = (seen["d"] or 0) + PARENT_STRENGTH
+        new = self._unseen(self.v if above is None else above)
 
-
-def _unpacked(column) -> tuple[np.ndarray, np.ndarray]:
-    """The entries of all rows of an Arrow array of binaries, and the row of each."""
-    import pyarrow as pa
-
-    if not len(column):
-        return np.empty(0, dtype=_ENTRY), np.empty(0, dtype=np.int64)
-    _, edges, data = column.buffers()
-    edges = np.frombuffer(edges, dtype=np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset : column.offset + len(column) + 1]
-    sizes = np.diff(edges) // _ENTRY.itemsize
-    return np.frombuffer(data, dtype=_ENTRY, count=int(sizes.sum()), offset=int(edges[0])), np.repeat(np.arange(len(column)), sizes)
-
-
-class Sums:
-    """Sums over all restaurants, which the probabilities need: customers, tables of each sample, N and V."""
-
-    def __init__(self, model: DataFrame):
         def batches(stream):
             import pyarrow as pa
 
             for batch in stream:
                 if batch.num_rows:
-                    entries, _ = _unpacked(batch.column("entries"))
-                    per = lambda x: np.bincount(entries["context"], weights=x, minlength=CONTEXTS + 1)
-                    c, t = per(entries["customers"]), [per(entries["tables"][:, s]) for s in range(SAMPLES)]
-                    row = np.concatenate([c[:CONTEXTS], *t, [c[PARENT], batch.num_rows]]).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(row))), pa.array(row)], names=["at", "n"])
+                    word, dish = _column(batch, "word"), _column(batch, "dishes")
+                    draw = np.random.default_rng([int(word.min()) & 0xFFFFFFFF, sweep])
+                    tables = seated(dish, np.full(len(dish), new), PARENT_DISCOUNT, draw)
+                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tables)], names=["word", "customers", "dishes", "above"])
+
+        self.words = written(dishes.mapInArrow(batches, "word long, customers long, dishes long, above long"))
+        self.above = self.words.agg(F.sum("above").alias("n")).first()["n"] or 0
+        self.unseen = self._unseen(self.above)
+
+    def _unseen(self, above: float) -> float:
+        return (PARENT_STRENGTH + PARENT_DISCOUNT * above) / (self.v + 1)
+
+    def probability(self) -> Column:
+        return (F.col("dishes") - F.lit(PARENT_DISCOUNT) * F.col("above") + F.lit(float(self.unseen))) / F.lit(float(self.total))
+
+
+def sampled(counts: DataFrame) -> tuple[DataFrame, list[Parent]]:
+    """The pairs with their tables in every kept sample, and the unigram restaurant of each."""
+    pairs = counts.select("*", *(F.lit(1).cast("long").alias(t) for t in _TABLES))
+    names = ["context", "word", "customers", *_TABLES]
+    schema = ", ".join(f"{c} long" for c in names)
+    last, above, parents = _TABLES[-1], None, []
+    for sweep in range(SWEEPS + 1):
+        parent = Parent(pairs, last, above, sweep)
+        above = parent.above
+        parents.append(parent)
+        if sweep == SWEEPS:
+            break
+        # Written, so that Spark can split what a very common context or word has in the joins.
+        seats = written(pairs.groupBy("context").agg(F.sum(last).alias("seats")))
+
+        def batches(stream, sweep=sweep):
+            import pyarrow as pa
 
-        found = {r["at"]: r["n"] for r in model.mapInArrow(batches, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}
-        row = np.array([found.get(i, 0) for i in range(CONTEXTS + SAMPLES * (CONTEXTS + 1) + 2)], dtype=float)
-        self.customers, tables = row[:CONTEXTS], row[CONTEXTS:-2].reshape(SAMPLES, CONTEXTS + 1)
-        self.n, self.v = int(row[-2]), int(row[-1])
-        self.back = (STRENGTH + DISCOUNT * tables[:, :CONTEXTS]) / (STRENGTH + self.customers)  # by sample and context
-        self.unseen = (PARENT_STRENGTH + PARENT_DISCOUNT * tables[:, CONTEXTS]) / (self.v + 1)
-        self.dishes = tables[:, :CONTEXTS].sum(axis=1) + PARENT_STRENGTH
+            for batch in stream:
+                if batch.num_rows:
+                    customers = _column(batch, "customers")
+                    draw = np.random.default_rng([int(_column(batch, "word").min()) & 0xFFFFFFFF, int(_column(batch, "context").min()) & 0xFFFFFFFF, sweep])
+                    new = (STRENGTH + DISCOUNT * _column(batch, "seats")) * np.minimum(_column(batch, "parent"), 1)
+                    tables = pa.array(seated(customers, new, DISCOUNT, draw))
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ["context", "word", "customers", *_TABLES[1:]]), tables], names=names)
+
+        served = pairs.join(parent.words.select("word", parent.probability().alias("parent")), "word").join(seats, "context")
+        pairs = written(served.mapInArrow(batches, schema))
+    return pairs, parents[-SAMPLES:]
+
+
+def answers(pairs: DataFrame, parents: list[Parent]) -> DataFrame:
+    """key, n and a value by sample: what the model knows of each token (count, parent's probability), context
+    (customers, share that goes to the parent) and pair (customers less discounts)."""
+    words = parents[-1].words.select("word", "customers")
+    for value, parent in zip(_VALUES, parents, strict=True):
+        words = words.join(parent.words.select("word", parent.probability().alias(value)), "word")
+    back = lambda t: (F.lit(STRENGTH) + F.lit(DISCOUNT) * F.sum(t)) / (F.lit(STRENGTH) + F.sum("customers"))
+    contexts = pairs.groupBy("context").agg(F.sum("customers").alias("n"), *(back(t).alias(a) for t, a in zip(_TABLES, _VALUES, strict=True)))
+    names = ["key", "n", *_VALUES]
+    schema = "key long, n long, " + ", ".join(f"{a} double" for a in _VALUES)
+
+    def of_contexts(stream):
+        for batch in stream:
+            yield from _batches(names, [_context_key(_column(batch, "context").view(np.uint64)), *(_column(batch, c) for c in names[1:])])
+
+    def of_pairs(stream):
+        for batch in stream:
+            customers = _column(batch, "customers")
+            key = _pair_key(_column(batch, "context").view(np.uint64), _column(batch, "word").view(np.uint64))
+            yield from _batches(names, [key, customers, *(customers - DISCOUNT * _column(batch, t) for t in _TABLES)])
+
+    return words.toDF(*names).unionAll(contexts.mapInArrow(of_contexts, schema)).unionAll(pairs.mapInArrow(of_pairs, schema))
 
 
 class Answers:
-    """What a block knows of its words: training count and parent's probability by sample, and the averaged probability in a context."""
-
-    def __init__(self, replies, sums: Sums):
-        """``replies``: an Arrow table of words and entries, read in slices, for arrays of all entries are large."""
-        column = replies.column("word").to_numpy().view(np.uint64)
-        self.words, at = np.unique(column, return_inverse=True)
-        self.count = np.zeros(len(self.words))
-        self.parent = np.zeros((len(self.words), SAMPLES))
-        keys, means, low = [np.empty(0, dtype=np.int64)], [np.empty(0)], 0
-        for batch in replies.select(["entries"]).to_batches(max_chunksize=20_000):
-            entries, row = _unpacked(batch.column(0))
-            row, low = at[low + row], low + batch.num_rows
-            parent, dishes, own = entries["context"] == PARENT, entries["context"] == DISHES, entries["context"] < PARENT
-            self.count[row[parent]] = entries["customers"][parent]
-            self.parent[row[parent]] = (entries["tables"][dishes] - PARENT_DISCOUNT * entries["tables"][parent] + sums.unseen) / sums.dishes
-            k = entries["context"][own].astype(np.int64)
-            here = (entries["customers"][own][:, None] - DISCOUNT * entries["tables"][own]) / (STRENGTH + sums.customers[k])[:, None]
-            keys.append(row[own] * CONTEXTS + k)
-            means.append((here + sums.back[:, k].T * self.parent[row[own]]).mean(axis=1))
-        self.key, first = np.unique(np.concatenate(keys), return_index=True)
-        self.there = np.concatenate(means)[first]
+    """What a block knows: n and values of the keys that it asked for and the model has."""
+
+    def __init__(self, replies):
+        self.key, first = np.unique(replies.column("key").to_numpy().view(np.uint64), return_index=True)
+        self.n = replies.column("n").to_numpy()[first]
+        self.values = np.stack([replies.column(a).to_numpy()[first] for a in _VALUES], axis=1)
+
+    def of(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which keys are known, and n and values of each; zeros for others."""
+        if not len(self.key):
+            return np.zeros(len(key), dtype=bool), np.zeros(len(key)), np.zeros((len(key), SAMPLES))
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        known = self.key[at] == key
+        return known, np.where(known, self.n[at], 0.0), np.where(known[:, None], self.values[at], 0.0)
 
 
 def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -327,39 +275,32 @@ def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("doc_id"), may_learn.alias("learn"), text_of(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    counts = written(counted(rows))
-    seen = counts.agg(F.count("*").alias("v"), *(F.count(F.when(F.col(c) > 0, 1)).alias(c) for c in _COUNTS)).first()
-    model = written(sampled(counts, np.maximum([seen[c] for c in _COUNTS], 1).astype(float), seen["v"]))
-    sums = Sums(model)
+    pairs, parents = sampled(written(counted(rows)))
+    n, v = parents[-1].n, parents[-1].v
+    nothing = np.array([p.unseen / p.total for p in parents])
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition("block")
-    replies = narrowed(asked(dealt).join(model, "word"))
+    replies = asked(dealt).join(answers(pairs, parents), "key").select("block", "key", "n", *_VALUES)
 
     def scored(left, right):
         import pyarrow as pa
 
-        answers = Answers(right, sums)
-        words, count, parent, key, there = answers.words, answers.count, answers.parent, answers.key, answers.there
+        told = Answers(right)
         raw, out = bytes_of(left, "text"), []
-        nothing = (sums.unseen / sums.dishes)[None]
         for low, high in chunks(raw):
-            hashes, contexts, sizes = tokens(raw[low:high])
-            hashes = _word(hashes)
-            i = np.minimum(np.searchsorted(words, hashes), max(len(words) - 1, 0))
-            known = words[i] == hashes if len(words) else np.zeros(len(hashes), dtype=bool)
-            c = np.where(known, count[i], 0.0) if len(words) else np.zeros(len(hashes))
-            above = np.where(known[:, None], parent[i], nothing) if len(words) else np.repeat(nothing, len(hashes), axis=0)
-            p = (sums.back[:, contexts].T * above).mean(axis=1)
-            if len(key):
-                wanted = i * CONTEXTS + contexts
-                j = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
-                p = np.where(known & (key[j] == wanted), there[j], p)
+            word, context, sizes = tokens(raw[low:high])
+            known, c, parent = told.of(word)
+            parent = np.where(known[:, None], parent, nothing)
+            met, customers, back = told.of(_context_key(context))
+            back = np.where(met[:, None], back, 1.0)  # nobody sits in a context that was never met
+            here = told.of(_pair_key(context, word))[2]
+            p = (here / (STRENGTH + customers)[:, None] + back * parent).mean(axis=1)
             doc = np.repeat(np.arange(high - low), sizes)
             total = lambda x, doc=doc, n=high - low: np.bincount(doc, weights=x, minlength=n)
-            base = np.log10((c + 0.5) / (sums.n + 0.5 * (sums.v + 1)))
+            base = np.log10((c + 0.5) / (n + 0.5 * (v + 1)))
             out.append((sizes, total(known).astype(np.int64), total(base), total(np.log10(p))))
         sizes, known, base, own = (np.concatenate(x) for x in zip(*out, strict=True))
         held_out = pa.array(~left.column("learn").to_numpy().astype(bool))
-        columns = [left.column("doc_id").combine_chunks(), held_out, pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), sums.n)), pa.array(base), pa.array(own)]
+        columns = [left.column("doc_id").combine_chunks(), held_out, pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), n)), pa.array(base), pa.array(own)]
         return pa.Table.from_arrays(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     def either(left, right):

@@ -147,6 +147,15 @@ def test_language_model(docs, none):
     assert hpylm.score(none, F.lit(True)).count() == 0
 
 
+def test_language_model_knows_the_word_before(spark):
+    texts = ["qa xa ya za"] * 40 + ["qa xa ya za", "qa ya xa za"]  # all words end alike
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = {r.doc_id: r for r in hpylm.score(rows, F.col("doc_id") < 40).collect()}
+    assert own[40].base_score == pytest.approx(own[41].base_score)
+    assert own[40].score > own[41].score + 0.5
+    assert (own[40].train_tokens, own[40].n_known, own[40].n_tokens) == (200, 5, 5)
+
+
 def test_html(spark):
     model = html_content.train([])
     page = html_content.layouts(["A title", "First long paragraph of the story, which goes on for some time.", "Fish &amp; chips."], 7)
