@@ -1,8 +1,8 @@
 """License scan by ordered signature rules, gated by keywords, with overlaps resolved by priority and containment.
 
-A text is folded to lower-case words joined by single spaces. A handful of
-anchors, one of which every rule needs, rules most texts out at once; in the
-others each rule runs only if its own keyword is there. Detections are ordered
+A text is folded to lower-case words joined by single spaces. Each rule has a
+keyword that all its matches hold, and runs only where that is; the shortest
+keywords, one of which every rule needs, rule most texts out at once. Detections are ordered
 by priority, then length, then place: a detection inside one that came before
 it is suppressed. What is left gives the labels. The four base phrases are
 counted everywhere and their labels always stay.
@@ -29,7 +29,6 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-ANCHORS = (b"licen", b"copyright", b"public domain", b"warrant", b"gpl", b"spdx", b"cc ", b"cc0", b"redistribut", b"reserved", b"permission", b"copyleft", b"trademark", b"liable", b"eula", b"gnu")
 
 _VERSION = r"(?: (?:version|v))? ?"
 #: Licenses as label, names as regular expressions over folded text, versions as they are written when folded.
@@ -91,7 +90,7 @@ _FREE = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "permission"),
     ("mit", "the above copyright notice and this permission notice shall be included in all copies", "permission"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribut"),
-    ("bsd-3-clause", "neither the name of .{1,80}? nor the names of its contributors may be used to endorse", "permission"),
+    ("bsd-3-clause", "neither the name of .{1,80}? nor the names of its contributors may be used to endorse", "endorse"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee", "permission"),
     ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", "warrant"),
     ("gpl", "is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e", "gnu"),
@@ -103,14 +102,14 @@ _FREE = [
     ("apache", "www apache org licenses license 2 0", "licen"),
     ("mpl", "this source code form is subject to the terms of the mozilla public licen[sc]e", "licen"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "public domain"),
-    ("wtfpl", "you just do what the fuck you want to", "licen"),
+    ("wtfpl", "you just do what the fuck you want to", "fuck you want to"),
     ("public-domain", "(?:released|dedicated|placed|donated) (?:in|to|into) the public domain", "public domain"),
     ("public-domain", "this work is in the public domain", "public domain"),
     ("cc0", "cc0(?: 1 0)?(?: universal)?", "cc0"),
-    ("cc0", "creative commons (?:zero|public domain dedication)", "licen"),
+    ("cc0", "creative commons (?:zero|public domain dedication)", "creative commons"),
     ("proprietary", "all rights reserved", "reserved"),
     ("proprietary", "may not be (?:reproduced|copied|distributed|published)[a-z ]{0,60}? without (?:prior |express )?(?:written )?permission", "permission"),
-    ("proprietary", "confidential and proprietary", "copyright"),
+    ("proprietary", "confidential and proprietary", "proprietary"),
     ("eula", "end user licen[sc]e agreement", "licen"),
     ("no-warranty", "without warranty of any kind", "warrant"),
     ("no-warranty", "as is basis without warranties or conditions of any kind", "warrant"),
@@ -121,12 +120,12 @@ _PHRASED = [("under the {} ", 30), ("released under the {} ", 30), ("licen[sc]ed
 
 
 def _rules() -> list[tuple[int, str, bytes, re.Pattern]]:
-    """priority (lower goes first), label, keyword, signature."""
+    """priority (lower goes first), label, keyword (which every match holds, the space before it included), signature."""
     rows = [(10, label, keyword, text) for label, text, keyword in _FREE]
     for label, names, versions in _NAMED:
         for name in names:
-            keyword = "licen" if "licen[sc]e" in name else name.split()[0].replace("the", "unlicense")
-            keyword = {"same": "perl"}.get(keyword, keyword)
+            keyword = "licen" if "licen[sc]e" in name else "unlicense" if "unlicense" in name else " " + name.split()[0]
+            keyword = {" same": " same terms"}.get(keyword, keyword)
             rows += [(20, f"{label}-{v.replace(' ', '.')}", keyword, f"{name}{_VERSION}{v}") for v in versions]
             rows.append((40, label, keyword, name))
     for part, tail in _CC_PARTS:
@@ -144,6 +143,9 @@ def _rules() -> list[tuple[int, str, bytes, re.Pattern]]:
 
 
 RULES = _rules()
+_NEEDED = {keyword for _, _, keyword, _ in RULES} | {f" {phrase} ".encode() for phrase in BASE}
+#: A text without any of these holds no keyword and no base phrase.
+ANCHORS = tuple(sorted(k for k in _NEEDED if not any(other != k and other in k for other in _NEEDED)))
 #: Bytes that make up words once A-Z are folded; all others separate them.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 

@@ -113,6 +113,40 @@ def test_licenses(docs, none):
     assert licenses.scan(none).count() == 0
 
 
+def example(parsed):
+    """A short text that a parsed regular expression matches."""
+    out = ""
+    for kind, value in parsed:
+        match str(kind):
+            case "LITERAL":
+                out += chr(value)
+            case "IN":
+                out += chr(value[0][1] if str(value[0][0]) == "LITERAL" else value[0][1][0])
+            case "ANY":
+                out += "x"
+            case "BRANCH":
+                out += example(value[1][0])
+            case "SUBPATTERN":
+                out += example(value[3])
+            case "MAX_REPEAT" | "MIN_REPEAT":
+                out += example(value[2]) * value[0]
+            case "ASSERT":
+                pass
+            case _:
+                raise ValueError(kind)
+    return out
+
+
+def test_license_keywords_hide_no_rule(monkeypatch):
+    texts = [example(re._parser.parse(signature.pattern.decode())).encode() for *_, signature in licenses.RULES]
+    texts += [b"Available under Creative Commons Attribution 4.0 International", b"Source: MPL 2.0", b"Creative Commons Zero", b"Confidential and proprietary."]
+    gated = [licenses.scanned(t) for t in texts]
+    monkeypatch.setattr(licenses, "ANCHORS", (b"",))
+    monkeypatch.setattr(licenses, "RULES", [(p, label, b"", signature) for p, label, _, signature in licenses.RULES])
+    assert gated == [licenses.scanned(t) for t in texts]
+    assert all(row[5] and row[6] > 0 for row in gated)
+
+
 def test_toxicity_ignores_mentions(docs, none, spark):
     draw = random.Random(1)
     plain = [words(12, i) for i in range(200)]
