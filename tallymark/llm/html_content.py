@@ -31,10 +31,15 @@ SAMPLE = 120
 PAGES_AT_A_TIME = 128
 #: Fixed values of HTML: elements without end tag, with raw text, and those that start a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea iframe svg title".split())
+RAW = frozenset("script style noscript template textarea iframe title".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split())
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-_HIDDEN = RAW | {"head", "select", "button", "input"}
+_HIDDEN = RAW | {"head", "select", "button", "input", "svg"}
+#: Elements of other languages, in which a start tag may close itself, and what starts HTML again in a drawing.
+FOREIGN = frozenset(("svg", "math"))
+_LEAVES = BLOCKS | frozenset("b big br code em embed i img menu meta ruby s small span strong strike sub sup tt u var".split())
+_HTML_INSIDE = frozenset(("foreignobject", "desc"))
+_UNQUOTED_END = re.compile(r"""=\s*[^\s"'=<>`]+\Z""")
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|x-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -67,6 +72,10 @@ class Page:
                     stack.pop()
                 block += tag in BLOCKS
                 continue
+            if (tag in FOREIGN or not FOREIGN.isdisjoint(tags)) and m[3].endswith("/") and not _UNQUOTED_END.search(m[3]):
+                continue
+            if tag in _LEAVES and "svg" in tags:
+                self._leave(stack, tags)
             if tag in BLOCKS:
                 block += 1
                 if "p" in tags:
@@ -96,6 +105,14 @@ class Page:
             if tags[i] in walls:
                 return
 
+    @staticmethod
+    def _leave(stack: list[int], tags: list[str]) -> None:
+        """Close the drawings that are open, up to the HTML that one of them holds."""
+        low = max((i for i, tag in enumerate(tags) if tag in _HTML_INSIDE), default=0)
+        if "svg" in tags[low:]:
+            low = tags.index("svg", low)
+            del tags[low:], stack[low:]
+
     def _node(self, parent: int, kind: int, features: list[str], block: int) -> int:
         self.parent.append(parent)
         self.depth.append(self.depth[parent] + 1)

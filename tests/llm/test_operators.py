@@ -197,6 +197,17 @@ def test_html(spark):
     assert "First long paragraph" in text[0] and "newsletter" not in text[0] and text[1] == ""
 
 
+@pytest.mark.parametrize("icon", ['<svg class="i"/>', "<svg/>", '<svg class="i"><path d="M0 0"/><title/><g><svg/></g></svg>', '<svg class="i"><path d="M0 0">', "<svg class=i/>"])
+def test_html_goes_on_after_a_drawing(icon):
+    model = html_content.train([])
+    first, last = "First long paragraph of the story, which goes on for some time.", "Fish and chips were had by all of them."
+    page = html_content.layouts(["A title", first, last], 7)
+    head, foot = page.replace("<body>", f"<body><header>{icon}</header>"), page.replace(f"<p>{last}", f"<p>{icon}</p><p>{last}")
+    assert page not in (head, foot)
+    for text in model.extract([page, head, foot]):
+        assert first in text and last in text and "newsletter" not in text
+
+
 def test_quality(docs, none):
     rows = quality.judged(docs)
     assert rows.count() == docs.count() and quality.judged(none).count() == 0
