@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -41,16 +42,20 @@ _LEAVES = BLOCKS | frozenset("b big br code em embed i img menu meta ruby s smal
 _HTML_INSIDE = frozenset(("foreignobject", "desc"))
 _UNQUOTED_END = re.compile(r"""=\s*[^\s"'=<>`]+\Z""")
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|x-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Page:
-    """Nodes of a page in document order: parent, depth, kind (0 element, 1 text run), features, label, text and block."""
+    """Nodes of a page in document order: parent, depth, kind (0 element, 1 text run), features, label, text and block.
+
+    ``marker``: the attribute that holds labels; only pages to train on have one.
+    """
 
     __slots__ = ("block", "depth", "features", "kind", "label", "parent", "text")
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, marker: str = ""):
+        told = re.compile(rf"(?<![^\s\"']){re.escape(marker)}='([01])'") if marker else None
         self.parent, self.depth, self.kind, self.features = [-1], [0], [0], [["root"]]
         self.label, self.text, self.block = [0], [""], [0]
         stack, tags, block, at, n = [0], ["#"], 0, 0, len(source)
@@ -94,6 +99,8 @@ class Page:
             tags.append(tag)
             if m[3]:
                 self._attributes(m[3])
+                if told and (label := told.search(m[3])):
+                    self.label[-1] = int(label[1])
         self._measure()
 
     @staticmethod
@@ -125,11 +132,7 @@ class Page:
 
     def _attributes(self, raw: str) -> None:
         for m in _ATTRIBUTE.finditer(raw):
-            value = m[2] or m[3] or m[4] or ""
-            if m[1].lower() == "x-label":
-                self.label[-1] = int(value)
-            else:
-                self.features[-1] += [f"name={x.lower()}" for x in _NAME.findall(value)]
+            self.features[-1] += [f"name={x.lower()}" for x in _NAME.findall(m[2] or m[3] or m[4] or "")]
 
     def _run(self, raw: str, stack: list[int], tags: list[str], block: int) -> None:
         text = html.unescape(raw) if "&" in raw else raw
@@ -257,8 +260,8 @@ _PARTS = (
 _FILLER = ("Home", "About us", "Read more", "Sign up for our newsletter.", "This site uses cookies.", "I agree with this comment.", "All rights reserved.", "Buy now and save.")
 
 
-def layouts(blocks: list[str], number: int) -> str:
-    """A labelled page with these blocks as content, in the layout of that number."""
+def layouts(blocks: list[str], number: int, marker: str = "x-label") -> str:
+    """A labelled page with these blocks as content, in the layout of that number; attributes of the name ``marker`` hold the labels."""
     escape = lambda x: html.escape(x, quote=False)
     if number % 3 == 1:  # articles also have runs of very short paragraphs
         blocks = blocks + [" ".join(b.split()[:2]) for b in blocks for _ in range(4)]
@@ -273,10 +276,10 @@ def layouts(blocks: list[str], number: int) -> str:
         filler.append(escape(blocks[(number + k) % len(blocks)]) if (number + k) % 3 == 0 else "x")
         inner = "".join(f"<li><a href='/{j}'>{f}</a></li>" for j, f in enumerate(filler)) if kind == "nav" or own in ("menu", "related", "share", "social") else "".join(f"<p>{f}</p>" for f in filler)
         if (number + k) % 4:
-            around.append((k < 6, f"<{kind if number % 2 else 'div'} class='{own}' x-label='0'>{inner}</{kind if number % 2 else 'div'}>"))
-    inside = "<div class='ad' x-label='0'>Buy now</div>" if number % 4 == 0 else ""
+            around.append((k < 6, f"<{kind if number % 2 else 'div'} class='{own}' {marker}='0'>{inner}</{kind if number % 2 else 'div'}>"))
+    inside = f"<div class='ad' {marker}='0'>Buy now</div>" if number % 4 == 0 else ""
     before, after = "".join(x for b, x in around if b), "".join(x for b, x in around if not b)
-    return f"<html><head><title>t</title></head><body>{before}<div id='page'><{tag} class='{name}' x-label='1'>{inside}{body}</{tag}></div>{after}</body></html>"
+    return f"<html><head><title>t</title></head><body>{before}<div id='page'><{tag} class='{name}' {marker}='1'>{inside}{body}</{tag}></div>{after}</body></html>"
 
 
 _OWN = [["A title", "The first sentence of a story, with a few more words in it.", "Another paragraph follows here. It has two sentences.", "The end."]]
@@ -284,11 +287,12 @@ _OWN = [["A title", "The first sentence of a story, with a few more words in it.
 
 def train(sources: list[str]) -> ContentModel:
     """Trained on the pages that mark one article, and on their texts in other layouts."""
-    marked = [re.sub(r"<article\b", "<article x-label='1'", s) for s in sources if len(re.findall(r"<article\b", s)) == 1]
-    pages = [Page(s) for s in marked]
+    marker = f"x-{uuid.uuid4().hex}"  # no page has this attribute of its own
+    marked = [re.sub(r"<article\b", f"<article {marker}='1'", s) for s in sources if len(re.findall(r"<article\b", s)) == 1]
+    pages = [Page(s, marker) for s in marked]
     texts = [p.content([bool(x) for x in p.label]).split("\n\n") for p in pages]
     texts = [t for t in texts if t and t[0]] or _OWN
-    return ContentModel(pages + [Page(layouts(texts[i % len(texts)][:12], i)) for i in range(max(60, len(pages)))])
+    return ContentModel(pages + [Page(layouts(texts[i % len(texts)][:12], i, marker), marker) for i in range(max(60, len(pages)))])
 
 
 def extract(pages: DataFrame, sample: int = SAMPLE, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

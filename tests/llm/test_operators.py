@@ -208,6 +208,16 @@ def test_html_goes_on_after_a_drawing(icon):
         assert first in text and last in text and "newsletter" not in text
 
 
+def test_html_takes_no_labels_from_pages():
+    page = html_content.layouts(["A title", "First long paragraph of the story, which goes on for some time."], 7)
+    chart = page.replace("<body>", "<body><div x-label='Year'></div><div data-x-label=\"7\"></div>")
+    model = html_content.train([])
+    assert model.extract([chart]) == model.extract([page]) and "First long" in model.extract([page])[0]
+    story = "<html><body><nav x-label='1'>Home</nav><article><h1>A title</h1><p>A story of some length, told in a sentence.</p></article></body></html>"
+    own, plain = html_content.train([story]), html_content.train([story.replace(" x-label='1'", "")])
+    assert own.slots == plain.slots and (own.weights == plain.weights).all()
+
+
 def test_quality(docs, none):
     rows = quality.judged(docs)
     assert rows.count() == docs.count() and quality.judged(none).count() == 0
