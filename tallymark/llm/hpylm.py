@@ -16,7 +16,8 @@ distinct tokens, contexts and pairs by one join, and the answers to just these
 are brought back to the block's texts. The driver holds only sums over all rows.
 
 A sweep sees the tables of other pairs as they were after the sweep before (the
-usual approximation of distributed Gibbs sampling); sums are exact.
+usual approximation of distributed Gibbs sampling); sums are exact. Chances follow
+from the hashes of context and word, so scores do not depend on how rows are laid out.
 
 Defined results: A-Z count as a-z; a null or blank text is one end token;
 tokens that no training text has share the unknown entry of the base; if no row
@@ -141,19 +142,22 @@ def asked(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(batches, "key long, block int")
 
 
-def seated(customers: np.ndarray, new: np.ndarray, discount: float, draw: np.random.Generator) -> np.ndarray:
+def seated(customers: np.ndarray, new: np.ndarray, discount: float, seeds: np.ndarray) -> np.ndarray:
     """Tables after all customers of each dish are seated again, one by one.
 
     A customer opens a table with odds ``new`` against ``n - discount * t``, for
     n customers seated at t tables. Runs of customers that open none are skipped
-    in one step by inverting their joint probability.
+    in one step by inverting their joint probability. ``seeds``: of each dish, all
+    its chances follow from it, whatever rows lie beside it.
     """
     n, t = np.minimum(customers, 1).astype(float), np.minimum(customers, 1).astype(float)
-    active = np.flatnonzero(customers > 1)
+    active, step = np.flatnonzero(customers > 1), np.uint64(0)
     while len(active):
         free = n[active] - discount * t[active]
+        step += np.uint64(1)
+        chance = (mixed(seeds[active] + step * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)) * 2.0**-53
         # P(no new table up to m customers) = (free / (free + m - n)) ** new, continued between whole numbers.
-        jump = free * (np.maximum(draw.random(len(active)), 1e-300) ** (-1 / np.maximum(new[active], 1e-3)) - 1)
+        jump = free * (np.maximum(chance, 1e-300) ** (-1 / np.maximum(new[active], 1e-3)) - 1)
         reached = n[active] + 1 + np.floor(np.minimum(jump, 1e15))
         opened = reached <= customers[active]
         n[active] = np.minimum(reached, customers[active])
@@ -166,6 +170,10 @@ def _column(batch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy()
 
 
+def _seeds(key: np.ndarray, sweep: int) -> np.ndarray:
+    return mixed(key ^ mixed(np.array([sweep + 1], dtype=np.uint64)))
+
+
 class Parent:
     """The unigram restaurant for one sample of the pairs' tables: word, customers, dishes and above (tables), and their sums."""
 
@@ -183,8 +191,7 @@ class Parent:
             for batch in stream:
                 if batch.num_rows:
                     word, dish = _column(batch, "word"), _column(batch, "dishes")
-                    draw = np.random.default_rng([int(word.min()) & 0xFFFFFFFF, sweep])
-                    tables = seated(dish, np.full(len(dish), new), PARENT_DISCOUNT, draw)
+                    tables = seated(dish, np.full(len(dish), new), PARENT_DISCOUNT, _seeds(word.view(np.uint64), sweep))
                     yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tables)], names=["word", "customers", "dishes", "above"])
 
         self.words = written(dishes.mapInArrow(batches, "word long, customers long, dishes long, above long"))
@@ -219,9 +226,9 @@ def sampled(counts: DataFrame) -> tuple[DataFrame, list[Parent]]:
             for batch in stream:
                 if batch.num_rows:
                     customers = _column(batch, "customers")
-                    draw = np.random.default_rng([int(_column(batch, "word").min()) & 0xFFFFFFFF, int(_column(batch, "context").min()) & 0xFFFFFFFF, sweep])
+                    key = _pair_key(_column(batch, "context").view(np.uint64), _column(batch, "word").view(np.uint64))
                     new = (STRENGTH + DISCOUNT * _column(batch, "seats")) * np.minimum(_column(batch, "parent"), 1)
-                    tables = pa.array(seated(customers, new, DISCOUNT, draw))
+                    tables = pa.array(seated(customers, new, DISCOUNT, _seeds(key, sweep)))
                     yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ["context", "word", "customers", *_TABLES[1:]]), tables], names=names)
 
         served = pairs.join(parent.words.select("word", parent.probability().alias("parent")), "word").join(seats, "context")

@@ -197,6 +197,12 @@ def test_html(spark):
     assert "First long paragraph" in text[0] and "newsletter" not in text[0] and text[1] == ""
 
 
+def test_language_model_is_the_same_in_any_layout(spark):
+    rows = [(i, words(40, i % 50)) for i in range(120)]
+    one, other = (spark.createDataFrame(x, "doc_id long, text string").repartition(n) for x, n in ((rows, 1), (rows[::-1], 7)))
+    assert sorted(hpylm.score(one, F.col("doc_id") % 5 != 1).collect()) == sorted(hpylm.score(other, F.col("doc_id") % 5 != 1).collect())
+
+
 @pytest.mark.parametrize("icon", ['<svg class="i"/>', "<svg/>", '<svg class="i"><path d="M0 0"/><title/><g><svg/></g></svg>', '<svg class="i"><path d="M0 0">', "<svg class=i/>"])
 def test_html_goes_on_after_a_drawing(icon):
     model = html_content.train([])
