@@ -501,13 +501,54 @@ def _text(metrics: list[tuple[str, str]]) -> str:
 ALL_LINEITEM = _sums("l_quantity", "l_extendedprice", "l_orderkey") + _extremes(*LINEITEM_COLUMNS)
 ALL_EVENTS = _sums("value") + _extremes("event_id", "ts", "user_id", "event_type", "value", "props")
 NOTE = "MIN_MAX_STATUS: DATA_TYPE_FILE_MISSING"
-ORACLE["export_run_lines"] = f"""
+ALL_DOCUMENTS = _sums("n_chars") + _extremes(*DOCUMENT_COLUMNS)
+ORACLE["export_run_unmapped"] = f"""
     SELECT 'whs' AS db, 'sales' AS "schema", 'lineitem' AS "table", count(*) AS row_count, {_text(ALL_LINEITEM)} AS metric_text,
            '' AS line_remark, CAST(NULL AS VARCHAR) AS reason FROM {LINEITEM}
     UNION ALL
     SELECT 'whs', 'sales', 'events', count(*), {_text(ALL_EVENTS)}, '', NULL FROM {EVENTS} WHERE value > 10
     UNION ALL
     SELECT 'whs', 'sales', 'documents', count(*), 'SUM(n_chars):' || sum(n_chars), '{NOTE}', NULL FROM documents"""
+ORACLE["export_run_lines"] = f"""
+    SELECT 'whs' AS db, 'sales' AS "schema", 'lineitem' AS "table", count(*) AS row_count, {_text(ALL_LINEITEM)} AS metric_text,
+           '' AS line_remark, CAST(NULL AS VARCHAR) AS reason FROM {LINEITEM}
+    UNION ALL
+    SELECT 'whs', 'sales', 'events', count(*), {_text(ALL_EVENTS)}, '', NULL FROM {EVENTS} WHERE value > 10
+    UNION ALL
+    SELECT 'whs', 'sales', 'documents', count(*), {_text(ALL_DOCUMENTS)}, '', NULL FROM documents"""
+ORACLE["export_run_at_source"] = ORACLE["export_run_lines"]
+ODD = "text || ' |,MAX(text):%2C' || chr(13) || chr(10) || 'MIN_MAX_STATUS: '"
+ORACLE["export_run_escaped"] = _long(
+    f"(SELECT * REPLACE ({ODD} AS text) FROM documents)", _sums("n_chars") + _extremes("text", "lang"), "source", by="source"
+)
+ORACLE["success_log_files"] = """
+    SELECT 'sales_f' AS "schema", 'cust_' || o_custkey AS "table", '/land, all/' || o_orderkey AS file_path,
+           CAST(NULL AS VARCHAR) AS reason, CAST(1 AS BIGINT) AS n
+    FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority NOT IN ('1-URGENT', '5-LOW')
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) = 1
+    UNION ALL
+    SELECT 'sales_o', 'cust_' || o_custkey, '/land, all/' || o_orderkey, NULL, 1
+    FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '1-URGENT'
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1
+    UNION ALL
+    SELECT NULL, NULL, NULL, 'The log has no header', count(*) FROM orders WHERE o_orderstatus = 'P' HAVING count(*) > 0
+    UNION ALL
+    SELECT NULL, NULL, NULL, 'The row ends before the table''s name and status', count(*)
+    FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW' HAVING count(*) > 0"""
+ORACLE["incremental_second_run"] = f"""
+    WITH flags AS (
+        SELECT l_returnflag AS flag, count(*) AS n, CAST(sum(l_extendedprice) AS DECIMAL(38,2)) AS total,
+               row_number() OVER (ORDER BY l_returnflag) = 1 AS is_first, row_number() OVER (ORDER BY l_returnflag DESC) = 1 AS is_last
+        FROM {LINEITEM} GROUP BY l_returnflag),
+    cycles AS (
+        SELECT cycle, flag, n, CASE WHEN is_last AND cycle >= 3 THEN 2 * total ELSE total END AS total,
+               CASE cycle WHEN 1 THEN 'new' WHEN 3 THEN CASE WHEN is_last THEN 'newer' WHEN is_first THEN 'missing' ELSE 'current' END ELSE 'current' END AS reason
+        FROM flags, (VALUES (1), (2), (3), (4)) AS c(cycle))
+    SELECT cycle, 'lineitem_1_prt_' || flag AS "table", reason, CASE reason WHEN 'current' THEN 'CURRENT' ELSE 'COPIED' END AS status,
+           CAST(n AS VARCHAR) AS n, CAST(CAST(total AS DECIMAL(38,2)) AS VARCHAR) AS total
+    FROM cycles
+    UNION ALL
+    SELECT 4, 'nowhere', NULL, 'FAILED', NULL, NULL"""
 ORACLE["export_run_status"] = """
     SELECT * FROM (VALUES ('lineitem', 'SUCCESS', '-'), ('events', 'SUCCESS', '-'),
         ('documents', 'WARNING', 'Count/Sum successful, unable to process min/max because the data type mapping file was not found.'),

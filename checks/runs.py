@@ -7,14 +7,17 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.tables import DB, SOURCE_TYPES, as_text_copy, source
+from checks.tables import DB, SOURCE_TYPES, as_text_copy, order_table, read, source
 from tallymark.operators import control
-from tallymark.operators.lines import parse_lines
+from tallymark.operators.lines import decode_lines, encode_lines, parse_lines
+from tallymark.operators.profile import Metric, all_profiles, extremes, profile_family, profile_table, sums
 from tallymark.plans.content import export_content
 from tallymark.plans.export import export_profiles
+from tallymark.plans.ingest import current_copies, ingest_changed, read_manifest
 from tallymark.plans.reconcile import reconcile
-from tallymark.sinks.export import append_log, shared_folder, write_lines
-from tallymark.sources.control import read_result_lines
+from tallymark.sinks.export import append_log, shared_folder, write_line_files, write_lines
+from tallymark.sources.aggregates import SPARK, profile_at_source, quoted
+from tallymark.sources.control import read_line_files, read_result_lines, read_success_log, rejected_log_rows
 
 LIST = """
 # the tables of this run
@@ -45,7 +48,9 @@ whs|sales.lineitem|l_orderkey
 whs|sales.nothing_here|r_regionkey
 whs|sales.region|R_NAME
 """
-MAPPED = ["lineitem", "events", "customer", "nothing_here"]
+MAPPED = ["lineitem", "events", "documents", "customer", "nothing_here"]
+# The same without documents, whose metrics are then the count and the sum.
+PARTLY_MAPPED = [t for t in MAPPED if t != "documents"]
 
 
 def _lines(spark: SparkSession, text: str) -> DataFrame:
@@ -65,28 +70,65 @@ def _type_map(spark: SparkSession, sf_dir: str, tables: dict[str, str]) -> DataF
     )
 
 
-def _export(spark: SparkSession, sf_dir: str):
+def _export(spark: SparkSession, sf_dir: str, mapped: list[str] = MAPPED, **options):
+    rows = None if "aggregate" in options else lambda db, schema, table: source(spark, sf_dir, table)
     return export_profiles(
         spark,
         control.listed_tables(control.parse_table_list(_lines(spark, LIST))),
         control.parse_master_config(_lines(spark, CONFIG)),
-        _type_map(spark, sf_dir, {t: t if t != "nothing_here" else "region" for t in MAPPED}),
-        lambda db, schema, table: source(spark, sf_dir, table),
+        _type_map(spark, sf_dir, {t: t if t != "nothing_here" else "region" for t in mapped}),
+        rows,
         shared_folder(spark),
+        **options,
     )
 
 
+def _split(found: DataFrame, whole: bool = False) -> DataFrame:
+    return parse_lines(found, whole).select("db", "schema", "table", "row_count", "metric_text", "line_remark", "reason")
+
+
 def export_run_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines of an export run, written, read back and split."""
+    """The lines of an export run, written one file per table, read back and split; texts hold line breaks and the separator."""
     folder = shared_folder(spark)
-    write_lines(_export(spark, sf_dir).lines, folder, "2024-01-31")
-    found = read_result_lines(spark, folder, one_per_file=False)
-    return parse_lines(found).select("db", "schema", "table", "row_count", "metric_text", "line_remark", "reason")
+    write_line_files(_export(spark, sf_dir).lines, folder, "2024-01-31")
+    return _split(read_line_files(spark, folder), whole=True)
+
+
+def export_run_unmapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run where documents have no type map, written as many lines to a file."""
+    folder = shared_folder(spark)
+    write_lines(_export(spark, sf_dir, PARTLY_MAPPED).lines, folder, "2024-01-31")
+    return _split(read_result_lines(spark, folder, one_per_file=False))
+
+
+def export_run_at_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run, each table's profile taken by one SQL statement of the source, here Spark's own over views."""
+    for table in MAPPED:
+        if table != "nothing_here":
+            source(spark, sf_dir, table).createOrReplaceTempView(f"sales_{table}")
+
+    def aggregate(db, schema, table, metrics, where):
+        return profile_at_source(spark.sql, db, schema, table, metrics, where, quoted(f"{schema}_{table}", SPARK), SPARK)
+
+    folder = shared_folder(spark)
+    write_line_files(_export(spark, sf_dir, aggregate=aggregate).lines, folder, "2024-01-31", gzip=True)
+    return _split(read_line_files(spark, folder), whole=True)
+
+
+def export_run_escaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extremes of texts that hold all that a line gives a meaning, escaped into lines of one file, read back as metrics."""
+    folder = shared_folder(spark)
+    odd = F.concat(F.col("text"), F.lit(" |,MAX(text):%2C\r\nMIN_MAX_STATUS: "))
+    texts = source(spark, sf_dir, "documents").withColumn("text", odd)
+    profile = profile_family(texts.withColumnRenamed("source", "table"), DB, "sales", sums("n_chars") + extremes("text", "lang"))
+    write_lines(encode_lines(profile, escape=True), folder, "2024-01-31", gzip=True)
+    parsed = parse_lines(read_result_lines(spark, folder, one_per_file=False))
+    return decode_lines(parsed, escape=True).select("table", "func", "col", "value")
 
 
 def export_run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The outcome per table: fine, no type map, missing column or table, no configuration."""
-    results = _export(spark, sf_dir).results
+    results = _export(spark, sf_dir, PARTLY_MAPPED).results
     # How Spark words a missing file is not the point.
     remark = F.when(F.contains("remark", F.lit("PATH_NOT_FOUND")), "no such path").otherwise(F.col("remark"))
     return results.select("table", "status", remark.alias("remark"))
@@ -196,4 +238,94 @@ def content_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _content_written(spark, _content_run(spark, sf_dir))
 
 
-RUNS = {run.__name__: run for run in (content_run_status, content_run_rows, export_run_lines, export_run_status, reconcile_run, reconcile_run_logs)}
+def _write_log(rows: DataFrame, header: str | None, path: str, line_sep: str) -> None:
+    """Rows (bucket, place, value) as a log of some files, each with the header, in the order of their places."""
+    spark = rows.sparkSession
+    if header is not None:
+        first = spark.range(4).select(F.col("id").alias("bucket"), F.lit(-1).cast("long").alias("place"), F.lit(header).alias("value"))
+        rows = rows.unionByName(first)
+    sorted_rows = rows.repartition(4, "bucket").sortWithinPartitions("bucket", "place")
+    sorted_rows.select("value").write.option("lineSep", line_sep).text(path)
+
+
+def success_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of orders by status: two orders of columns, one without end times, one without a header, some short rows.
+
+    Each row of the result is the newest success of a table, or the number of rows rejected for a reason.
+    """
+    root = f"{shared_folder(spark)}/logs"
+    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    fields = {
+        "Greenplum_Tbl": order_table(),
+        "Run_Status": F.when(F.col("o_orderpriority") == "1-URGENT", "FAILED").otherwise("SUCCEEDED"),
+        "End_Timestamp_Script": F.concat_ws(" ", F.date_format("o_orderdate", "yyyy-MM-dd"), F.lpad(key, 12, "0")),
+        "File_Path": F.concat(F.lit('"/land, all/'), key, F.lit('"')),
+        "Id": key,
+    }
+    logs = {
+        "F": (["Id", "Greenplum_Tbl", "Run_Status", "End_Timestamp_Script", "File_Path"], True, "\n"),
+        "O": (["File_Path", "Run_Status", "Greenplum_Tbl"], True, "\r\n"),
+        "P": (["Id", "Greenplum_Tbl", "Run_Status"], False, "\n"),
+    }
+    orders = read(spark, sf_dir, "orders")
+    for name, (columns, has_header, line_sep) in logs.items():
+        row = F.concat_ws(",", *[fields[c] for c in columns])
+        if name == "F":
+            row = F.when(F.col("o_orderpriority") == "5-LOW", key).otherwise(row)
+        rows = orders.where(status == name).select((F.col("o_custkey") % 4).alias("bucket"), F.col("o_orderkey").alias("place"), row.alias("value"))
+        path = f"{root}/{DB}/run_{name}/offloadgp_stat_succeeded.sales_{name.lower()}.csv"
+        _write_log(rows, ",".join(columns) if has_header else None, path, line_sep)
+    nothing = F.lit(None).cast("string")
+    newest = control.latest_success(read_success_log(spark, root)).select(
+        "schema", "table", "file_path", nothing.alias("reason"), F.lit(1).cast("long").alias("n")
+    )
+    rejected = rejected_log_rows(spark, root).groupBy("reason").agg(F.count("*").alias("n"))
+    return newest.unionByName(rejected.select(nothing.alias("schema"), nothing.alias("table"), nothing.alias("file_path"), "reason", "n"))
+
+
+def incremental_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four cycles over lineitem by return flag: all is new; nothing changed; one source newer and one copy gone; a bad table.
+
+    Per cycle and table: reason, status, and rows and sum of the copy that counts.
+    """
+    folder = shared_folder(spark)
+    landing, root, manifest = f"{folder}/landing", f"{folder}/copies", f"{folder}/manifest"
+    lineitem = source(spark, sf_dir, "lineitem")
+    as_text_copy(lineitem).write.partitionBy("l_returnflag").parquet(landing)
+    flags = sorted(r[0] for r in lineitem.select("l_returnflag").distinct().collect())
+
+    def listed(*more):
+        rows = [(DB, "sales", f"lineitem_1_prt_{f}", f"{landing}/l_returnflag={f}") for f in flags]
+        return spark.createDataFrame([*rows, *more], "db string, schema string, table string, directory string")
+
+    def state(cycle: int, *more) -> DataFrame:
+        results = ingest_changed(spark, listed(*more), root, manifest).results
+        found = {r.table: r.copy for r in current_copies(read_manifest(spark, manifest)).collect()}
+        metrics = [Metric("SUM", "l_extendedprice", "decimal(18,2)")]
+        profiles = [profile_table(spark.read.parquet(path), DB, "sales", table, metrics, of_copy=True) for table, path in found.items()]
+        wide = all_profiles(profiles).groupBy("table").agg(
+            F.max(F.when(F.col("func") == "COUNT", F.col("value"))).alias("n"), F.max(F.when(F.col("func") == "SUM", F.col("value"))).alias("total")
+        )
+        kept = results.join(wide, "table", "left").select(F.lit(cycle).alias("cycle"), "table", "reason", "status", "n", "total")
+        kept.write.mode("append").parquet(f"{folder}/states")
+        return kept
+
+    state(1)
+    state(2)
+    gone = current_copies(read_manifest(spark, manifest)).where(F.col("table") == f"lineitem_1_prt_{flags[0]}").first()["copy"]
+    spark.createDataFrame([], "value string").write.mode("overwrite").text(gone)
+    # The last flag's source is written anew, with its amounts doubled.
+    doubled = lineitem.where(F.col("l_returnflag") == flags[-1]).withColumn("l_extendedprice", (F.col("l_extendedprice") * 2).cast("decimal(18,2)"))
+    as_text_copy(doubled.drop("l_returnflag")).write.mode("overwrite").parquet(f"{landing}/l_returnflag={flags[-1]}")
+    state(3)
+    state(4, (DB, "sales", "nowhere", f"{landing}/nowhere"))
+    return spark.read.parquet(f"{folder}/states")
+
+
+RUNS = {
+    run.__name__: run
+    for run in (
+        content_run_status, content_run_rows, export_run_lines, export_run_unmapped, export_run_at_source, export_run_escaped,
+        export_run_status, reconcile_run, reconcile_run_logs, success_log_files, incremental_second_run,
+    )
+}

@@ -127,6 +127,28 @@ def shortened(text: Column, limit: int) -> Column:
     return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, limit), F.lit("..."))).otherwise(text)
 
 
+# What a line gives a meaning, and how it reads in an escaped value. The escape
+# character itself comes first when writing and last when reading.
+ESCAPES = [(c, f"%{ord(c):02X}") for c in "%|,()\n\r"] + [("STATUS:", "STATUS%3A")]
+GUARD = "%_"
+
+
+def escaped(text: Column) -> Column:
+    """The text with nothing in it that a line gives a meaning; blanks at its ends are guarded."""
+    plain = text
+    for char, code in ESCAPES:
+        plain = F.replace(plain, F.lit(char), F.lit(code))
+    return F.when(plain == strip(plain), plain).otherwise(F.concat(F.lit(GUARD), plain, F.lit(GUARD)))
+
+
+def unescaped(text: Column) -> Column:
+    """What `escaped` was given."""
+    plain = F.replace(text, F.lit(GUARD), F.lit(""))
+    for char, code in reversed(ESCAPES):
+        plain = F.replace(plain, F.lit(code), F.lit(char))
+    return plain
+
+
 def separated(line: Column, separator: str) -> Column:
     """The fields of a line; one in double quotes may hold the separator, and a quote as two."""
     sep, quoted = re.escape(separator), r'"([^"]*(?:""[^"]*)*)"'

@@ -1,6 +1,10 @@
 """The text form of a profile: one line per table.
 
 ``db|schema|table|count|FUNC(col):value,FUNC(col):value``
+
+Values stand there as they are, so one that holds ``|`` or reads like a metric
+breaks its line, and blanks at its ends are lost. Escaped lines keep any value and
+any column name; both sides must agree on them.
 """
 
 from __future__ import annotations
@@ -9,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions import rules
-from tallymark.functions.text import strip
+from tallymark.functions.text import escaped, strip, unescaped
 from tallymark.operators.control import TABLE_KEY
 from tallymark.operators.profile import COUNT, EVERY_ROW
 
@@ -30,10 +34,13 @@ def mark_missing_type_map(tables: DataFrame) -> DataFrame:
     )
 
 
-def encode_lines(profile: DataFrame) -> DataFrame:
+def encode_lines(profile: DataFrame, escape: bool = False) -> DataFrame:
     """Profile rows -> ``db, schema, table, value`` with one line per table."""
+    name, text = F.col("col"), F.coalesce("value", F.lit(""))
+    if escape:
+        name, text = escaped(name), escaped(text)
     shown = F.when(F.col("func") == STATUS, F.concat(F.lit(rules.STATUS_TOKEN + " "), "value")).otherwise(
-        F.concat("func", F.lit("("), "col", F.lit("):"), F.coalesce("value", F.lit("")))
+        F.concat("func", F.lit("("), name, F.lit("):"), text)
     )
     is_count = F.col("func") == COUNT
     metrics = F.array_sort(F.collect_list(F.when(~is_count, F.struct("position", shown.alias("shown")))))
@@ -47,13 +54,14 @@ def encode_lines(profile: DataFrame) -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
+def parse_lines(lines: DataFrame, whole: bool = False) -> DataFrame:
     """Split lines into identity, count, metric text and remark.
 
     ``reason`` tells why a line cannot be used: too few fields, or a count
-    that is no integer.
+    that is no integer. What follows a fifth ``|`` is cut off, unless ``whole``
+    takes it as part of the metrics, whose values may hold one.
     """
-    fields = F.split(strip(F.col("value")), r"\|")
+    fields = F.split(strip(F.col("value")), r"\|", 5 if whole else -1)
     metric_text = strip(F.coalesce(F.get("fields", F.lit(4)), F.lit("")))
     has_status = F.contains("metric_text", F.lit(rules.STATUS_TOKEN))
     before_status = F.when(
@@ -94,8 +102,8 @@ def _row(func: Column, col: Column, value: Column, position: Column) -> Column:
     return F.struct(func.alias("func"), col.alias("col"), value.alias("value"), position.alias("position"))
 
 
-def decode_lines(parsed: DataFrame) -> DataFrame:
-    """Parsed lines -> profile rows, with the count and any status note."""
+def decode_lines(parsed: DataFrame, escape: bool = False) -> DataFrame:
+    """Parsed lines -> profile rows, with the count and any status note; ``escape`` as when they were encoded."""
 
     def group(i: int):
         return F.regexp_extract_all("metric_text", F.lit(METRIC), F.lit(i))
@@ -112,7 +120,8 @@ def decode_lines(parsed: DataFrame) -> DataFrame:
             F.slice(F.col("found"), i + 2, F.size("found")), lambda n: (n["func"] == m["func"]) & (n["col"] == m["col"])
         ),
     )
-    metrics = F.transform("kept", lambda m, i: _row(m["func"], m["col"], m["value"], i + 1))
+    plain = unescaped if escape else (lambda text: text)
+    metrics = F.transform("kept", lambda m, i: _row(m["func"], plain(m["col"]), plain(m["value"]), i + 1))
     status = strip(F.replace("line_remark", F.lit(rules.STATUS_TOKEN), F.lit("")))
     notes = F.filter(F.array(_row(F.lit(STATUS), F.lit(""), status, F.lit(2**31 - 1))), lambda _: F.col("line_remark") != "")
     count = F.array(_row(F.lit(COUNT), F.lit(EVERY_ROW), F.col("row_count").cast("string"), F.lit(0)))

@@ -25,19 +25,27 @@ def export_profiles(
     tables: DataFrame,
     master: DataFrame,
     type_map: DataFrame,
-    read_table: Callable[[str, str, str], DataFrame],
+    read_table: Callable[[str, str, str], DataFrame] | None,
     folder: str,
     batch_size: int = 50,
+    aggregate: Callable[..., DataFrame] | None = None,
+    escaped: bool = False,
     **options,
 ) -> Export:
     """Profile every listed table that has a configuration.
 
-    ``read_table(db, schema, table)`` gives the source table, from JDBC or any
-    other reader. Only the plan passes through the driver: names of tables and
+    ``read_table(db, schema, table)`` gives the rows of the source table, from
+    JDBC or any other reader, and Spark takes the profile. With ``aggregate(db,
+    schema, table, metrics, where)`` the source takes it and one row comes back,
+    e.g. ``partial(profile_at_source, jdbc_aggregates(spark, url))``; rows are not
+    read then. Only the plan passes through the driver: names of tables and
     of their columns. The profiles are written to a new folder of this run below
     ``folder``; returned are the lines to export and the status of every table.
-    A table listed twice counts once. ``options`` go to `profile`.
+    A table listed twice counts once. ``escaped`` goes to `encode_lines`, other
+    ``options`` to `profile`.
     """
+    if (read_table is None) == (aggregate is None):
+        raise ValueError("Give either a reader of rows or an aggregate")
     folder = f"{folder}/{uuid.uuid4().hex}"
     tables = tables.dropDuplicates(TABLE_KEY)
     configured = control.with_master_config(tables, master)
@@ -49,6 +57,8 @@ def export_profiles(
 
     def build(members):
         (table,) = members
+        if aggregate is not None:
+            return aggregate(*table, metrics[table], wheres[table])
         return profile_table(filtered(read_table(*table), wheres[table]), *table, metrics[table], **options)
 
     outcomes = write_profiles(spark, [Request((t,), build) for t in sorted(wheres)], folder, batch_size)
@@ -58,4 +68,4 @@ def export_profiles(
     profiles = spark.read.parquet(folder)
     unmapped = profiles.select(*TABLE_KEY).distinct().join(type_map, TABLE_KEY, "left_anti")
     noted = profiles.unionByName(lines.mark_missing_type_map(unmapped))
-    return Export(lines.encode_lines(noted), control.export_results(configured, type_map, errors))
+    return Export(lines.encode_lines(noted, escaped), control.export_results(configured, type_map, errors))

@@ -8,7 +8,6 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,14 +16,12 @@ from tallymark.operators import compare, control, lines
 from tallymark.operators.control import TABLE_KEY
 from tallymark.operators.profile import Metric, filtered, profile_family, profile_table
 from tallymark.plans.batches import Outcome, Request, write_profiles
-from tallymark.sources.tables import parquet_copy, parquet_family
+from tallymark.sources.tables import AGGREGATION_FAILED, copy_shape, parquet_copy, parquet_family
 
 OUTCOME_SCHEMA = "db string, schema string, table string, started timestamp_ntz, ended timestamp_ntz, error string"
 # The column that names the partition a row came from.
 FAMILY_MEMBER = "partition of the family"
-# Error texts that the failure classes look for.
-PATH_MISSING = "Local path not found or inaccessible: "
-AGGREGATION_FAILED = "Spark Parquet Aggregation Failed: "
+# Fixed value: an error text that the failure classes look for.
 LINE_MISSING = "Greenplum result file not found"
 
 
@@ -47,14 +44,6 @@ def _metrics_to_run(expected: DataFrame, metric_types: DataFrame, exact: bool) -
     )
 
 
-def _shape(spark: SparkSession, path: str) -> tuple | str:
-    """Names and types of a copy's columns, or the error why it cannot be read."""
-    try:
-        return tuple(sorted((f.name.lower(), f.dataType.simpleString()) for f in parquet_copy(spark, path).schema))
-    except AnalysisException as failure:
-        return PATH_MISSING + path if failure.getCondition() == "PATH_NOT_FOUND" else AGGREGATION_FAILED + str(failure)
-
-
 def reconcile(
     spark: SparkSession,
     tables: DataFrame,
@@ -68,6 +57,7 @@ def reconcile(
     exact: bool = False,
     master: DataFrame | None = None,
     batch_size: int = 50,
+    escaped: bool = False,
     **options,
 ) -> Reconciliation:
     """Profile the copy of every listed table and compare it with its line.
@@ -79,7 +69,7 @@ def reconcile(
     ``folder``, and every result reads them from there. A table listed twice
     counts once. ``options``, such as a collation, go to `profile`. The
     configured predicates were applied to the sources; they are applied to the
-    copies too when ``master`` is given.
+    copies too when ``master`` is given. ``escaped`` says that the lines are.
     """
     run_start = datetime.now(timezone.utc).replace(tzinfo=None)
     folder = f"{folder}/{uuid.uuid4().hex}"
@@ -87,7 +77,7 @@ def reconcile(
     execution_id = execution_id or spark.sparkContext.applicationId
     located = control.with_copy_path(tables, control.latest_success(success_log, by_time=exact), path_from, path_to)
     parsed = lines.latest_lines(lines.parse_lines(result_lines))
-    expected = lines.decode_lines(parsed.join(tables, TABLE_KEY, "left_semi"))
+    expected = lines.decode_lines(parsed.join(tables, TABLE_KEY, "left_semi"), escaped)
     metric_types = control.metric_types(type_map, exact)
 
     metrics = defaultdict(list)
@@ -106,7 +96,7 @@ def reconcile(
     readable = {(r.db, r.schema, r.table): r.file_path for r in plan if r.has_copy and not r.reason}
     # Looking at a copy waits for storage. A copy that is not there never gets into a family.
     with ThreadPoolExecutor(16) as pool:
-        shapes = dict(zip(readable, pool.map(lambda path: _shape(spark, path), readable.values())))
+        shapes = dict(zip(readable, pool.map(lambda path: copy_shape(spark, path), readable.values())))
     paths, families, outcomes = {}, defaultdict(list), []
     for row in plan:
         table = (row.db, row.schema, row.table)

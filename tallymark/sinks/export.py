@@ -8,6 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.functions.text import strip
+
 CONTENT = ["hash_key", "key", "hash_content", "content"]
 
 
@@ -36,6 +38,23 @@ def write_lines(
     writer.option("compression", "gzip" if gzip else "none").text(f"{path}/run_date={run_date}")
 
 
+def write_line_files(lines: DataFrame, path: str, run_date: date | str, gzip: bool = False) -> None:
+    """Profile lines as one file per table, at ``run_date=.../db=.../schema=.../table=...``; no header.
+
+    A file is one record, whatever its value holds, line breaks included, and a
+    line that cannot be read later spoils no other table's. The identity is taken
+    from the line. Read them with `read_line_files`.
+    """
+    identity = F.split("value", r"\|")
+    named = lines.select(
+        "value",
+        F.lit(str(run_date)).alias("run_date"),
+        *[strip(F.get(identity, F.lit(i))).alias(c) for i, c in enumerate(["db", "schema", "table"])],
+    )
+    writer = named.write.mode("append").partitionBy("run_date", "db", "schema", "table")
+    writer.option("compression", "gzip" if gzip else "none").text(path)
+
+
 def write_content(rows: DataFrame, path: str, form: str = "text", gzip: bool = False) -> None:
     """Content rows as bare ``|``-separated text, or as Parquet.
 

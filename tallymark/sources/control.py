@@ -8,6 +8,8 @@ run and are read as splittable lines.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,12 +60,13 @@ def read_type_map(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def read_success_log(spark: SparkSession, root: str) -> DataFrame:
-    """All success logs at ``<db>/<run>/offloadgp_stat_succeeded.<schema>.csv``.
+# Why a row of a success log is not used.
+NO_HEADER = "The log has no header"
+TOO_FEW_FIELDS = "The row ends before the table's name and status"
 
-    Every file is read by its own header, so the columns may come in any order.
-    """
-    place = r"/([^/]+)/[^/]+/offloadgp_stat_succeeded\.([^/]+)\.csv$"
+
+def _log_rows(spark: SparkSession, root: str, positions: Sequence[str] | None) -> DataFrame:
+    """``path, ordinal, value, cells, header, reason`` of all rows of the success logs but headers and blank lines."""
     log = (
         spark.read.text(f"{root}/*/*/offloadgp_stat_succeeded.*.csv")
         .withColumn("path", F.col("_metadata.file_path"))
@@ -72,19 +75,52 @@ def read_success_log(spark: SparkSession, root: str) -> DataFrame:
     # Within a file rows are ordered by split, and in a split by the row id,
     # whose lower 33 bits count the rows of a task.
     ordinal = F.col("block").cast("decimal(20,0)") * F.lit(1 << 33) + F.monotonically_increasing_id() % F.lit(1 << 33)
-    rows = log.select("path", ordinal.alias("ordinal"), separated(F.regexp_replace("value", r"\r$", ""), ",").alias("cells"))
+    line = F.regexp_replace("value", r"^\x{FEFF}|\r$", "")
+    rows = log.select("path", "block", ordinal.alias("ordinal"), line.alias("value")).where(strip(F.col("value")) != "")
+    rows = rows.withColumn("cells", separated(F.col("value"), ","))
     names = F.transform("cells", strip)
-    is_header = F.size(F.array_intersect(names, F.array(*map(F.lit, SUCCESS_LOG_HEADER)))) == len(SUCCESS_LOG_HEADER)
-    headers = rows.where(is_header).groupBy("path").agg(F.min_by(names, "ordinal").alias("header"))
+    table, status = (F.array_contains(names, name) for name in SUCCESS_LOG_HEADER[:2])
+    # Only the first line of a file can be its header; of most rows nothing is kept.
+    headers = (
+        rows.where(F.col("block") == 0)
+        .groupBy("path")
+        .agg(F.min_by(F.when(table & status, names), F.struct("ordinal")).alias("header"))
+    )
+    fallback = F.lit(None).cast("array<string>") if positions is None else F.array(*map(F.lit, positions))
+
+    def holds(header: str):
+        return F.coalesce(F.array_position("header", header) <= F.size("cells"), F.lit(False))
+
+    reason = (
+        F.when(F.col("header").isNull(), NO_HEADER)
+        .when(~(holds(SUCCESS_LOG_HEADER[0]) & holds(SUCCESS_LOG_HEADER[1])), TOO_FEW_FIELDS)
+    )
+    return (
+        rows.where(~(table & status))
+        .join(headers, "path", "left")
+        .withColumn("header", F.coalesce("header", fallback))
+        .select("path", "ordinal", "value", "cells", "header", reason.alias("reason"))
+    )
+
+
+def read_success_log(spark: SparkSession, root: str, positions: Sequence[str] | None = None) -> DataFrame:
+    """All success logs at ``<db>/<run>/offloadgp_stat_succeeded.<schema>.csv``, a file or a folder of files.
+
+    Every file is read by its own header, its first line, so the columns may come
+    in any order, and any but the table's name and the status may be missing. A
+    file without a header is read by ``positions``, the names of its columns, if
+    they are given. Rows that cannot be read are in `rejected_log_rows`.
+    """
+    place = r"/([^/]+)/[^/]+/offloadgp_stat_succeeded\.([^/]+)\.csv(?:/[^/]+)?$"
 
     def cell(header: str):
-        value = F.get("cells", (F.array_position("header", header) - 1).cast("int"))
+        value = F.get("cells", F.nullif(F.array_position("header", header), F.lit(0)).cast("int") - 1)
         return F.when(value != "", value)
 
     columns = zip(SUCCESS_LOG_HEADER, ["name", "status", "ended", "file_path"])
     return (
-        rows.where(~is_header)
-        .join(headers, "path")
+        _log_rows(spark, root, positions)
+        .where(F.col("reason").isNull())
         .select(
             *[F.url_decode(F.regexp_extract("path", place, i)).alias(c) for i, c in enumerate(["db", "schema"], 1)],
             *[cell(header).alias(column) for header, column in columns],
@@ -94,6 +130,12 @@ def read_success_log(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def rejected_log_rows(spark: SparkSession, root: str, positions: Sequence[str] | None = None) -> DataFrame:
+    """``path, ordinal, value, reason``: the rows of success logs that cannot be used; nothing is dropped silently."""
+    rows = _log_rows(spark, root, positions)
+    return rows.where(F.col("reason").isNotNull()).select("path", "ordinal", "value", "reason")
+
+
 def read_result_lines(
     spark: SparkSession, paths: str | list[str], one_per_file: bool = True, line_sep: str = "\n"
 ) -> DataFrame:
@@ -109,3 +151,14 @@ def read_result_lines(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("modified"),
     )
+
+
+def read_line_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``value, path, modified``: the lines that `write_line_files` wrote, one per file, as they were."""
+    files = spark.read.option("recursiveFileLookup", True).text(paths, wholetext=True)
+    # The writer ends every record with one line feed, which is not the value's.
+    return files.select(
+        F.regexp_replace("value", r"\n\z", "").alias("value"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )

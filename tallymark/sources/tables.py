@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -57,6 +58,21 @@ def parquet_copy(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Error texts that the failure classes look for.
+PATH_MISSING = "Local path not found or inaccessible: "
+AGGREGATION_FAILED = "Spark Parquet Aggregation Failed: "
+
+
+def copy_shape(spark: SparkSession, path: str) -> tuple | str:
+    """Names and types of a copy's columns, or the error why it cannot be read."""
+    try:
+        return tuple(sorted((f.name.lower(), f.dataType.simpleString()) for f in parquet_copy(spark, path).schema))
+    except AnalysisException as failure:
+        return PATH_MISSING + path if failure.getCondition() == "PATH_NOT_FOUND" else AGGREGATION_FAILED + str(failure)
+    except Exception as failure:  # a file that is no Parquet at all
+        return AGGREGATION_FAILED + str(failure)
+
+
 def parquet_family(
     spark: SparkSession, paths: Mapping[str, str], column: str = "table", merge_schemas: bool = True
 ) -> DataFrame:
@@ -92,6 +108,22 @@ def table_files(spark: SparkSession, directories: str | list[str]) -> DataFrame:
     )
 
 
+def _bare(path: Column) -> Column:
+    """A path without scheme and host, so that one path reads the same everywhere."""
+    return F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+
+
+def files_below(spark: SparkSession, directories: Sequence[str]) -> DataFrame:
+    """``directory, modified`` of every Parquet file below the given directories, at any depth; none of their content is read."""
+    if not directories:
+        return spark.createDataFrame([], "directory string, modified timestamp")
+    listed = spark.createDataFrame([(d,) for d in directories], "directory string").withColumn("bare", _bare(F.col("directory")))
+    found = table_files(spark, list(directories))
+    parts = F.split(_bare(F.col("directory")), "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    return found.select("modified", F.explode(above).alias("bare")).join(listed, "bare").select("directory", "modified")
+
+
 def changed_tables(files: DataFrame, manifest: DataFrame, key: str = "directory") -> DataFrame:
     """Tables to ingest: never ingested, newer than last time, or of unknown age.
 
