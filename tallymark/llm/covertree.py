@@ -12,10 +12,13 @@ are merged per query in rounds of a top-k window.
 
 Components are scaled and floored to whole numbers; scores are exact integers.
 Defined results: vectors that are null, empty, or hold a null or non-finite
-component take no part; a query is not its own candidate, by vec_id, and rows
-that repeat a vec_id count once each as candidates of others and once as a
-query; vectors of another length than a query's are not its candidates; an empty
-table gives no rows. Scores beyond 2^53 are computed with Python integers.
+component take no part, nor do those that scaling takes out of the range of a
+double; a query is not its own candidate, by vec_id; rows that repeat a vec_id count
+once each as candidates of others, and once as a query if their vectors are equal
+(with other vectors each has a list of its own); vectors of another length than a
+query's are not its candidates; an empty table gives no rows. Rows whose products
+could pass 2^53 are compared by Python integers, and only they. Such scores are
+ranked exactly whatever their size; one that is no long is shown as null.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ from pyspark.sql import functions as F
 
 DATA_BLOCK, QUERY_BLOCK = 4096, 1024
 LEAF = 256
+# Scores from here on are ordered by their text, in which all have the same number of hex digits.
+_MOST, _SHIFT, _DIGITS = 2**63 - 1, 1 << 2200, 552
 NET = 24
 SHRINK = 1.4
 
@@ -118,8 +123,10 @@ def whole_vectors(vectors: DataFrame, scale: int = 64, id_col: str = "vec_id", v
     """vec_id and vec: the vectors that take part, scaled and floored."""
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     rows = vectors.select(F.col(id_col).alias("vec_id"), v.alias("v")).where("vec_id is not null and size(v) > 0")
-    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return rows.where(finite).select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("double")).alias("vec"))
+    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x * scale) < float("inf")))
+    # Beyond 2^53 a double is a whole number, and floor would stop at the largest long.
+    whole = F.transform("v", lambda x: F.when(F.abs(x * scale) < 2.0**53, F.floor(x * scale).cast("double")).otherwise(x * scale))
+    return rows.where(finite).select("vec_id", whole.alias("vec"))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -131,31 +138,49 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
     spread = lambda df, own, other, count, others: (
         df.withColumn(own, F.pmod(F.xxhash64("vec_id", F.lit(own)), F.lit(count)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
     )
-    left = spread(queries.distinct(), "qb", "db", query_blocks, data_blocks).select("qb", "db", "vec_id", "vec")
+    asked = queries.distinct().withColumn("which", F.xxhash64("vec"))
+    left = spread(asked, "qb", "db", query_blocks, data_blocks).select("qb", "db", "vec_id", "which", "vec")
     right = spread(rows, "db", "qb", data_blocks, query_blocks).select("qb", "db", "vec_id", "vec")
 
     def met(a, b):
         import pyarrow as pa
 
-        found: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
+        found: dict[str, list] = {"query_id": [], "which": [], "vec_id": [], "score": [], "beyond": []}
         pick = lambda t: (t.column("vec_id").to_numpy(), t.column("vec").to_pylist())
         (qi, qv), (xi, xv) = pick(a), pick(b)
-        for width in {len(v) for v in qv}:
-            q_at, x_at = [i for i, v in enumerate(qv) if len(v) == width], [i for i, v in enumerate(xv) if len(v) == width]
-            if not q_at or not x_at:
-                continue
-            q, x = np.array([qv[i] for i in q_at]), np.array([xv[i] for i in x_at])
-            exact = np.abs(q).max() * np.abs(x).max() * width < 2**53
-            best, names = dual_tree(q, qi[q_at], x, xi[x_at], k) if exact else _by_integers(q, qi[q_at], x, xi[x_at], k)
+        which = a.column("which").to_numpy()
+
+        def keep(rows: np.ndarray, best: np.ndarray, names: np.ndarray) -> None:
             row, place = np.nonzero(names != np.iinfo(np.int64).max)
-            found["query_id"] += qi[q_at][row].tolist()
+            found["query_id"] += qi[rows][row].tolist()
+            found["which"] += which[rows][row].tolist()
             found["vec_id"] += names[row, place].tolist()
-            found["score"] += [int(s) for s in best[row, place]]
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in found.items()})
+            for score in best[row, place].tolist():
+                score = int(score)
+                found["score"].append(max(-_MOST, min(_MOST, score)))
+                found["beyond"].append(None if abs(score) < _MOST else f"{score + _SHIFT:0{_DIGITS}x}")
 
-    pairs = left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInArrow(met, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        for width in {len(v) for v in qv}:
+            q_at, x_at = (np.array([i for i, v in enumerate(vs) if len(v) == width], dtype=np.int64) for vs in (qv, xv))
+            if not len(q_at) or not len(x_at):
+                continue
+            q, x = np.array([qv[i] for i in q_at]), np.array([xv[i] for i in x_at])
+            # Rows that are small enough for exact products of doubles, on both sides, and the rest.
+            limit = np.floor(np.sqrt(2.0**53 / max(width, 1)))
+            plain_q, plain_x = np.abs(q).max(axis=1) < limit, np.abs(x).max(axis=1) < limit
+            if plain_q.any() and plain_x.any():
+                keep(q_at[plain_q], *dual_tree(q[plain_q], qi[q_at[plain_q]], x[plain_x], xi[x_at[plain_x]], k))
+            for some_q, some_x in ((plain_q, ~plain_x), (~plain_q, np.ones(len(x), dtype=bool))):
+                if some_q.any() and some_x.any():
+                    keep(q_at[some_q], *_by_integers(q[some_q], qi[q_at[some_q]], x[some_x], xi[x_at[some_x]], k))
+        kinds = {"query_id": pa.int64(), "which": pa.int64(), "vec_id": pa.int64(), "score": pa.int64(), "beyond": pa.string()}
+        return pa.table({c: pa.array(v, kinds[c]) for c, v in found.items()})
+
+    schema = "query_id long, which long, vec_id long, score long, beyond string"
+    pairs = left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInArrow(met, schema)
+    order = Window.partitionBy("query_id", "which").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
+    score = F.when(F.col("beyond").isNull(), F.col("score")).alias("score")
+    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score)
 
 
 def _by_integers(q: np.ndarray, query_ids: np.ndarray, x: np.ndarray, data_ids: np.ndarray, k: int):

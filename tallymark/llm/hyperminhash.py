@@ -28,6 +28,8 @@ and is never a component's name unless it is alone; repeated rows are copies.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -283,6 +285,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` but those that have a near duplicate with a smaller doc_id. Rows without words stay."""
     decided = near_duplicates(docs, words, percent, id_col, text_col)
-    gone = decided.where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    id_ = F.col(f"`{id_col}`")
-    return docs.join(gone, id_.eqNullSafe(F.col("gone")), "left_anti")
+    name = f"gone_{uuid.uuid4().hex}"  # no column of the input has this name
+    gone = decided.where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col(name)), "left_anti")

@@ -11,8 +11,10 @@ them, so that 0.3 is the cut. Texts are
 read once to train (sampled rows only are collected) and once to score; nothing
 is shuffled but the sample. Defined results: a null
 or empty text has the lowest evidence and the score of the bias; rows of labels
-without text, or with a null label, are not trained on; if no labelled row is
+without text, or with a null label, are not trained on; an id, or a text of the
+sample, with both labels counts as toxic; if no labelled row is
 left every text gets score 0; repeated rows and other columns have no influence.
+Rows that may not be learned from have no part in counts, sample or calibration.
 """
 
 from __future__ import annotations
@@ -77,8 +79,15 @@ def swapped(text: str) -> list[str]:
     out = []
     for names in IDENTITIES:
         found = regex.compile(r"\b(" + "|".join(names) + r")\b", regex.I)
-        if found.search(text):
-            out += [found.sub(lambda m, k=k, names=names: names[(names.index(m[0].lower()) + k) % len(names)], text) for k in range(1, len(names))]
+        place = {name.casefold(): i for i, name in enumerate(names)}
+
+        def other(m, k: int, names=names, place=place) -> str:
+            # Case folds more letters together than there are names: what is none stays.
+            at = place.get(m[0].casefold())
+            return m[0] if at is None else names[(at + k) % len(names)]
+
+        if any(m[0].casefold() in place for m in found.finditer(text)):
+            out += [found.sub(lambda m, k=k, other=other: other(m, k), text) for k in range(1, len(names))]
     return out
 
 
@@ -157,16 +166,21 @@ class Model:
 
 def train(docs: DataFrame, labels: DataFrame, may_train: Column, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """``labels``: id and toxic (0 or 1). ``may_train``: of which rows of ``docs`` labels may be learned."""
-    told = labels.where("toxic in (0, 1)").select(F.col(id_col).alias("labelled"), F.col("toxic").alias("y")).distinct()
+    own = docs.where(may_train).select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    told = labels.where("toxic in (0, 1)").groupBy(F.col(id_col).alias("labelled")).agg(F.max("toxic").alias("y"))
+    # Only narrow ids are joined; labels of other rows are not even counted.
+    told = told.join(own.select("id").distinct(), F.col("id") == F.col("labelled"), "left_semi")
     counts = {r["y"]: r["count"] for r in told.groupBy("y").count().collect()}
     span = 1 << 30
     limit = lambda y: int(span * min(1.0, sample / max(counts.get(y, 0), 1)))
     chosen = told.where(F.pmod(F.xxhash64("labelled"), F.lit(span)) < F.when(F.col("y") == 1, limit(1)).otherwise(limit(0)))
-    rows = docs.where(may_train).select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     # The sample is bounded by its parameter, so it is sent to the texts and not the texts to it.
-    rows = rows.join(F.broadcast(chosen), F.col("id") == F.col("labelled")).select("text", "y").dropDuplicates(["text"]).collect()  # about 2 * sample rows
-    rows.sort(key=lambda r: r["text"])
-    return Model([r["text"] for r in rows], [r["y"] for r in rows], max(1.0, counts.get(0, 0) / sample) / max(1.0, counts.get(1, 0) / sample))
+    rows = own.join(F.broadcast(chosen), F.col("id") == F.col("labelled")).select("text", "y").distinct().collect()  # about 2 * sample rows
+    labelled: dict[str, int] = {}
+    for r in rows:
+        labelled[r["text"]] = max(r["y"], labelled.get(r["text"], 0))
+    rows = sorted(labelled.items())
+    return Model([t for t, _ in rows], [y for _, y in rows], max(1.0, counts.get(0, 0) / sample) / max(1.0, counts.get(1, 0) / sample))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
