@@ -517,6 +517,19 @@ ORACLE["export_run_lines"] = f"""
     UNION ALL
     SELECT 'whs', 'sales', 'documents', count(*), {_text(ALL_DOCUMENTS)}, '', NULL FROM documents"""
 ORACLE["export_run_at_source"] = ORACLE["export_run_lines"]
+ALL_ORDERS = _sums("o_totalprice", "o_orderkey") + _extremes(*ORDER_COLUMNS)
+KEPT = """CASE month(o_orderdate) WHEN 1 THEN o_orderstatus <> 'P' WHEN 12 THEN o_totalprice < 0 ELSE true END"""
+ORACLE["export_run_family"] = f"""
+    WITH kept AS (SELECT *, {MONTH} AS "table" FROM {ORDERS}),
+    months AS (SELECT DISTINCT "table" FROM kept UNION ALL SELECT 'orders_1_prt_p190001'),
+    found AS (SELECT "table", count(*) AS n, {_text(ALL_ORDERS)} AS metrics FROM kept WHERE {KEPT} GROUP BY "table"),
+    nothing AS (SELECT {_text(ALL_ORDERS)} AS metrics FROM kept WHERE false)
+    SELECT m."table", 'whs|sales|' || m."table" || '|' || coalesce(n, 0) || '|' || coalesce(f.metrics, nothing.metrics) AS line, 'SUCCESS' AS status
+    FROM months m LEFT JOIN found f ON m."table" = f."table", nothing"""
+ORACLE["log_rerun"] = """
+    SELECT CAST(c_custkey % 3 + 1 AS VARCHAR) AS execution_id, 'cust_' || c_custkey AS "table",
+           CASE WHEN c_acctbal > 0 OR c_custkey % 3 = 1 THEN 'completed' ELSE 'failed' END AS status
+    FROM customer"""
 ODD = "text || ' |,MAX(text):%2C' || chr(13) || chr(10) || 'MIN_MAX_STATUS: '"
 ORACLE["export_run_escaped"] = _long(
     f"(SELECT * REPLACE ({ODD} AS text) FROM documents)", _sums("n_chars") + _extremes("text", "lang"), "source", by="source"
@@ -535,6 +548,13 @@ ORACLE["success_log_files"] = """
     UNION ALL
     SELECT NULL, NULL, NULL, 'The row ends before the table''s name and status', count(*)
     FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '5-LOW' HAVING count(*) > 0"""
+ORACLE["latest_second_run"] = """
+    SELECT 'cust_' || o_custkey AS "table", '/land/' || o_orderkey AS file_path FROM orders WHERE o_orderstatus <> 'P'
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) = 1
+    UNION ALL
+    SELECT 'cycle 1', CAST(count(DISTINCT year(o_orderdate)) - 2 AS VARCHAR) FROM orders
+    UNION ALL
+    SELECT * FROM (VALUES ('cycle 2', '2'), ('cycle 3', '0')) AS c(cycle, n)"""
 ORACLE["incremental_second_run"] = f"""
     WITH flags AS (
         SELECT l_returnflag AS flag, count(*) AS n, CAST(sum(l_extendedprice) AS DECIMAL(38,2)) AS total,

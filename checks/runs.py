@@ -7,17 +7,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.tables import DB, SOURCE_TYPES, as_text_copy, order_table, read, source
+from checks.tables import DB, SOURCE_TYPES, as_text_copy, order_table, read, source, type_map_of
 from tallymark.operators import control
 from tallymark.operators.lines import decode_lines, encode_lines, parse_lines
 from tallymark.operators.profile import Metric, all_profiles, extremes, profile_family, profile_table, sums
 from tallymark.plans.content import export_content
 from tallymark.plans.export import export_profiles
 from tallymark.plans.ingest import current_copies, ingest_changed, read_manifest
+from tallymark.plans.latest import refresh_success
 from tallymark.plans.reconcile import reconcile
-from tallymark.sinks.export import append_log, shared_folder, write_line_files, write_lines
+from tallymark.sinks.export import append_log, read_log, replace_log, shared_folder, write_line_files, write_lines
 from tallymark.sources.aggregates import SPARK, profile_at_source, quoted
-from tallymark.sources.control import read_line_files, read_result_lines, read_success_log, rejected_log_rows
+from tallymark.sources.control import SUCCESS_LOG_HEADER, read_line_files, read_result_lines, read_success_log, rejected_log_rows
 
 LIST = """
 # the tables of this run
@@ -115,6 +116,41 @@ def export_run_at_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _split(read_line_files(spark, folder), whole=True)
 
 
+def export_run_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All months of orders in one grouped aggregate, with predicates by month, and a listed month that has no rows."""
+    family = source(spark, sf_dir, "orders").withColumn("table", F.concat(F.lit("orders_1_prt_p"), F.date_format("o_orderdate", "yyyyMM")))
+    months = family.select("table").distinct().unionByName(spark.createDataFrame([("orders_1_prt_p190001",)], "table string"))
+    entry = F.concat(F.lit(f"{DB}|sales."), "table")
+    place = F.substring("table", -6, 6).cast("long")
+    listed = months.select(F.lit("list").alias("path"), place.alias("ordinal"), entry.alias("value"))
+    where = F.when(F.col("table").endswith("01"), "o_orderstatus <> 'P' -- not pending").when(F.col("table").endswith("12"), "o_totalprice < 0").otherwise("none")
+    config = F.concat_ws("|", F.lit(DB), F.lit("sales"), "table", F.lit("o_totalprice,o_orderkey"), where)
+    run = export_profiles(
+        spark,
+        control.listed_tables(control.parse_table_list(listed)),
+        control.parse_master_config(months.select(F.lit("cfg").alias("path"), place.alias("ordinal"), config.alias("value"))),
+        type_map_of(family.unionByName(months.where(F.col("table").endswith("190001")), allowMissingColumns=True), "sales"),
+        None,
+        shared_folder(spark),
+        read_family=lambda db, schema, base: family,
+    )
+    return run.lines.select("table", F.col("value").alias("line")).join(run.results.select("table", "status"), "table")
+
+
+def log_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over customers, the second started again with other results: rows of each run in the log."""
+    folder = shared_folder(spark)
+    base = read(spark, sf_dir, "customer").select(
+        (F.col("c_custkey") % 3 + 1).cast("string").alias("execution_id"), F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("table"),
+        F.when(F.col("c_acctbal") > 0, "completed").otherwise("failed").alias("status"),
+    )
+    again = base.where("execution_id = '2'").withColumn("status", F.lit("completed"))
+    replace_log(base, folder)
+    replace_log(base.where("execution_id <> '3'"), folder)
+    replace_log(again, folder)
+    return read_log(spark, folder, base.schema)
+
+
 def export_run_escaped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extremes of texts that hold all that a line gives a meaning, escaped into lines of one file, read back as metrics."""
     folder = shared_folder(spark)
@@ -238,13 +274,13 @@ def content_run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _content_written(spark, _content_run(spark, sf_dir))
 
 
-def _write_log(rows: DataFrame, header: str | None, path: str, line_sep: str) -> None:
+def _write_log(rows: DataFrame, header: str | None, path: str, line_sep: str, buckets: int = 4) -> None:
     """Rows (bucket, place, value) as a log of some files, each with the header, in the order of their places."""
     spark = rows.sparkSession
     if header is not None:
-        first = spark.range(4).select(F.col("id").alias("bucket"), F.lit(-1).cast("long").alias("place"), F.lit(header).alias("value"))
+        first = spark.range(buckets).select(F.col("id").alias("bucket"), F.lit(-1).cast("long").alias("place"), F.lit(header).alias("value"))
         rows = rows.unionByName(first)
-    sorted_rows = rows.repartition(4, "bucket").sortWithinPartitions("bucket", "place")
+    sorted_rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", "place")
     sorted_rows.select("value").write.option("lineSep", line_sep).text(path)
 
 
@@ -283,6 +319,32 @@ def success_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest.unionByName(rejected.select(nothing.alias("schema"), nothing.alias("table"), nothing.alias("file_path"), "reason", "n"))
 
 
+def latest_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logs of orders by year, the last two years' files added before the second of three runs.
+
+    The newest success per table after the last run, and how many files each run read.
+    """
+    folder = shared_folder(spark)
+    root, kept = f"{folder}/logs", f"{folder}/kept"
+    key, year = F.col("o_orderkey").cast("string"), F.date_format("o_orderdate", "yyyy")
+    ended = F.concat_ws(" ", F.date_format("o_orderdate", "yyyy-MM-dd"), F.lpad(key, 12, "0"))
+    status = F.when(F.col("o_orderstatus") == "P", "FAILED").otherwise("SUCCEEDED")
+    orders = read(spark, sf_dir, "orders").select(
+        year.alias("year"), F.col("o_orderkey").alias("place"), F.concat_ws(",", order_table(), status, ended, F.concat(F.lit("/land/"), key)).alias("value")
+    )
+    header = ",".join(SUCCESS_LOG_HEADER)
+    years = sorted(r[0] for r in orders.select("year").distinct().collect())
+    read_files = []
+    for cycle, some in enumerate((years[:-2], years[-2:], []), 1):
+        for one in some:
+            rows = orders.where(F.col("year") == one).select(F.lit(0).alias("bucket"), "place", "value")
+            _write_log(rows, header, f"{root}/{DB}/{one}/offloadgp_stat_succeeded.sales.csv", "\n", buckets=1)
+        run = refresh_success(spark, root, kept)
+        read_files.append((f"cycle {cycle}", str(run.files.count())))
+    files = spark.createDataFrame(read_files, "table string, file_path string")
+    return run.latest.select("table", "file_path").unionByName(files)
+
+
 def incremental_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four cycles over lineitem by return flag: all is new; nothing changed; one source newer and one copy gone; a bad table.
 
@@ -325,7 +387,8 @@ def incremental_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 RUNS = {
     run.__name__: run
     for run in (
-        content_run_status, content_run_rows, export_run_lines, export_run_unmapped, export_run_at_source, export_run_escaped,
+        content_run_status, content_run_rows, export_run_lines, export_run_unmapped, export_run_at_source, export_run_escaped, export_run_family, log_rerun,
+        latest_second_run,
         export_run_status, reconcile_run, reconcile_run_logs, success_log_files, incremental_second_run,
     )
 }

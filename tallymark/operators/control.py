@@ -193,8 +193,8 @@ def with_special_columns(tables: DataFrame, special: DataFrame) -> DataFrame:
 # --- success logs ------------------------------------------------------------
 
 
-def latest_success(log: DataFrame, by_time: bool = False) -> DataFrame:
-    """The newest success per table and the copy's path it names.
+def success_records(log: DataFrame, by_time: bool = False) -> DataFrame:
+    """The successes in a log by the table they are about: the key, ``file_path, ended`` and the ``order`` that the newest is last in.
 
     Input: ``db, schema, name, status, ended, file_path, path, ordinal``. A
     table may be logged by its name or as ``schema.table``; the plain name
@@ -211,15 +211,22 @@ def latest_success(log: DataFrame, by_time: bool = False) -> DataFrame:
         "path",
         (-F.col("ordinal")).alias("early"),
     )
-    return (
-        log.where((F.coalesce("name", F.lit("")) != "") & (F.col("status") == "SUCCEEDED"))
-        .select("db", "schema", table.alias("table"), "file_path", "ended", order.alias("order"))
-        .groupBy(*TABLE_KEY)
-        .agg(F.max_by(F.struct("file_path", "ended"), "order").alias("latest"))
-        .select(*TABLE_KEY, "latest.file_path", "latest.ended")
+    return log.where((F.coalesce("name", F.lit("")) != "") & (F.col("status") == "SUCCEEDED")).select(
+        "db", "schema", table.alias("table"), "file_path", ended.alias("ended"), order.alias("order")
     )
 
 
+def newest_success(records: DataFrame) -> DataFrame:
+    """The last record per table; more records can be merged with the result and asked again."""
+    latest = F.max_by(F.struct("file_path", "ended", "order"), "order").alias("latest")
+    return records.groupBy(*TABLE_KEY).agg(latest).select(*TABLE_KEY, "latest.file_path", "latest.ended", "latest.order")
+
+
+def latest_success(log: DataFrame, by_time: bool = False) -> DataFrame:
+    """The newest success per table and the copy's path it names; see `success_records` for the rules."""
+    return newest_success(success_records(log, by_time)).drop("order")
+
+
 def with_copy_path(
     tables: DataFrame, latest: DataFrame, old: str | None = None, new: str | None = None
 ) -> DataFrame:

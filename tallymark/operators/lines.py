@@ -84,13 +84,14 @@ def parse_lines(lines: DataFrame, whole: bool = False) -> DataFrame:
     )
 
 
-def latest_lines(parsed: DataFrame) -> DataFrame:
-    """The newest line per table; among equal times the greatest path wins.
+def newest_lines(parsed: DataFrame) -> DataFrame:
+    """The newest of the parsed lines per table, all columns; among equal times the greatest path wins.
 
     Tables are told apart by the identity inside the line, so that a base
-    table and its partitions, or tables of two schemas, do not mix.
+    table and its partitions, or tables of two schemas, do not mix. More lines
+    can be merged with the result and asked again.
     """
-    kept = ["row_count", "metric_text", "line_remark", "reason", "path"]
+    kept = [c for c in parsed.columns if c not in TABLE_KEY]
     return (
         parsed.groupBy(*TABLE_KEY)
         .agg(F.max_by(F.struct(*kept), F.struct("modified", "path", "value")).alias("latest"))
@@ -98,6 +99,11 @@ def latest_lines(parsed: DataFrame) -> DataFrame:
     )
 
 
+def latest_lines(parsed: DataFrame) -> DataFrame:
+    """The newest line per table, without what only told it from others."""
+    return newest_lines(parsed).select(*TABLE_KEY, "row_count", "metric_text", "line_remark", "reason", "path")
+
+
 def _row(func: Column, col: Column, value: Column, position: Column) -> Column:
     return F.struct(func.alias("func"), col.alias("col"), value.alias("value"), position.alias("position"))
 

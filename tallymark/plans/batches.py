@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from itertools import islice
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,9 +35,10 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
-def _batches(requests: Sequence[Request], size: int) -> Iterator[Sequence[Request]]:
-    for start in range(0, len(requests), size):
-        yield requests[start : start + size]
+def _batches(requests: Iterable[Request], size: int) -> Iterator[Sequence[Request]]:
+    stream = iter(requests)
+    while batch := list(islice(stream, size)):
+        yield batch
 
 
 def _built(request: Request) -> list[tuple[tuple, DataFrame | Exception]]:
@@ -50,9 +52,9 @@ def _built(request: Request) -> list[tuple[tuple, DataFrame | Exception]]:
 
 
 def write_profiles(
-    spark: SparkSession, requests: Sequence[Request], folder: str, batch_size: int = 50
+    spark: SparkSession, requests: Iterable[Request], folder: str, batch_size: int = 50
 ) -> list[Outcome]:
-    """Write the profiles of all requests below ``folder``, a batch per job.
+    """Write the profiles of all requests below ``folder``, a batch per job; requests may come as a stream.
 
     A batch is the union of its profiles, so its tables run side by side and
     its plan stays bounded. A table that cannot be planned is left out; a batch

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallymark.functions.text import strip
 
@@ -79,3 +80,19 @@ def append_log(rows: DataFrame, table: str | None = None, path: str | None = Non
         raise ValueError("Give either a table or a path")
     writer = rows.write.mode("append").format("parquet")
     writer.saveAsTable(table) if table else writer.save(path)
+
+
+def replace_log(rows: DataFrame, path: str) -> None:
+    """Write log rows so that those of a run replace what the same run wrote before.
+
+    The log is partitioned by ``execution_id``, and only the partitions of the runs
+    in ``rows`` are exchanged; other runs stay as they are, so a run that is started
+    again doubles nothing. Read it with `read_log`.
+    """
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("execution_id").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A log that `replace_log` wrote, with the columns of ``schema``, so that an id that looks like a number stays text."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)

@@ -65,10 +65,12 @@ NO_HEADER = "The log has no header"
 TOO_FEW_FIELDS = "The row ends before the table's name and status"
 
 
-def _log_rows(spark: SparkSession, root: str, positions: Sequence[str] | None) -> DataFrame:
+def _log_rows(
+    spark: SparkSession, root: str, positions: Sequence[str] | None, paths: Sequence[str] | None = None
+) -> DataFrame:
     """``path, ordinal, value, cells, header, reason`` of all rows of the success logs but headers and blank lines."""
     log = (
-        spark.read.text(f"{root}/*/*/offloadgp_stat_succeeded.*.csv")
+        spark.read.text(f"{root}/*/*/offloadgp_stat_succeeded.*.csv" if paths is None else list(paths))
         .withColumn("path", F.col("_metadata.file_path"))
         .withColumn("block", F.col("_metadata.file_block_start"))
     )
@@ -103,13 +105,16 @@ def _log_rows(spark: SparkSession, root: str, positions: Sequence[str] | None) -
     )
 
 
-def read_success_log(spark: SparkSession, root: str, positions: Sequence[str] | None = None) -> DataFrame:
+def read_success_log(
+    spark: SparkSession, root: str, positions: Sequence[str] | None = None, paths: Sequence[str] | None = None
+) -> DataFrame:
     """All success logs at ``<db>/<run>/offloadgp_stat_succeeded.<schema>.csv``, a file or a folder of files.
 
     Every file is read by its own header, its first line, so the columns may come
     in any order, and any but the table's name and the status may be missing. A
     file without a header is read by ``positions``, the names of its columns, if
-    they are given. Rows that cannot be read are in `rejected_log_rows`.
+    they are given. ``paths`` reads only some of the files. Rows that cannot be
+    read are in `rejected_log_rows`.
     """
     place = r"/([^/]+)/[^/]+/offloadgp_stat_succeeded\.([^/]+)\.csv(?:/[^/]+)?$"
 
@@ -119,7 +124,7 @@ def read_success_log(spark: SparkSession, root: str, positions: Sequence[str] |
 
     columns = zip(SUCCESS_LOG_HEADER, ["name", "status", "ended", "file_path"])
     return (
-        _log_rows(spark, root, positions)
+        _log_rows(spark, root, positions, paths)
         .where(F.col("reason").isNull())
         .select(
             *[F.url_decode(F.regexp_extract("path", place, i)).alias(c) for i, c in enumerate(["db", "schema"], 1)],
