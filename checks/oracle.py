@@ -96,6 +96,23 @@ ORACLE["profile_cast_copy"] = f"""
         {{'func': 'MAX', 'col': 'l_shipdate', 'value': strftime(max(l_shipdate), '%Y-%m-%d')}},
         {{'func': 'MAX', 'col': 'l_comment_free', 'value': NULL}}]) AS m FROM copy)"""
 
+ORACLE["profile_unbounded"] = """
+    WITH parts AS (
+        SELECT o_orderpriority AS "table", CASE o_orderstatus WHEN 'P' THEN -1 ELSE 1 END AS sign,
+               CAST(lpad(CAST(o_orderkey AS VARCHAR), 10, '1') || lpad(CAST(o_custkey AS VARCHAR), 20, '2') AS HUGEINT) AS w,
+               CAST(lpad(CAST(o_orderkey AS VARCHAR), 24, '3') || '0' AS HUGEINT) AS f
+        FROM orders),
+    sums AS (
+        SELECT "table", count(*) AS n, sum(sign * w) AS w, sum(sign * f) AS f, CAST('10000000000000000000000000' AS HUGEINT) AS base,
+               min({'w': sign * w, 'f': sign * f}) AS least, max({'w': sign * w, 'f': sign * f}) AS most
+        FROM parts GROUP BY 1),
+    rest AS (SELECT *, (f % base + base) % base AS over FROM sums)
+    SELECT "table", m.func AS func, m.col AS col, m.value AS value FROM (SELECT "table", unnest([
+        {'func': 'COUNT', 'col': '*', 'value': CAST(n AS VARCHAR)},
+        {'func': 'SUM', 'col': 'n', 'value': CAST(w + CAST((f - over) // base AS HUGEINT) AS VARCHAR) || '.' || rtrim(lpad(CAST(over AS VARCHAR), 25, '0'), '0')},
+        {'func': 'MIN', 'col': 'n', 'value': CAST(least.w AS VARCHAR) || '.' || rtrim(lpad(CAST(abs(least.f) AS VARCHAR), 25, '0'), '0')},
+        {'func': 'MAX', 'col': 'n', 'value': CAST(most.w AS VARCHAR) || '.' || rtrim(lpad(CAST(abs(most.f) AS VARCHAR), 25, '0'), '0')}]) AS m FROM rest)"""
+
 # --- lines -------------------------------------------------------------------
 
 METRIC_TEXT = " || ',' || ".join(f"'{f}({c}):' || {_metric(f, c)}" for f, c in ORDER_METRICS)

@@ -111,6 +111,16 @@ def profile_cast_copy(spark, sf_dir):
     return profile_table(copy, DB, "sales", "lineitem", metrics, of_copy=True).select(*PROFILE)
 
 
+def profile_unbounded(spark, sf_dir):
+    """Numbers with 30 digits before the point and 25 after it, some below zero, by priority."""
+    key, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    sign = F.when(F.col("o_orderstatus") == "P", "-").otherwise("")
+    number = F.concat(sign, F.lpad(key, 10, "1"), F.lpad(customer, 20, "2"), F.lit("."), F.lpad(key, 24, "3"), F.lit("0"))
+    orders = read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("table"), number.alias("n"))
+    metrics = [Metric(f, "n", "numeric") for f in ("SUM", "MIN", "MAX")]
+    return profile_family(orders, DB, "sales", metrics, of_copy=True).select(*PROFILE)
+
+
 # --- lines -------------------------------------------------------------------
 
 
@@ -561,7 +571,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         profile_count, profile_sum, profile_min_max, profile_long, profile_empty_input, profile_filtered,
-        profile_by_partition, profile_cast_copy,
+        profile_by_partition, profile_cast_copy, profile_unbounded,
         line_encode, line_decode, line_parse,
         type_candidates, type_mapping, table_list_parse, table_list_keys, table_list_rejects,
         master_lookup, master_missing, export_metrics, metric_types, success_latest, result_latest,

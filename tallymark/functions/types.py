@@ -101,6 +101,13 @@ def exact_cast_type(source_type: Column) -> Column:
     return F.when(plain, EXACT_PLAIN_NUMBER).otherwise(exact_spark_type(source_type))
 
 
+def unbounded_cast_type(source_type: Column) -> Column:
+    """`exact_cast_type`, where numbers without a precision, or with more digits than a decimal has, are read whole (``numeric``)."""
+    is_number = type_name(strip(source_type)).isin("numeric", "decimal")
+    precision = F.regexp_extract(source_type, r"\(\s*(\d+)", 1).try_cast("int")
+    return F.when(is_number & F.coalesce(precision > 38, F.lit(True)), "numeric").otherwise(exact_cast_type(source_type))
+
+
 def number_scale(source_type: Column) -> Column:
     """Digits after the point when a compared number is shown."""
     declared = F.coalesce(source_type, F.lit(""))

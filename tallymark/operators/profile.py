@@ -33,7 +33,7 @@ COUNT, EVERY_ROW = "COUNT", "*"
 _IN_OBJECTS = "collect_list(cast(NULL AS boolean)) AS in_objects"
 FUNCTIONS = ("SUM", "MIN", "MAX")
 
-_CAST = re.compile(r"string|long|date|timestamp|double|decimal\(\s*\d+\s*(,\s*\d+\s*)?\)")
+_CAST = re.compile(r"numeric|string|long|date|timestamp|double|decimal\(\s*\d+\s*(,\s*\d+\s*)?\)")
 # Texts that a cast can read, blanks around them included. Any other costs the
 # cast an exception for each row, which this test spares.
 _PLAIN = r"[+-]?+(?:\d++\.?+\d*+|\.\d++)(?:[eE][+-]?+\d++)?+"
@@ -76,10 +76,71 @@ def _literal(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# Numbers of any precision are read as texts that order like the numbers: a sign,
+# then their digits before and after the point, complemented below zero. Sums add
+# such numbers up in limbs.
+WHOLE_DIGITS = FRACTION_DIGITS = 72
+_LIMB = 18
+_ANY_NUMBER = rf"^[\x00-\x20]*+([+-]?)0*+(\d{{0,{WHOLE_DIGITS}}}+)(?:\.(\d{{0,{FRACTION_DIGITS}}}?)0*)?[\x00-\x20]*$"
+_UP, _DOWN = "0123456789", "9876543210"
+
+
+def _number_key(value: str) -> str:
+    """SQL of the text that orders like the number a text holds; NULL if it holds none."""
+    plain = f"CASE WHEN rlike({value}, '[eE]') THEN cast(try_cast({value} AS decimal(38,18)) AS string) ELSE {value} END"
+
+    def part(group: int) -> str:
+        return f"regexp_extract(n, r'{_ANY_NUMBER}', {group})"
+
+    digits = f"concat(lpad({part(2)}, {WHOLE_DIGITS}, '0'), rpad({part(3)}, {FRACTION_DIGITS}, '0'))"
+    below = f"{part(1)} = '-' AND rlike({digits}, '[1-9]')"
+    key = f"IF({below}, concat('0', translate({digits}, '{_UP}', '{_DOWN}')), concat('1', {digits}))"
+    return rf"transform(array({plain}), n -> CASE WHEN rlike(n, r'{_ANY_NUMBER}') AND rlike(n, r'\d') THEN {key} END)[0]"
+
+
+def _digits_shown(digits: str) -> str:
+    """SQL of a number's text from its digits, without needless zeros."""
+    whole = f"regexp_replace(substring({digits}, 1, length({digits}) - {FRACTION_DIGITS}), '^0+(?=.)', '')"
+    fraction = f"trim(TRAILING '0' FROM right({digits}, {FRACTION_DIGITS}))"
+    return f"concat({whole}, IF({fraction} = '', '', concat('.', {fraction})))"
+
+
+def _key_shown(key: str) -> str:
+    """SQL of the number's text from its ordering text."""
+    rest = f"substring({key}, 2)"
+    return f"IF(startswith({key}, '0'), concat('-', {_digits_shown(f"translate({rest}, '{_DOWN}', '{_UP}')")}), {_digits_shown(rest)})"
+
+
+def _sum_of_keys(key: str) -> str:
+    """SQL of the exact sum of numbers given by their ordering texts, as text; NULL if there are none.
+
+    Limbs of 18 digits are summed apart, as decimals that 10^20 rows do not
+    overflow, and carried over in the one row that is left. Below zero the sum is
+    that of the negated limbs.
+    """
+    base = "cast(1e18 AS decimal(19,0))"
+    below = f"startswith({key}, '0')"
+    digits = f"IF({below}, translate(substring({key}, 2), '{_DOWN}', '{_UP}'), substring({key}, 2))"
+    limbs = [
+        f"sum(cast(cast(substring({digits}, {at}, {_LIMB}) AS bigint) * IF({below}, -1, 1) AS decimal(28,0)))"
+        for at in range(1, WHOLE_DIGITS + FRACTION_DIGITS, _LIMB)
+    ]
+    carried = (
+        "aggregate(reverse({}), named_struct('carry', cast(0 AS decimal(38,0)), 'digits', ''), (t, x) -> named_struct("
+        f"'carry', cast((x + t.carry - pmod(x + t.carry, {base})) div {base} AS decimal(38,0)), "
+        f"'digits', concat(lpad(cast(pmod(x + t.carry, {base}) AS string), {_LIMB}, '0'), t.digits)))"
+    )
+    above = _digits_shown("concat(IF(t.carry > 0, cast(t.carry AS string), ''), t.digits)")
+    negated = f"transform(array({carried.format('transform(l, y -> cast(-y AS decimal(38,0)))')}), t -> {above})[0]"
+    shown = f"transform(array({carried.format('l')}), t -> IF(t.carry < 0, concat('-', {negated}), {above}))[0]"
+    return f"IF(count({key}) = 0, NULL, transform(array(array({', '.join(limbs)})), l -> {shown})[0])"
+
+
 def read_as(value: str, source: T.DataType, cast: str) -> str:
     """SQL that reads a copy's value as a type; what cannot be read becomes NULL, never an error.
 
-    Text read as ``long`` loses its fraction, like a plain numeric cast.
+    Text read as ``long`` loses its fraction, like a plain numeric cast. A ``numeric``
+    has any number of digits, up to 72 before and after the point.
     """
     if not _CAST.fullmatch(cast):
         raise ValueError(f"Type '{cast}' is not one a copy is read as")
@@ -87,6 +148,8 @@ def read_as(value: str, source: T.DataType, cast: str) -> str:
         # A text that is no number is told apart before the cast, which would
         # throw and catch an exception for each.
         value = rf"nullif(regexp_extract({value}, r'^\s*([+-]?\d+)(?:\.\d*)?\s*$', 1), '')"
+    elif cast == "numeric":
+        return _number_key(f"cast({value} AS string)")
     elif isinstance(source, T.StringType) and cast == "double":
         value = f"CASE WHEN rlike({value}, r'{_DOUBLE}') THEN {value} END"
     elif isinstance(source, T.StringType) and cast.startswith("decimal"):
@@ -96,7 +159,10 @@ def read_as(value: str, source: T.DataType, cast: str) -> str:
 
 def _shown(metric: Metric, value: str, kind: T.DataType, of_copy: bool, whole_seconds: bool) -> str:
     """SQL that aggregates an input column and shows the result as text."""
-    if metric.func == "SUM":
+    if metric.cast == "numeric":
+        shown = _sum_of_keys(value) if metric.func == "SUM" else _key_shown(f"{metric.func}({value})")
+        nothing = "'0'" if metric.func == "SUM" else "''"
+    elif metric.func == "SUM":
         if isinstance(kind, _WHOLE_NUMBERS):
             # Twenty digits hold any bigint, so the sum gets thirty: no overflow.
             value = f"cast({value} AS decimal(20,0))"
@@ -132,10 +198,11 @@ def _one_pass(
             inputs[key] = f"input_{len(inputs)}"
             reads.append(f"{value if metric.cast is None else read_as(value, kind, metric.cast)} AS {inputs[key]}")
     base = df.selectExpr(*groups, *reads)
+    numbers = {name for (_, cast), name in inputs.items() if cast == "numeric"}
     kinds = {f.name: f.dataType for f in base.schema.fields}
 
     def ordered(column: str, func: str) -> str:
-        as_is = collation is None or func == "SUM" or not isinstance(kinds[column], T.StringType)
+        as_is = collation is None or func == "SUM" or column in numbers or not isinstance(kinds[column], T.StringType)
         return column if as_is else f"{column} COLLATE {collation}"
 
     aggregates, rows = [], []

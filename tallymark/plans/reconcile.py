@@ -35,7 +35,7 @@ class Reconciliation(NamedTuple):
 
 def _metrics_to_run(expected: DataFrame, metric_types: DataFrame, exact: bool) -> DataFrame:
     """Per table and metric of the line: the type the copy is read as."""
-    to_spark = types.exact_cast_type if exact else types.spark_type
+    to_spark = types.unbounded_cast_type if exact else types.spark_type
     return (
         compare.metric_rows(expected)
         .withColumn("type_key", F.lower("col"))

@@ -163,3 +163,42 @@ def test_guarded_casts_read_what_a_cast_reads(spark, cast):
 def test_sums_of_text(spark):
     rows = spark.createDataFrame([(t,) for t in ("1", "2.5", "x", None, "")], "c string")
     assert {r.func: r.value for r in profile_table(rows, "d", "s", "t", sums("c") + extremes("c")).collect()} == {"COUNT": "5", "SUM": "3.5", "MIN": "", "MAX": "x"}
+
+
+# --- numbers of any precision ------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_numbers_of_any_precision(spark, seed):
+    import random
+    from decimal import Decimal, localcontext
+
+    draw = random.Random(seed)
+    digits = lambda n: "".join(draw.choices("0123456789", k=n))
+    texts = [f"{draw.choice(['', '-', '+'] if seed != 1 else ['-'])}{digits(draw.randint(0, 40))}.{digits(draw.randint(1, 60))}" for _ in range(60)]
+    texts += ["9" * 72, "-" + "9" * 72 + "." + "9" * 72] if seed == 2 else ["1e3", "-1.5E-3", " 7 ", "00", "-0.0", "+.5", "5."]
+    odd = [None, "", " ", ".", "-", "x", "1,5", "9" * 73, "1." + "1" * 73, "--1"]
+    rows = spark.createDataFrame([(t,) for t in texts + odd], "c string").repartition(3)
+    metrics = [Metric(f, "c", "numeric") for f in ("SUM", "MIN", "MAX")]
+    found = {r.func: r.value for r in profile_table(rows, "d", "s", "t", metrics, of_copy=True).collect()}
+    with localcontext() as context:
+        context.prec = 400
+        values = [Decimal(t.strip()) for t in texts]
+        assert (Decimal(found["SUM"]), Decimal(found["MIN"]), Decimal(found["MAX"])) == (sum(values), min(values), max(values))
+        assert not any(found[f].endswith((".", "0")) and "." in found[f] for f in found)
+    nothing = {r.func: r.value for r in profile_table(rows.where("c = 'x'"), "d", "s", "t", metrics, of_copy=True).collect()}
+    assert nothing == {"COUNT": "1", "SUM": None, "MIN": None, "MAX": None}
+
+
+def test_sums_that_end_at_zero(spark):
+    for texts, total in ((["1.5", "-1.5"], "0"), (["-0"], "0"), (["-0.001", "0.0009"], "-0.0001"), (["1" + "0" * 18, "-1"], "9" * 18), (["-1" + "0" * 36, "1"], "-" + "9" * 36)):
+        rows = spark.createDataFrame([(t,) for t in texts], "c string")
+        assert {r.func: r.value for r in profile_table(rows, "d", "s", "t", [Metric("SUM", "c", "numeric")], of_copy=True).collect()}["SUM"] == total
+
+
+def test_unbounded_types(spark):
+    from tallymark.functions import types
+
+    kinds = ["numeric", "NUMERIC (50, 10)", "decimal(38,2)", "numeric(9)", "numeric[]", "bigint", "text"]
+    found = spark.createDataFrame([(k,) for k in kinds], "t string").select(types.unbounded_cast_type(F.col("t"))).collect()
+    assert [r[0] for r in found] == ["numeric", "numeric", "decimal(38,2)", "decimal(9)", "string", "long", "string"]
