@@ -96,6 +96,10 @@ ORACLE["profile_cast_copy"] = f"""
         {{'func': 'MAX', 'col': 'l_shipdate', 'value': strftime(max(l_shipdate), '%Y-%m-%d')}},
         {{'func': 'MAX', 'col': 'l_comment_free', 'value': NULL}}]) AS m FROM copy)"""
 
+ORACLE["profile_many_groups"] = " UNION ALL ".join([
+    _long(EVENTS, EVENT_METRICS, "'user_' || user_id", by="user_id"),
+    _long("documents", _sums("n_chars") + _extremes("text", "lang"), "source", by="source"),
+])
 ORACLE["profile_unbounded"] = """
     WITH parts AS (
         SELECT o_orderpriority AS "table", CASE o_orderstatus WHEN 'P' THEN -1 ELSE 1 END AS sign,

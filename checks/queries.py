@@ -111,6 +111,16 @@ def profile_cast_copy(spark, sf_dir):
     return profile_table(copy, DB, "sales", "lineitem", metrics, of_copy=True).select(*PROFILE)
 
 
+def profile_many_groups(spark, sf_dir):
+    """Events by user and documents by source, text extremes without sorting; props and texts go beyond their codes."""
+    users = source(spark, sf_dir, "events").withColumn("table", F.concat(F.lit("user_"), F.col("user_id").cast("string")))
+    texts = source(spark, sf_dir, "documents").withColumnRenamed("source", "table")
+    return all_profiles([
+        profile_family(users, DB, "web", EVENT_METRICS, many_groups=True),
+        profile_family(texts, DB, "web", sums("n_chars") + extremes("text", "lang"), many_groups=True),
+    ]).select(*PROFILE)
+
+
 def profile_unbounded(spark, sf_dir):
     """Numbers with 30 digits before the point and 25 after it, some below zero, by priority."""
     key, customer = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
@@ -571,7 +581,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         profile_count, profile_sum, profile_min_max, profile_long, profile_empty_input, profile_filtered,
-        profile_by_partition, profile_cast_copy, profile_unbounded,
+        profile_by_partition, profile_cast_copy, profile_many_groups, profile_unbounded,
         line_encode, line_decode, line_parse,
         type_candidates, type_mapping, table_list_parse, table_list_keys, table_list_rejects,
         master_lookup, master_missing, export_metrics, metric_types, success_latest, result_latest,

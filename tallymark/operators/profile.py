@@ -177,6 +177,59 @@ def _shown(metric: Metric, value: str, kind: T.DataType, of_copy: bool, whole_se
     return shown if of_copy else f"coalesce({shown}, {nothing})"
 
 
+# How many bytes of a text its code holds; with them goes the text's length, or one more if it is longer.
+CODED = 15
+
+
+def _code(column: str) -> str:
+    """SQL of a fixed-width number that orders like a text's first bytes, and among equal ones like its length up to there."""
+    digits = f"rpad(hex(substring(cast({column} AS binary), 1, {CODED})), {2 * CODED}, '0')"
+    half = [f"cast(conv(substring({digits}, {at}, {CODED}), 16, 10) AS decimal(19,0))" for at in (1, 1 + CODED)]
+    length = f"cast(least(octet_length({column}), {CODED + 1}) AS decimal(2,0))"
+    return f"cast(({half[0]} * cast({2**60} AS decimal(19,0)) + {half[1]}) * cast(32 AS decimal(2,0)) + {length} AS decimal(38,0))"
+
+
+def _decoded(code: str) -> str:
+    """SQL of the text of a code that holds all of it."""
+    low = f"pmod({code}, cast({2**65} AS decimal(38,0)))"
+    digits = f"concat(lpad(hex({code} div cast({2**65} AS decimal(38,0))), {CODED}, '0'), lpad(hex({low} div cast(32 AS decimal(38,0))), {CODED}, '0'))"
+    return f"cast(substring(unhex({digits}), 1, cast(pmod({code}, cast(32 AS decimal(38,0))) AS int)) AS string)"
+
+
+def _two_looks(base: DataFrame, by: Sequence[str], aggregates: list[str], looked_up: dict[int, tuple[str, str]], of_copy: bool) -> DataFrame:
+    """Groups with their aggregates, and extremes of texts whatever the number of groups.
+
+    The first look takes extremes of codes, which are of fixed width, so its hash
+    maps spill and never sort the rows. A text of up to 15 bytes is its code. For
+    the others a second look reads the rows again, but only those whose code is
+    that of the extreme reach its aggregate.
+    """
+    codes = {column: f"code_of_{column}" for _, column in looked_up.values()}
+    coded = base.selectExpr("*", *[f"{_code(column)} AS {name}" for column, name in codes.items()])
+    extremes_of_codes = [f"{func}({codes[column]}) AS code_{position}" for position, (func, column) in looked_up.items()]
+    first = coded.groupBy(*by).agg(*[F.expr(a) for a in [*aggregates, *extremes_of_codes]])
+
+    def too_long(position: int) -> str:
+        return f"coalesce(pmod(code_{position}, cast(32 AS decimal(38,0))) > {CODED}, false)"
+
+    places = [f"group_{i}" for i, _ in enumerate(by)]
+    open_codes = [f"CASE WHEN {too_long(p)} THEN code_{p} END AS open_{p}" for p in looked_up]
+    left = first.selectExpr(*[f"{_quoted(c)} AS {place}" for c, place in zip(by, places)], *open_codes)
+    left = left.where(" OR ".join(f"open_{p} IS NOT NULL" for p in looked_up))
+    same = " AND ".join(f"{_quoted(c)} <=> {place}" for c, place in zip(by, places))
+    ties = " OR ".join(f"{codes[column]} = open_{p}" for p, (_, column) in looked_up.items())
+    tied = coded.join(left, F.expr(f"{same} AND ({ties})"))
+    exact = [f"{func}(CASE WHEN {codes[column]} = open_{p} THEN {column} END) AS exact_{p}" for p, (func, column) in looked_up.items()]
+    second = tied.groupBy(*places).agg(*[F.expr(a) for a in [*exact, _IN_OBJECTS]]).where("size(in_objects) = 0")
+    both = first.join(second, F.expr(same), "left")
+    texts = []
+    for position in looked_up:
+        text = f"CASE WHEN {too_long(position)} THEN exact_{position} ELSE {_decoded(f'code_{position}')} END"
+        texts.append(f"{text if of_copy else f"coalesce({text}, '')"} AS metric_{position}")
+    names = [a.rsplit(" AS ", 1)[1] for a in aggregates]
+    return both.selectExpr(*map(_quoted, by), *names, *texts)
+
+
 def _one_pass(
     df: DataFrame,
     by: Sequence[str],
@@ -185,6 +238,7 @@ def _one_pass(
     of_copy: bool,
     whole_seconds: bool,
     collation: str | None,
+    many_groups: bool = False,
 ) -> DataFrame:
     fields = {f.name.lower(): f.dataType for f in df.schema.fields}
     groups = [_quoted(c) for c in by]
@@ -205,19 +259,25 @@ def _one_pass(
         as_is = collation is None or func == "SUM" or column in numbers or not isinstance(kinds[column], T.StringType)
         return column if as_is else f"{column} COLLATE {collation}"
 
-    aggregates, rows = [], []
+    aggregates, rows, looked_up = [], [], {}
     if with_count:
         aggregates.append("cast(count(1) AS string) AS metric_0")
         rows.append(f"struct('{COUNT}' AS func, '{EVERY_ROW}' AS col, metric_0 AS value, 0 AS position)")
     for position, metric in metrics:
         column = inputs[metric.col, metric.cast]
         shown = _shown(metric, ordered(column, metric.func), kinds[column], of_copy, whole_seconds)
-        aggregates.append(f"{shown} AS metric_{position}")
+        is_text = metric.func != "SUM" and isinstance(kinds[column], T.StringType)
+        if by and many_groups and is_text and metric.cast != "numeric" and collation is None:
+            looked_up[position] = metric.func, column
+        else:
+            aggregates.append(f"{shown} AS metric_{position}")
         rows.append(
             f"struct('{metric.func}' AS func, {_literal(metric.col)} AS col, metric_{position} AS value, {position} AS position)"
         )
     of_text = any(m.func != "SUM" and isinstance(kinds[inputs[m.col, m.cast]], T.StringType) for _, m in metrics)
-    if by and of_text:
+    if looked_up:
+        wide = _two_looks(base, by, aggregates, looked_up, of_copy)
+    elif by and of_text:
         wide = base.groupBy(*by).agg(*[F.expr(a) for a in [*aggregates, _IN_OBJECTS]]).where("size(in_objects) = 0")
     else:
         wide = base.groupBy(*by).agg(*[F.expr(a) for a in aggregates])
@@ -232,6 +292,7 @@ def profile(
     whole_seconds: bool | None = None,
     columns_per_pass: int | None = None,
     collation: str | None = None,
+    many_groups: bool = False,
 ) -> DataFrame:
     """Profile a DataFrame, as one table or per group of ``by``.
 
@@ -242,7 +303,9 @@ def profile(
     for more, which only suits columnar files that do not change in between: an
     aggregate over hundreds of columns compiles to methods the JVM does not
     optimise. Text is ordered by its bytes, or by ``collation``, e.g. ``UNICODE`` for a source that
-    orders by language.
+    orders by language. ``many_groups`` is for tasks that meet thousands of groups:
+    extremes of texts are then found by two reads of the rows, without sorting them;
+    with a collation it has no effect.
     """
     known = {c.lower() for c in df.columns}
     for metric in metrics:
@@ -256,7 +319,7 @@ def profile(
     numbered = list(enumerate(metrics, 1))
     passes = [set(columns[i : i + size]) for i in range(0, len(columns), size)] or [set()]
     return all_profiles([
-        _one_pass(df, by, [(i, m) for i, m in numbered if m.col in chosen], first, of_copy, whole_seconds, collation)
+        _one_pass(df, by, [(i, m) for i, m in numbered if m.col in chosen], first, of_copy, whole_seconds, collation, many_groups)
         for first, chosen in zip([True] + [False] * len(passes), passes)
     ])
 

@@ -202,3 +202,35 @@ def test_unbounded_types(spark):
     kinds = ["numeric", "NUMERIC (50, 10)", "decimal(38,2)", "numeric(9)", "numeric[]", "bigint", "text"]
     found = spark.createDataFrame([(k,) for k in kinds], "t string").select(types.unbounded_cast_type(F.col("t"))).collect()
     assert [r[0] for r in found] == ["numeric", "numeric", "decimal(38,2)", "decimal(9)", "string", "long", "string"]
+
+
+# --- extremes of texts in many groups ----------------------------------------
+
+
+def test_many_groups(spark):
+    import random
+
+    from tallymark.operators.profile import profile
+
+    draw = random.Random(3)
+    pieces = ["", "a", "ab", "é", "日本", "\x00", "\x00\x00", "x" * 14, "x" * 15, "x" * 16, "x" * 15 + "a", "y" * 40, "y" * 40 + "z", "\U0001f600", "~", "ÿ" * 8]
+    rows = [(draw.choice([None, "g", "h"]), draw.randrange(40), draw.choice([None, *pieces]) if draw.random() < 0.6 else "".join(draw.choices(["x", "y", "é", "\x00"], k=draw.randrange(40))), draw.random()) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "p string, q int, `t.x` string, v double").repartition(3)
+    metrics = sums("v") + extremes("t.x", "v", "p")
+    for of_copy in (False, True):
+        plain = profile(df, metrics, by=["p", "q"], of_copy=of_copy)
+        many = profile(df, metrics, by=["p", "q"], of_copy=of_copy, many_groups=True)
+        assert sorted(map(str, many.where("col <> 'v'").collect())) == sorted(map(str, plain.where("col <> 'v'").collect()))
+    assert profile(df.where("false"), metrics, by=["p"], many_groups=True).count() == 0
+
+
+def test_many_groups_are_not_sorted(spark):
+    from tallymark.operators.profile import profile
+
+    df = spark.range(20000).selectExpr("id % 10000 AS g", "concat('text ', id) AS t", "concat('a long text that goes beyond its code ', id) AS u")
+    found = profile(df, extremes("t"), by=["g"], many_groups=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    below = [line for line in plan.splitlines() if "SortAggregate" in line or "partial_min(t" in line]
+    assert below == [] and "HashAggregate" in plan
+    values = {(r.g, r.func): r.value for r in profile(df, extremes("t", "u"), by=["g"], many_groups=True).where("g = 7").collect() if r.col == "u"}
+    assert values[7, "MIN"].endswith(" 10007") and values[7, "MAX"].endswith(" 7")
