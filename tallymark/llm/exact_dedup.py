@@ -15,10 +15,12 @@ columns of the input, whatever their names, are ignored.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import text_of
+from tallymark.llm.common import text_of, written
 
 PREFIX_CHARS = 64
 _IGNORED = " \t\n\v\f\r"
@@ -74,16 +76,28 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. A row that is repeated, id included, stays once."""
-    text = normalised(text_col)
-    rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-        F.sha2(text.cast("binary"), 256).alias("text_sha256"),
-        F.col(id_col).alias("id"),
-        F.char_length(text_of(text_col)).cast("long").alias("n"),
-    )
+    """The rows of ``docs`` that stay, with all their columns. A row that is repeated, id included, stays once.
+
+    One join against the narrow rows of the groups; a text outside them meets nothing.
+    """
     groups = duplicate_groups(docs, id_col, text_col)
-    stays = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("n") == F.col("keep_n"))
-    single = rows.join(groups, "text_sha256", "left").where(F.col("keep_rows").isNull() | ((F.col("keep_rows") == 1) & stays))
-    repeated = rows.join(groups.where("keep_rows > 1"), "text_sha256").where(stays).dropDuplicates(["text_sha256"])
-    return single.select("row.*").unionByName(repeated.select("row.*"))
+    rows = signatures(docs, id_col, text_col).select("text_sha256", F.col("doc_id").alias("id"), F.col("n").alias("chars"))
+    stays = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("chars") == F.col("keep_n"))
+    decided = rows.join(groups, "text_sha256").withColumn("stays", stays)
+    # What a row is matched by: rows that are equal in it are equal in all that decides.
+    decided = written(decided.groupBy("text_sha256", "id", "chars", "stays").agg(F.count("*").alias("rows")))
+    names = [f"dedup_{i}_{uuid.uuid4().hex}" for i in range(2)]  # no column of the input has these names
+    aside = [f"{name}_" for name in (*names, "id")]
+    text = normalised(text_col)
+    keyed = docs.withColumns({
+        names[0]: F.sha2(text.cast("binary"), 256), names[1]: F.char_length(text_of(text_col)).cast("long"),
+    })
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    same = (F.col(names[0]) == F.col(aside[0])) & (F.col(names[1]) == F.col(aside[1])) & F.col(f"`{id_col}`").eqNullSafe(F.col(aside[2]))
+
+    def narrow(condition: str) -> DataFrame:
+        return decided.where(condition).select("text_sha256", "chars", "id").toDF(*aside)
+
+    single = keyed.join(narrow("not stays or rows > 1"), same, "left_anti").select(*columns)
+    repeated = keyed.join(narrow("stays and rows > 1"), same, "left_semi").dropDuplicates([names[0]]).select(*columns)
+    return single.unionByName(repeated)

@@ -15,6 +15,7 @@ repeated rows and other columns have no influence on each other.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,15 +32,17 @@ BASE = {
 }
 
 _VERSION = r"(?: (?:version|v))? ?"
-#: Licenses as label, names as regular expressions over folded text, versions as they are written when folded.
+#: Short names that mean other things too: label, and the versions with a point that tell them apart.
+_SHORT = [("apache", "asl", ["1 0", "1 1", "2 0"]), ("mpl", "mpl", ["1 0", "1 1", "2 0"]), ("epl", "epl", ["1 0", "2 0"])]
+#: Licenses as label, names as regular expressions over folded text, versions as they are written when folded.
 _NAMED = [
     ("gpl", ["gnu general public licen[sc]e", "gnu gpl", "gpl"], ["1 0", "2 0", "3 0", "1", "2", "3"]),
     ("lgpl", ["gnu lesser general public licen[sc]e", "gnu library general public licen[sc]e", "lgpl"], ["2 0", "2 1", "3 0", "2", "3"]),
     ("agpl", ["gnu affero general public licen[sc]e", "affero general public licen[sc]e", "agpl"], ["1 0", "3 0", "1", "3"]),
     ("gfdl", ["gnu free documentation licen[sc]e", "gfdl"], ["1 1", "1 2", "1 3"]),
-    ("apache", ["apache software licen[sc]e", "apache licen[sc]e", "asl"], ["1 0", "1 1", "2 0", "2"]),
-    ("mpl", ["mozilla public licen[sc]e", "mpl"], ["1 0", "1 1", "2 0", "2"]),
-    ("epl", ["eclipse public licen[sc]e", "epl"], ["1 0", "2 0"]),
+    ("apache", ["apache software licen[sc]e", "apache licen[sc]e"], ["1 0", "1 1", "2 0", "2"]),
+    ("mpl", ["mozilla public licen[sc]e"], ["1 0", "1 1", "2 0", "2"]),
+    ("epl", ["eclipse public licen[sc]e"], ["1 0", "2 0"]),
     ("cddl", ["common development and distribution licen[sc]e", "cddl"], ["1 0", "1 1"]),
     ("cpl", ["common public licen[sc]e"], ["0 5", "1 0"]),
     ("eupl", ["european union public licen[sc]e", "eupl"], ["1 0", "1 1", "1 2"]),
@@ -86,7 +89,82 @@ _NAMED = [
     ("llama-community", ["llama (?:2 |3 )?community licen[sc]e"], []),
     ("openrail", ["(?:creativeml |bigscience )?open ?rail(?: m| pp m)? licen[sc]e"], []),
 ]
+#: Sentences and phrases of license texts as label, signature, keyword that every match holds.
 _FREE = [
+    ("mit", "subject to the following conditions the above copyright notice and this permission notice", "permission"),
+    ("mit", "to deal in the software without restriction including without limitation the rights to use", "without restriction"),
+    ("mit", "use copy modify merge publish distribute sublicense and or sell copies of the software", "sublicense"),
+    ("bsd", "redistributions of source code must retain the above copyright notice", "redistribut"),
+    ("bsd", "redistributions in binary form must reproduce the above copyright notice", "redistribut"),
+    ("bsd-4-clause", "all advertising materials mentioning features or use of this software must display", "advertising"),
+    ("bsd", "this software is provided by the (?:copyright holders and contributors|regents and contributors|author) as is", "is provided by"),
+    ("gpl", "this program is distributed in the hope that it will be useful", "hope that it will be useful"),
+    ("gpl", "either version [123](?: of the licen[sc]e)? or at your option any later version", "any later version"),
+    ("gpl", "everyone is permitted to copy and distribute verbatim copies of this licen[sc]e document", "verbatim copies"),
+    ("gpl", "the licen[sc]es for most software are designed to take away your freedom", "take away your freedom"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it", "this library is free"),
+    ("lgpl", "this licen[sc]e the lesser general public licen[sc]e applies to some specially designated software", "specially designated"),
+    ("agpl", "your modified version must prominently offer all users interacting with it remotely", "interacting with it remotely"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation", "permission"),
+    ("gfdl", "with no invariant sections no front cover texts and no back cover texts", "invariant sections"),
+    ("apache", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable", "irrevocable"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the licen[sc]e", "applicable law"),
+    ("apache", "this product includes software developed by the apache software foundation", "apache software foundation"),
+    ("mpl", "if a copy of the mpl was not distributed with this file you can obtain one at", "was not distributed with this file"),
+    ("mpl", "the contents of this file are subject to the mozilla public licen[sc]e", "mozilla"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse", "accompanying materials"),
+    ("epl", "the accompanying program is provided under the terms of this eclipse public licen[sc]e", "eclipse"),
+    ("cddl", "the contents of this file are subject to the terms of the common development and distribution", "common development"),
+    ("cpl", "the accompanying program is provided under the terms of this common public licen[sc]e", "common public"),
+    ("artistic", "the intent of this document is to state the conditions under which a package may be copied", "package may be copied"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy", "permission"),
+    ("boost", "boost software licen[sc]e version 1 0", "boost"),
+    ("isc", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted", "permission"),
+    ("zlib", "the origin of this software must not be misrepresented", "misrepresented"),
+    ("zlib", "altered source versions must be plainly marked as such", "plainly marked"),
+    ("openssl", "this product includes software developed by the openssl project", "openssl project"),
+    ("php", "this product includes php software freely available from", "php software"),
+    ("psf", "python software foundation licen[sc]e version 2", "python software foundation"),
+    ("unlicense", "anyone is free to copy modify publish use compile sell or distribute this software", "anyone is free to"),
+    ("wtfpl", "everyone is permitted to copy and distribute verbatim or modified copies", "verbatim or modified"),
+    ("ofl", "this font software is licen[sc]ed under the sil open font licen[sc]e", "font software"),
+    ("ofl", "the fonts and derivatives however cannot be released under any other type of licen[sc]e", "fonts and derivatives"),
+    ("odbl", "this database is made available under the open database licen[sc]e", "database"),
+    ("pddl", "this data is made available under the public domain dedication and licen[sc]e", "public domain dedication"),
+    ("unicode", "permission is hereby granted free of charge to any person obtaining a copy of the unicode data files", "unicode data files"),
+    ("json", "the software shall be used for good not evil", "good not evil"),
+    ("beerware", "if we meet some day and you think this stuff is worth it you can buy me a beer", "buy me a beer"),
+    ("x11", "except as contained in this notice the name of the x consortium shall not be used", "x consortium"),
+    ("elastic", "you may not provide the software to third parties as a hosted or managed service", "hosted or managed service"),
+    ("sspl", "if you make the functionality of the program or a modified version available to third parties as a service", "available to third parties as a service"),
+    ("busl", "the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use", "non production use"),
+    ("llama-community", "llama (?:2|3) is licen[sc]ed under the llama", "llama"),
+    ("openrail", "use based restrictions as referenced in paragraph 5", "use based restrictions"),
+    ("cc", "some rights reserved", "reserved"),
+    ("cc", "to view a copy of this licen[sc]e visit (?:https? )?(?:www )?creativecommons org", "creativecommons"),
+    ("cc-by-nc", "you may not use (?:the|this) (?:material|work) for commercial purposes", "commercial purposes"),
+    ("cc-by-nd", "if you remix transform or build upon the material you may not distribute the modified material", "remix transform"),
+    ("cc-by-sa", "you must distribute your contributions under the same licen[sc]e as the original", "contributions under the same"),
+    ("cc0", "to the extent possible under law .{1,80}? has waived all copyright", "waived all copyright"),
+    ("cc0", "no rights reserved", "reserved"),
+    ("public-domain", "works of the united states government are in the public domain", "public domain"),
+    ("public-domain", "the author disclaims copyright to this source code", "disclaims copyright"),
+    ("proprietary", "unauthorized (?:copying|use|reproduction|distribution) of this (?:file|software|document|material)", "unauthorized"),
+    ("proprietary", "no part of this (?:publication|book|document|work) may be reproduced", "no part of this"),
+    ("proprietary", "this (?:file|document|software) contains proprietary(?: and confidential)? information", "proprietary"),
+    ("proprietary", "trade secrets? of", "trade secret"),
+    ("proprietary", "for internal use only", "internal use only"),
+    ("proprietary", "not for (?:re ?distribution|resale|public release)", " not for"),
+    ("eula", "by installing copying or otherwise using (?:the|this) software you agree", "otherwise using"),
+    ("eula", "you may not reverse engineer decompile or disassemble", "reverse engineer"),
+    ("eula", "the software is licen[sc]ed not sold", "not sold"),
+    ("editorial", "reprinted (?:with|by) permission", "reprinted"),
+    ("editorial", "may be reproduced for (?:personal|educational|non ?commercial) use", "may be reproduced for"),
+    ("fair-use", "fair use (?:under|pursuant to) section 107", "section 107"),
+    ("no-warranty", "the authors? (?:or copyright holders )?(?:shall not|be) liable for any claim damages or other liability", "liab"),
+    ("no-warranty", "in no event (?:shall|will) the (?:authors?|copyright holders?|regents)(?: or contributors)? be (?:held )?liable", "in no event"),
+    ("no-warranty", "merchantability fitness for a particular purpose and non ?infringement", "merchantability"),
+    ("no-warranty", "even the implied warranty of merchantability or fitness for a particular purpose", "merchantability"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "permission"),
     ("mit", "the above copyright notice and this permission notice shall be included in all copies", "permission"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribut"),
@@ -116,7 +194,6 @@ _FREE = [
 ]
 _CC_PARTS = [("by", ""), ("by-sa", " sa"), ("by-nc", " nc"), ("by-nd", " nd"), ("by-nc-sa", " nc sa"), ("by-nc-nd", " nc nd")]
 _CC_WORDS = {"sa": "share ?alike", "nc": "non ?commercial", "nd": "no ?deriv(?:ative)?s?(?: works)?"}
-_PHRASED = [("under the {} ", 30), ("released under the {} ", 30), ("licen[sc]ed under the {} ", 30), ("covered by the {} ", 30)]
 
 
 def _rules() -> list[tuple[int, str, bytes, re.Pattern]]:
@@ -128,6 +205,12 @@ def _rules() -> list[tuple[int, str, bytes, re.Pattern]]:
             keyword = {" same": " same terms"}.get(keyword, keyword)
             rows += [(20, f"{label}-{v.replace(' ', '.')}", keyword, f"{name}{_VERSION}{v}") for v in versions]
             rows.append((40, label, keyword, name))
+    for label, name, versions in _SHORT:
+        for v in versions:
+            rows.append((20, f"{label}-{v.replace(' ', '.')}", f" {name}", f"{name}{_VERSION}{v}"))
+        # Without a full version only beside words that speak of a license.
+        rows.append((30, label, f" {name}", f"(?:licen[sc]ed under|released under|covered by|distributed under|terms of)(?: the)? {name}(?: ?v?[123])?"))
+        rows.append((30, label, f" {name}", f"{name}(?: ?v?[123])? (?:licen[sc]ed?|or later|compatible licen[sc]e)"))
     for part, tail in _CC_PARTS:
         words = "".join(f" {_CC_WORDS[w]}" for w in tail.split())
         for version in ("1 0", "2 0", "2 5", "3 0", "4 0"):
@@ -160,17 +243,19 @@ def detections(folded: bytes) -> list[tuple[str, int, int]]:
         if keywords[keyword]:
             found += [(priority, m.start() - m.end(), m.start(), m.end(), order, label) for m in signature.finditer(folded)]
     left: list[tuple[str, int, int]] = []
-    kept: list[tuple[int, int]] = []  # disjoint or crossing, ends rising with starts
+    # The intervals kept so far but those inside another: starts and ends rise together, so of
+    # all that start at or before a place the last reaches furthest.
     starts: list[int] = []
-    from bisect import bisect_right
-
+    ends: list[int] = []
     for _, _, low, high, _, label in sorted(found):
-        # An interval that contains this one starts at or before it; the one that reaches furthest decides.
         at = bisect_right(starts, low)
-        if at and max(end for _, end in kept[max(0, at - 8) : at]) >= high:
+        if at and ends[at - 1] >= high:
             continue
-        starts.insert(at, low)
-        kept.insert(at, (low, high))
+        past = bisect_right(ends, high)
+        first = bisect_left(starts, low)
+        del starts[first:past], ends[first:past]
+        starts.insert(first, low)
+        ends.insert(first, high)
         left.append((label, low, high))
     return left
 

@@ -2,9 +2,11 @@
 
 Every source gets a target number of words: its share of all words by weight,
 at most ``MOST`` times its own size, with the excess shared out again. The
-ratio of target and size gives each document its expected copies; their whole
-part is taken for certain, the rest is the document's inclusion probability p.
-For the rest the documents of a source are ranked by the random odds u/(1-u)
+whole part of the ratio of target and size is taken for certain, of every document.
+The words that then remain are sampled: a document's inclusion probability p grows
+with the ``TILT``-th power of its words (in steps of a bit), so that the words
+expected are those that remain; where p would pass one the document is certain.
+The documents of a source are ranked by the random odds u/(1-u)
 divided by the inclusion odds p/(1-p) (Rosen's Pareto sampling), and the first
 ones are taken until the words of the source's remainder are filled. What the
 document on the border would overshoot goes to smaller ones, by the same order.
@@ -12,7 +14,8 @@ document on the border would overshoot goes to smaller ones, by the same order.
 The border is found from histograms, never by sorting a source in one task:
 three levels of 4,096 bins per source, each over the rows of the one bin that
 holds the border. Texts are read twice and never shuffled. Sources are taken to
-be a bounded list: the driver holds one row for each. Random numbers are hashes
+be a bounded list: the driver holds one row for each, and Spark sees the size of
+that list where it is joined. Random numbers are hashes
 of id and text, so reruns agree.
 
 Defined results: a null or blank text has size 0 and is taken 0 words; null is
@@ -36,6 +39,8 @@ BITS = 12
 PLACES = 1 << LEVELS * BITS
 #: Times that the words left below a border are offered to smaller documents.
 FILLS = 3
+#: How fast inclusion grows with a document's words: 0 for all alike, 1 in proportion.
+TILT = 0.5
 
 
 def n_words(text: str | Column) -> Column:
@@ -43,6 +48,11 @@ def n_words(text: str | Column) -> Column:
     return F.regexp_count(text_of(text), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def bits_of(size: Column) -> Column:
+    """How many binary digits a size has."""
+    return F.length(F.bin(size))
+
+
 def uniform(id_col: str, text_col: str) -> Column:
     """A number above 0 and below 1 for each row, the same in every run."""
     return (F.shiftrightunsigned(F.xxhash64(F.col(id_col), text_of(text_col)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
@@ -69,15 +79,36 @@ def allocate(sizes: list[int], weights: list[float], most: float = MOST) -> list
     return targets
 
 
+def inclusion(words: dict[int, int], room: float, tilt: float = TILT) -> list[float]:
+    """Inclusion probabilities by the bits of a document's size, so that ``room`` of the ``words`` by bits are expected.
+
+    They are proportional to the size's power; those that would pass one are one, and the others share the rest.
+    """
+    p, certain = [0.0] * (max(words, default=0) + 1), set()
+    while room > 0 and len(certain) < len(words):
+        left = room - sum(words[b] for b in certain)
+        unit = sum(words[b] * 2.0 ** (tilt * b) for b in words if b not in certain)
+        factor = max(left, 0.0) / unit if unit else 0.0
+        over = {b for b in words if b not in certain and factor * 2.0 ** (tilt * b) >= 1}
+        if not over:
+            for b in words:
+                p[b] = 1.0 if b in certain else factor * 2.0 ** (tilt * b)
+            return p
+        certain |= over
+    return [1.0 if b in certain else 0.0 for b in range(len(p))]
+
+
 class Source:
     """What the driver knows of a source: its target, its whole copies, and the border of each round of taking."""
 
-    def __init__(self, name: str | None, size: int, target: float, most: float = MOST):
+    def __init__(self, name: str | None, words: dict[int, int], target: float, most: float = MOST):
+        """``words``: words in documents, by the bits of their size."""
+        size = sum(words.values())
         ratio = target / size if size else 0.0
         self.name, self.size, self.target = name, size, target
         self.whole = int(min(math.floor(ratio + 1e-9), most))
-        self.p = max(ratio - self.whole, 0.0) if size and self.whole < most else 0.0
-        self.left = round(target - self.whole * size) if self.p > 0 else 0
+        self.left = round(target - self.whole * size) if size and self.whole < most else 0
+        self.p = inclusion(words, self.left)
         self.borders: list[int] = []
         self.largest: list[int] = []
 
@@ -90,14 +121,14 @@ class Source:
         return self.name, self.size, self.target, self.whole, self.p, self.left, self.borders, self.largest
 
 
-_PARAMETERS = "of string, source_size long, target double, whole int, p double, left long, borders array<long>, largest array<long>"
+_PARAMETERS = "of string, source_size long, target double, whole int, odds array<double>, left long, borders array<long>, largest array<long>"
 _TAKEN = "exists(arrays_zip(borders, largest), r -> place < r.borders and size <= r.largest)"
 
 
 def _with_parameters(rows: DataFrame, sources: list[Source], source: str = "source") -> DataFrame:
-    """Adds the columns of each row's source. The broadcast side has one row per source."""
+    """Adds the columns of each row's source, and its own p."""
     parameters = rows.sparkSession.createDataFrame([s.row() for s in sources], _PARAMETERS)
-    return rows.join(F.broadcast(parameters), F.col(source).eqNullSafe(F.col("of")), "left").drop("of")
+    return rows.join(parameters, F.col(source).eqNullSafe(F.col("of")), "left").withColumn("p", F.coalesce(F.get("odds", bits_of(F.col("size"))), F.lit(0.0))).drop("of", "odds")
 
 
 def _find_borders(rows: DataFrame, room: dict[str | None, int]) -> dict[str | None, tuple[int, int]]:
@@ -109,7 +140,7 @@ def _find_borders(rows: DataFrame, room: dict[str | None, int]) -> dict[str | No
             break
         shift = BITS * (LEVELS - 1 - level)
         at = session.createDataFrame([(n, prefix[n], left[n]) for n in prefix], "at string, prefix long, room long")
-        inside = rows.join(F.broadcast(at), F.col("source").eqNullSafe(F.col("at"))).where(F.shiftright("place", shift + BITS) == F.col("prefix"))
+        inside = rows.join(at, F.col("source").eqNullSafe(F.col("at"))).where(F.shiftright("place", shift + BITS) == F.col("prefix"))
         bins = inside.groupBy("source", "room", F.shiftright("place", shift).alias("bin")).agg(F.sum("size").alias("words"))
         upto = F.sum("words").over(Window.partitionBy("source").orderBy("bin"))  # at most 4,096 bins of a source
         edge = F.min(F.expr("if(upto > room, struct(bin, room - upto + words as rest), null)")).alias("edge")
@@ -129,10 +160,12 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     narrow = docs.select(F.col(source_col).alias("source"), n_words(text_col).alias("size"), uniform(id_col, text_col).alias("u"))
     narrow.write.parquet(folder)
     drawn = docs.sparkSession.read.schema("source string, size long, u double").parquet(folder)
-    sizes = {r["source"]: int(r["words"]) for r in drawn.groupBy("source").agg(F.sum("size").alias("words")).collect()}
-    names = sorted(sizes, key=lambda name: (name is None, name or ""))
-    targets = allocate([sizes[n] for n in names], [weights[i % len(weights)] for i in range(len(names))], most)
-    sources = [Source(name, sizes[name], target, most) for name, target in zip(names, targets, strict=True)]
+    words: dict[str | None, dict[int, int]] = {}
+    for r in drawn.groupBy("source", bits_of(F.col("size")).alias("bits")).agg(F.sum("size").alias("words")).collect():
+        words.setdefault(r["source"], {})[r["bits"]] = int(r["words"])
+    names = sorted(words, key=lambda name: (name is None, name or ""))
+    targets = allocate([sum(words[n].values()) for n in names], [weights[i % len(weights)] for i in range(len(names))], most)
+    sources = [Source(name, words[name], target, most) for name, target in zip(names, targets, strict=True)]
     for _ in range(1 + FILLS):
         room = {s.name: s.left for s in sources if s.left > 0}
         if not room:
