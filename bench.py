@@ -42,7 +42,7 @@ def job_per_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = q._orders_by_month(source(spark, sf_dir, "orders"))
-    months = [f"orders_1_prt_p{y}{m:02d}" for y in range(1995, 2002) for m in range(1, 13)][:80]
+    months = sorted(r[0] for r in df.select("table").distinct().collect())
     return all_profiles([profile_table(df.where(F.col("table") == m), DB, "sales", m, q.ORDER_METRICS) for m in months])
 
 

@@ -566,7 +566,7 @@ def incremental_ingest(spark, sf_dir):
     folder = shared_folder(spark)
     landing, target = f"{folder}/landing", f"{folder}/target"
     copy = as_text_copy(source(spark, sf_dir, "lineitem"))
-    copy.withColumn("flag", F.col("l_returnflag")).repartition(8).write.partitionBy("flag").parquet(landing)
+    copy.withColumn("flag", F.col("l_returnflag")).write.partitionBy("flag").parquet(landing)
     found = table_files.table_files(spark, landing)
     before = found.where(F.col("directory").endswith("flag=A"))
     changed = table_files.changed_tables(found, before).select("directory").collect()

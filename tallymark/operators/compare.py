@@ -22,8 +22,11 @@ def compare_profiles(
     ``exact`` compares decimals to the last digit instead of within a
     tolerance, and takes a SUM over nothing as ``0`` on the copy's side as on
     the source's. Values are shown with the scale of their type, or as they are
-    when ``exact``. A metric the copy lacks reads as the empty text.
+    when ``exact``. A metric the copy lacks reads as the empty text. The type map
+    is read once: ``has_type_map`` says whether it knows the table at all.
     """
+    entries = F.map_from_entries(F.collect_list(F.struct("type_key", "source_type")))
+    of_table = metric_types.groupBy(*TABLE_KEY).agg(entries.alias("types"))
     right = actual.select(*METRIC_KEY, F.col("value").alias("copy_value"))
     matches = rules.metric_matches_exactly if exact else rules.metric_matches
     func, source_type = F.col("func"), F.col("source_type")
@@ -40,11 +43,12 @@ def compare_profiles(
     return (
         expected.withColumn("type_key", F.lower("col"))
         .join(right, METRIC_KEY, "left")
-        .join(metric_types, TABLE_KEY + ["type_key"], "left")
+        .join(of_table, TABLE_KEY, "left")
         .select(
             *METRIC_KEY,
             "position",
-            F.coalesce("source_type", F.lit(types.UNMAPPED)).alias("source_type"),
+            F.coalesce(F.try_element_at("types", "type_key"), F.lit(types.UNMAPPED)).alias("source_type"),
+            F.col("types").isNotNull().alias("has_type_map"),
             text.strip(F.coalesce("value", F.lit(""))).alias("source_text"),
             # A copy without rows has no group of its own in a family's profile.
             text.strip(F.coalesce("copy_value", F.when(func.isin(zero_if_absent), "0").otherwise(""))).alias("copy_text"),
@@ -59,6 +63,7 @@ def compare_profiles(
             .when(func == STATUS, True)
             .otherwise(matches(func, source_type, expected_text, actual_text))
             .alias("matched"),
+            "has_type_map",
         )
     )
 
@@ -68,14 +73,20 @@ def metric_rows(compared: DataFrame) -> DataFrame:
     return compared.where(~F.col("func").isin(COUNT, STATUS))
 
 
-def classify_tables(compared: DataFrame, metric_types: DataFrame) -> DataFrame:
-    """Counts, mismatches, status and remark per compared table."""
+def classify_tables(compared: DataFrame, metric_types: DataFrame | None = None) -> DataFrame:
+    """Counts, mismatches, status and remark per compared table.
+
+    Rows that do not say whether a type map knows their table (``has_type_map``)
+    are joined with ``metric_types`` to find out.
+    """
     is_count = F.col("func") == COUNT
     is_metric = ~F.col("func").isin(COUNT, STATUS)
     note = F.when(F.col("func") == STATUS, F.concat(F.lit(rules.STATUS_TOKEN + " "), "source_value"))
-    mapped = metric_types.select(*TABLE_KEY).distinct().withColumn("has_type_map", F.lit(True))
+    if "has_type_map" not in compared.columns:
+        mapped = metric_types.select(*TABLE_KEY).distinct().withColumn("has_type_map", F.lit(True))
+        compared = compared.join(mapped, TABLE_KEY, "left")
     status = rules.reconcile_status(
-        F.col("count_matches"), F.col("mismatch_metrics"), F.col("line_remark"), F.col("has_type_map").isNotNull()
+        F.col("count_matches"), F.col("mismatch_metrics"), F.col("line_remark"), F.col("has_type_map")
     )
     remark = rules.reconcile_remark(
         F.col("status"), F.col("count_matches"), F.col("mismatch_metrics"), F.col("total_metrics"), F.col("line_remark")
@@ -89,8 +100,8 @@ def classify_tables(compared: DataFrame, metric_types: DataFrame) -> DataFrame:
             F.count_if(is_metric).alias("total_metrics"),
             F.count_if(is_metric & ~F.col("matched")).alias("mismatch_metrics"),
             F.coalesce(F.max(note), F.lit("")).alias("line_remark"),
+            F.coalesce(F.bool_or("has_type_map"), F.lit(False)).alias("has_type_map"),
         )
-        .join(mapped, TABLE_KEY, "left")
         .withColumn("status", status)
         .select(
             *TABLE_KEY, "source_count", "copy_count", "total_metrics", "mismatch_metrics", "status", remark.alias("remark")
