@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
@@ -54,7 +55,7 @@ def export_content(
     exact: bool = False,
     side_by_side: int = 4,
 ) -> ContentRun:
-    """Write the row digests of every listed table below ``folder``, at ``db/schema/table``.
+    """Write the row digests of every listed table below ``folder``, at ``<run>/db/schema/table``.
 
     ``tables`` comes from a list with keys, ``special`` from
     `tallymark.operators.control.special_columns`. Columns are digested in the
@@ -62,11 +63,14 @@ def export_content(
     written; ``side_by_side`` of them run at a time, so that a large table does
     not hold up the others. A table that cannot be read or digested is FAILED
     with its error and does not stop the rest. Of a table listed twice the last
-    entry counts. Only names pass through the driver.
+    entry counts. Every run writes to a folder of its own, which the results name, so
+    a run that fails leaves the digests of the last one as they are. Only names pass
+    through the driver.
     """
+    run_folder = f"{folder}/{uuid.uuid4().hex}"
 
     def run(row) -> tuple:
-        path = f"{folder}/{row.db}/{row.schema}/{row.table}"
+        path = f"{run_folder}/{row.db}/{row.schema}/{row.table}"
         identity = row.db, row.schema, row.table, path
         if row.error is not None:
             return *identity, FAILED, row.error

@@ -234,3 +234,23 @@ def test_many_groups_are_not_sorted(spark):
     assert below == [] and "HashAggregate" in plan
     values = {(r.g, r.func): r.value for r in profile(df, extremes("t", "u"), by=["g"], many_groups=True).where("g = 7").collect() if r.col == "u"}
     assert values[7, "MIN"].endswith(" 10007") and values[7, "MAX"].endswith(" 7")
+
+
+# --- digests -----------------------------------------------------------------
+
+
+def test_a_failed_digest_keeps_the_last_one(spark, tmp_path):
+    from tallymark.plans.content import export_content
+
+    listed = control.listed_tables(control.parse_table_list(_control(spark, "d|s.t|a"), with_keys=True))
+    mapped = spark.createDataFrame([("d", "s", "t", 1, "a", "int", "a", "string")], TYPE_MAP)
+    special = control.special_columns(spark.createDataFrame([], "database_name string, original_table_name string, th_column_name string, active_flag string"))
+    good = spark.range(3).selectExpr("id AS a")
+    bad = good.selectExpr("raise_error('gone wrong') AS a")
+
+    def run(df):
+        return export_content(spark, listed, mapped, special, lambda *_: df, str(tmp_path), form="parquet").results.first()
+
+    first, second = run(good), run(bad)
+    assert (first.status, second.status) == ("SUCCESS", "FAILED") and first.path != second.path
+    assert spark.read.parquet(first.path).count() == 3
