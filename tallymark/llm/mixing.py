@@ -13,9 +13,9 @@ document on the border would overshoot goes to smaller ones, by the same order.
 
 The border is found from histograms, never by sorting a source in one task:
 three levels of 4,096 bins per source, each over the rows of the one bin that
-holds the border. Texts are read twice and never shuffled. Sources are taken to
-be a bounded list: the driver holds one row for each, and Spark sees the size of
-that list where it is joined. Random numbers are hashes
+holds the border. Texts are read twice. Sources are taken to
+be a bounded list: the driver holds one row for each, and up to ``FEW_SOURCES`` of
+them are sent to the texts; beyond, the texts are shuffled to them once. Random numbers are hashes
 of id and text, so reruns agree.
 
 Defined results: a null or blank text has size 0 and is taken 0 words; null is
@@ -39,6 +39,8 @@ BITS = 12
 PLACES = 1 << LEVELS * BITS
 #: Times that the words left below a border are offered to smaller documents.
 FILLS = 3
+#: So many sources are sent to all tasks (10 MB); beyond, rows are shuffled by source.
+FEW_SOURCES = 10_000
 #: How fast inclusion grows with a document's words: 0 for all alike, 1 in proportion.
 TILT = 0.5
 
@@ -125,10 +127,15 @@ _PARAMETERS = "of string, source_size long, target double, whole int, odds array
 _TAKEN = "exists(arrays_zip(borders, largest), r -> place < r.borders and size <= r.largest)"
 
 
+def _sized(rows: DataFrame, n: int) -> DataFrame:
+    """Rows of about a kilobyte or less are sent to every task while they are few; more of them are joined by a shuffle."""
+    return F.broadcast(rows) if n <= FEW_SOURCES else rows
+
+
 def _with_parameters(rows: DataFrame, sources: list[Source], source: str = "source") -> DataFrame:
     """Adds the columns of each row's source, and its own p."""
     parameters = rows.sparkSession.createDataFrame([s.row() for s in sources], _PARAMETERS)
-    return rows.join(parameters, F.col(source).eqNullSafe(F.col("of")), "left").withColumn("p", F.coalesce(F.get("odds", bits_of(F.col("size"))), F.lit(0.0))).drop("of", "odds")
+    return rows.join(_sized(parameters, len(sources)), F.col(source).eqNullSafe(F.col("of")), "left").withColumn("p", F.coalesce(F.get("odds", bits_of(F.col("size"))), F.lit(0.0))).drop("of", "odds")
 
 
 def _find_borders(rows: DataFrame, room: dict[str | None, int]) -> dict[str | None, tuple[int, int]]:
@@ -140,7 +147,7 @@ def _find_borders(rows: DataFrame, room: dict[str | None, int]) -> dict[str | No
             break
         shift = BITS * (LEVELS - 1 - level)
         at = session.createDataFrame([(n, prefix[n], left[n]) for n in prefix], "at string, prefix long, room long")
-        inside = rows.join(at, F.col("source").eqNullSafe(F.col("at"))).where(F.shiftright("place", shift + BITS) == F.col("prefix"))
+        inside = rows.join(_sized(at, len(prefix)), F.col("source").eqNullSafe(F.col("at"))).where(F.shiftright("place", shift + BITS) == F.col("prefix"))
         bins = inside.groupBy("source", "room", F.shiftright("place", shift).alias("bin")).agg(F.sum("size").alias("words"))
         upto = F.sum("words").over(Window.partitionBy("source").orderBy("bin"))  # at most 4,096 bins of a source
         edge = F.min(F.expr("if(upto > room, struct(bin, room - upto + words as rest), null)")).alias("edge")
