@@ -42,13 +42,15 @@ def _batches(requests: Iterable[Request], size: int) -> Iterator[Sequence[Reques
 
 
 def _built(request: Request) -> list[tuple[tuple, DataFrame | Exception]]:
-    """The request's profile, or its tables' one by one if it cannot be planned."""
+    """The request's profile, or those of its halves if it cannot be planned, down to the tables that cannot."""
     try:
         return [(request.tables, request.build(request.tables))]
     except Exception as failure:
         if len(request.tables) == 1:
             return [(request.tables, failure)]
-        return [built for table in request.tables for built in _built(Request((table,), request.build))]
+        middle = len(request.tables) // 2
+        halves = request.tables[:middle], request.tables[middle:]
+        return [built for half in halves for built in _built(Request(half, request.build))]
 
 
 def write_profiles(

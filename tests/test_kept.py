@@ -66,6 +66,20 @@ def test_planned_families(spark):
     assert planned_families(tables, metrics, together=False).count() == 4
 
 
+def test_a_family_that_cannot_be_planned_is_halved(spark, tmp_path):
+    planned = []
+
+    def build(members):
+        if "bad" in members:
+            raise ValueError("no such column")
+        planned.append(members)
+        return profile_table(spark.range(len(members)), "d", "s", members[0], sums("id"))
+
+    outcomes = batches.write_profiles(spark, [batches.Request(("a", "b", "c", "d", "bad", "f", "g", "h"), build)], str(tmp_path))
+    assert {o.table for o in outcomes if o.error} == {"bad"} and len(outcomes) == 8
+    assert sorted(map(len, planned)) == [1, 2, 4]
+
+
 def test_requests_may_come_as_a_stream(spark, tmp_path):
     def requests():
         for name in "abcde":
