@@ -555,6 +555,11 @@ ODD = "text || ' |,MAX(text):%2C' || chr(13) || chr(10) || 'MIN_MAX_STATUS: '"
 ORACLE["export_run_escaped"] = _long(
     f"(SELECT * REPLACE ({ODD} AS text) FROM documents)", _sums("n_chars") + _extremes("text", "lang"), "source", by="source"
 )
+CUSTOMER_TYPE, CUSTOMER_ORDERED = _pick("c_custkey", [t[0] for t in TYPES]), _pick("c_custkey", [t[1] for t in TYPES])
+ORACLE["type_map_files"] = f"""
+    SELECT 'cust' || repeat('_long', CAST(c_nationkey % 4 AS INTEGER)) AS "table", 'c_' || c_custkey AS col, lower(trim({CUSTOMER_TYPE})) AS source_type,
+           CASE WHEN c_acctbal > 0 THEN {CUSTOMER_ORDERED} ELSE 0 END AS ordered
+    FROM customer"""
 ORACLE["success_log_files"] = """
     SELECT 'sales_f' AS "schema", 'cust_' || o_custkey AS "table", '/land, all/' || o_orderkey AS file_path,
            CAST(NULL AS VARCHAR) AS reason, CAST(1 AS BIGINT) AS n

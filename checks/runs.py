@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.tables import DB, SOURCE_TYPES, as_text_copy, order_table, read, source, type_map_of
+from checks.tables import DB, SOURCE_TYPES, TYPE_NAMES, as_text_copy, order_table, read, source, type_map_of
 from tallymark.operators import control
 from tallymark.operators.lines import decode_lines, encode_lines, parse_lines
 from tallymark.operators.profile import Metric, all_profiles, extremes, profile_family, profile_table, sums
@@ -18,7 +18,9 @@ from tallymark.plans.latest import refresh_success
 from tallymark.plans.reconcile import reconcile
 from tallymark.sinks.export import append_log, read_log, replace_log, shared_folder, write_line_files, write_lines
 from tallymark.sources.aggregates import SPARK, profile_at_source, quoted
-from tallymark.sources.control import SUCCESS_LOG_HEADER, read_line_files, read_result_lines, read_success_log, rejected_log_rows
+from tallymark.sources.control import (
+    SUCCESS_LOG_HEADER, TYPE_MAP_HEADER, read_line_files, read_result_lines, read_success_log, read_type_map, rejected_log_rows,
+)
 
 LIST = """
 # the tables of this run
@@ -284,6 +286,39 @@ def _write_log(rows: DataFrame, header: str | None, path: str, line_sep: str, bu
     sorted_rows.select("value").write.option("lineSep", line_sep).text(path)
 
 
+def type_map_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type maps with a column per customer, in two orders of columns, quoted and blank lines; names of which one begins like another.
+
+    Per column: its table, its source type as the comparison knows it, and whether MIN and MAX are taken.
+    """
+    root = f"{shared_folder(spark)}/maps"
+    key = F.col("c_custkey").cast("string")
+    kinds = F.array(*[F.lit(t) for t in TYPE_NAMES])
+    kind = F.element_at(kinds, (F.col("c_custkey") % len(TYPE_NAMES) + 1).cast("int"))
+    fields = {
+        "gp_column_nm": F.concat(F.lit("c_"), key),
+        "gp_datatype": F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit('"'), kind, F.lit('"'))).otherwise(F.concat(F.lit(" "), kind)),
+        "ext_column_nm": F.concat(F.lit("X_"), key),
+        "ext_datatype": F.when(F.col("c_acctbal") > 0, "string").otherwise("bytea"),
+        "note": F.lit("x"),
+    }
+    customers = read(spark, sf_dir, "customer")
+    orders = [list(TYPE_MAP_HEADER), ["note", *reversed(TYPE_MAP_HEADER)]]
+    for n in range(4):
+        columns = orders[n % 2]
+        line = F.concat_ws("|", *[fields[c] for c in columns])
+        rows = customers.where(F.col("c_nationkey") % 4 == n).select(
+            F.lit(0).alias("bucket"), F.col("c_custkey").alias("place"), F.when(key.endswith("7"), F.concat(line, F.lit("\n"))).otherwise(line).alias("value")
+        )
+        # Each map is one file, as its lines are in order.
+        _write_log(rows, "|".join(columns), f"{root}/{DB}/sales/cust{'_long' * n}.csv", "\r\n" if n == 3 else "\n", buckets=1)
+    found = read_type_map(spark, root)
+    known = control.metric_types(found, exact=True).select("table", F.col("type_key").alias("col"), "source_type")
+    listed = found.select("db", "schema", "table").distinct().withColumn("sum_cols", F.lit("none"))
+    ranked = control.export_metrics(listed, found).where("func = 'MIN'").select("table", F.lower("col").alias("col"), F.lit(1).alias("ordered"))
+    return known.join(ranked, ["table", "col"], "left").select("table", "col", "source_type", F.coalesce("ordered", F.lit(0)).alias("ordered"))
+
+
 def success_log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logs of orders by status: two orders of columns, one without end times, one without a header, some short rows.
 
@@ -389,6 +424,6 @@ RUNS = {
     for run in (
         content_run_status, content_run_rows, export_run_lines, export_run_unmapped, export_run_at_source, export_run_escaped, export_run_family, log_rerun,
         latest_second_run,
-        export_run_status, reconcile_run, reconcile_run_logs, success_log_files, incremental_second_run,
+        export_run_status, reconcile_run, reconcile_run_logs, type_map_files, success_log_files, incremental_second_run,
     )
 }

@@ -29,7 +29,7 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_type_map(spark: SparkSession, root: str) -> DataFrame:
-    """All type maps below ``root``, one file per table at ``<db>/<schema>/<table>.csv``.
+    """All type maps below ``root``, one file per table at ``<db>/<schema>/<table>.csv`` (or a folder of that name with one).
 
     Columns are found by their header, in any order. Ordinal 0 stands for the
     file itself, with no column names, so a map with a header only is told
@@ -46,7 +46,7 @@ def read_type_map(spark: SparkSession, root: str) -> DataFrame:
         place = F.array_position("header", header)
         return F.when((place > 0) & (F.col("ordinal") > 0), F.get("cells", (place - 1).cast("int")))
 
-    place = r"/([^/]+)/([^/]+)/([^/]+)\.csv$"
+    place = r"/([^/]+)/([^/]+)/([^/]+)\.csv(?:/[^/]+)?$"
     names = zip(TYPE_MAP_HEADER, ["gp_column", "gp_type", "ext_column", "ext_type"])
     return (
         files.select("path", cells(F.get("lines", F.lit(0))).alias("header"), F.posexplode("lines").alias("ordinal", "line"))
