@@ -110,8 +110,23 @@ def test_a_chain_inside_one_family(spark):
     rows = chain + apart + [(200 + i, t) for i, t in chain[::3]]
     name = components(rows, 4)
     assert len({name[i] for i, _ in chain}) == 1
-    found = hyperminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 4, 80).collect()
-    assert {r.doc_id: r.component_id for r in found} == name
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for exact in (False, True):
+        found = hyperminhash.near_duplicates(df, 4, 80, exact=exact).collect()
+        assert {r.doc_id: r.component_id for r in found} == name
+
+
+def test_exact_links(spark, docs):
+    known = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    for words, percent in ((4, 80), (1, 50), (2, 100)):
+        sets = {r.doc_id: sets_of(r.text, words) for r in known.collect()}
+        name = {i: i for i in sets}
+        links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+        for _ in sets:
+            for a, b in links:
+                name[a] = name[b] = min(name[a], name[b])
+        found = hyperminhash.near_duplicates(known, words, percent, exact=True).collect()
+        assert {r.doc_id: r.component_id for r in found} == name
 
 
 def test_mixing_stage(spark, docs, rows):
@@ -223,3 +238,31 @@ def test_short_names_need_a_context():
     assert labels("EPL fans met the ASL 2 interpreter; MPL was there") == ""
     assert labels("Source: MPL 2.0") == "mpl-2.0" and labels("Licensed under the EPL") == "epl" and labels("ASL licensed code") == "apache"
     assert len(licenses._FREE) + sum(len(names) for _, names, _ in licenses._NAMED) >= 170
+
+
+# --- language model ----------------------------------------------------------
+
+
+def test_base_scores(spark):
+    import math
+    import zlib
+
+    from tallymark.llm import hpylm
+    from tallymark.llm.common import crc_remainder
+
+    draw = random.Random(8)
+    texts = [None, "", " \n ", "A a\x00 a", "é É", *(" ".join(draw.choices(["A", "b", "cé", "d-e", "f\x85g", "H"], k=draw.randint(1, 60))) for _ in range(80))]
+    rows = [(i, t, "x", 1.0) for i, t in enumerate(texts)] + [(3, texts[3], "x", 2.0)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, word string, score double").repartition(3)
+    tokens = lambda t: [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if w] + [None]
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    seen = Counter(w for i, t, *_ in rows if not held(i) for w in tokens(t))
+    n, v = sum(seen.values()), len(seen)
+    want = []
+    for i, t, *_ in rows:
+        own = tokens(t)
+        base = sum(math.log10((seen[w] + 0.5) / (n + 0.5 * (v + 1))) for w in own)
+        want.append((i, held(i), len(own), sum(seen[w] > 0 for w in own), n, round(base, 6)))
+    found = hpylm.score(df, crc_remainder("doc_id", 5) != 1).collect()
+    assert sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in found) == sorted(want)
+    assert all(r.score < 0 for r in found) and {r.held_out for r in found} == {True, False}
