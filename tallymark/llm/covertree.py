@@ -1,14 +1,19 @@
 """Exact top-k inner products by dual-tree search over cover trees.
 
-Rows are dealt into data blocks and queries into query blocks of bounded size;
-every pair of blocks meets in one task. There both sides are indexed by a cover
-tree: a node is a centre with the greatest distance of its points, and its
+Rows and queries go to cells, by the nearest of some pivots, which come from a bounded
+sample; a cell is a centre with the greatest distance of its rows. Each query cell
+first meets the data cell that its centre likes best, which gives every query a
+kth score. Then it meets the cells whose bound (below) is not under the least of
+these scores; the vectors of other cells are not sent to it. Cells are dealt into
+blocks of bounded size, and a pair of blocks meets in one task. There both sides are
+indexed by a cover tree: a node is a centre with the greatest distance of its points, and its
 children are a net of its points at a smaller radius. A pair of a query node
 (centre q, radius r) and a data node (centre x, radius s) is pruned when
 <q,x> + |q| s + |x| r + r s, which no inner product below it can exceed, is
 smaller than the worst kth score of the query node's queries. Ties are not
 pruned, so the smaller vec_id wins them exactly. The k best of each block pair
-are merged per query in rounds of a top-k window.
+are merged per query in rounds of a top-k window. The driver holds pivots and, for at
+most ``CELLS`` cells a side, radius, count and kth score.
 
 Components are scaled and floored to whole numbers; scores are exact integers.
 Defined results: vectors that are null, empty, or hold a null or non-finite
@@ -27,7 +32,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymark.llm.common import written
+
 DATA_BLOCK, QUERY_BLOCK = 4096, 1024
+#: Cells at most, and rows, chosen by hash, from which their pivots are taken.
+CELLS, SAMPLE = 256, 2048
 LEAF = 256
 # Scores from here on are ordered by their text, in which all have the same number of hex digits.
 _MOST, _SHIFT, _DIGITS = 2**63 - 1, 1 << 2200, 552
@@ -129,58 +138,180 @@ def whole_vectors(vectors: DataFrame, scale: int = 64, id_col: str = "vec_id", v
     return rows.where(finite).select("vec_id", whole.alias("vec"))
 
 
+def pivots(rows: DataFrame, cells: int) -> dict[int, np.ndarray]:
+    """Centres of cells by length of vectors: the farthest from each other of a bounded sample."""
+    sample = rows.orderBy(F.xxhash64("vec_id", "vec"), "vec_id").select("vec").limit(SAMPLE).collect()
+    found = {}
+    for width in sorted({len(r["vec"]) for r in sample}):
+        x = np.array([r["vec"] for r in sample if len(r["vec"]) == width])
+        with np.errstate(over="ignore", invalid="ignore"):
+            chosen, nearest = [0], ((x - x[0]) ** 2).sum(axis=1)
+            while len(chosen) < min(cells, len(x)) and nearest.max() > 0:
+                chosen.append(int(nearest.argmax()))
+                nearest = np.minimum(nearest, ((x - x[chosen[-1]]) ** 2).sum(axis=1))
+        found[width] = x[chosen]
+    return found
+
+
+def in_cells(rows: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
+    """The rows with their cell, ``width`` and number of the nearest pivot (-1 if there is none), and the distance to it."""
+
+    def batches(stream):
+        import pyarrow as pa
+
+        for batch in stream:
+            vectors = batch.column("vec").to_pylist()
+            widths = np.array([len(v) for v in vectors], dtype=np.int32)
+            cell, distance = np.full(len(vectors), -1, dtype=np.int32), np.full(len(vectors), np.inf)
+            for width in set(widths.tolist()) & centres.keys():
+                at = np.flatnonzero(widths == width)
+                x, c = np.array([vectors[i] for i in at]), centres[width]
+                with np.errstate(over="ignore", invalid="ignore"):
+                    for low in range(0, len(at), 256):
+                        part = x[low : low + 256]
+                        squares = ((part[:, None, :] - c[None]) ** 2).sum(axis=2)
+                        best = squares.argmin(axis=1)
+                        cell[at[low : low + 256]] = best
+                        distance[at[low : low + 256]] = np.sqrt(squares[np.arange(len(part)), best]) * (1 + 1e-9)
+            columns = [*batch.columns, pa.array(widths), pa.array(cell), pa.array(distance)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "width", "cell", "distance"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInArrow(batches, f"{schema}, width int, cell int, distance double")
+
+
+class Cells:
+    """What the driver knows of the cells of one side: count and radius by (width, number)."""
+
+    def __init__(self, rows: DataFrame, centres: dict[int, np.ndarray], block: int):
+        found = rows.groupBy("width", "cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()
+        self.size = {(r["width"], r["cell"]): r["n"] for r in found}
+        self.radius = {(r["width"], r["cell"]): r["radius"] for r in found}
+        self.blocks = {key: -(-n // block) for key, n in self.size.items()}
+        self.centres = centres
+
+    def centre(self, key: tuple[int, int]) -> np.ndarray | None:
+        return self.centres[key[0]][key[1]] if key[1] >= 0 else None
+
+
+def most_possible(queries: Cells, q: tuple[int, int], data: Cells, x: tuple[int, int]) -> float:
+    """No inner product of rows of these two cells is larger."""
+    a, b = queries.centre(q), data.centre(x)
+    if a is None or b is None:
+        return np.inf
+    with np.errstate(over="ignore", invalid="ignore"):
+        r, s = queries.radius[q], data.radius[x]
+        bound = float(a @ b) + float(np.sqrt(a @ a)) * s + float(np.sqrt(b @ b)) * r + r * s
+    return np.inf if np.isnan(bound) else bound + abs(bound) * 1e-9 + 1e-6
+
+
+def first_pairs(queries: Cells, data: Cells, k: int) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """For each query cell the data cell that its centre likes best, of those with more than k rows if there are any."""
+    out = {}
+    for q in queries.size:
+        same = [x for x in data.size if x[0] == q[0]]
+        a = queries.centre(q)
+        liked = [x for x in same if x[1] >= 0]
+        liked = [x for x in liked if data.size[x] > k] or liked
+        if same:
+            out[q] = [max(liked, key=lambda x: float(a @ data.centre(x)))] if a is not None and liked else same
+    return out
+
+
+def other_pairs(queries: Cells, data: Cells, met: dict, bar: dict) -> dict[tuple[int, int], list[tuple[int, int]]]:
+    """The data cells that may still hold one of the k best of a query cell's queries; ``bar``: the least of their kth scores."""
+    return {
+        q: [x for x in data.size if x[0] == q[0] and x not in met.get(q, ()) and most_possible(queries, q, data, x) >= bar.get(q, -np.inf)]
+        for q in queries.size
+    }
+
+
+def shared_out(rows: DataFrame, pairs: dict, other: Cells, own: Cells, salt: str) -> DataFrame:
+    """The rows of one side, once for every block of the other side's cells that theirs is paired with: key and columns."""
+    listed = [(*key, own.blocks[key], [(x[1], b) for x in cells for b in range(other.blocks[x])]) for key, cells in pairs.items() if cells]
+    schema = "width int, cell int, blocks int, partners array<struct<cell:int,block:int>>"
+    # One row for each of at most a few hundred cells.
+    plan = F.broadcast(rows.sparkSession.createDataFrame(listed, schema))
+    block = F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.col("blocks")).cast("int").alias("block")
+    again = rows.select(*(F.col(c).alias(c) for c in rows.columns))  # the other side comes from the same rows
+    return again.join(plan, ["width", "cell"]).select("*", block, F.explode("partners").alias("partner"))
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score of the k best rows of every query."""
-    rows = whole_vectors(vectors, scale, id_col, vector_col)
-    queries = rows.where(is_query)
-    n, m = rows.count(), queries.count()
-    data_blocks, query_blocks = max(1, -(-n // DATA_BLOCK)), max(1, -(-m // QUERY_BLOCK))
-    spread = lambda df, own, other, count, others: (
-        df.withColumn(own, F.pmod(F.xxhash64("vec_id", F.lit(own)), F.lit(count)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
-    )
-    asked = queries.distinct().withColumn("which", F.xxhash64("vec"))
-    left = spread(asked, "qb", "db", query_blocks, data_blocks).select("qb", "db", "vec_id", "which", "vec")
-    right = spread(rows, "db", "qb", data_blocks, query_blocks).select("qb", "db", "vec_id", "vec")
+    plain = whole_vectors(vectors, scale, id_col, vector_col)
+    n = plain.count()
+    centres = pivots(plain, max(1, min(CELLS, -(-n // DATA_BLOCK))))
+    rows = written(in_cells(plain, centres))
+    queries = rows.where(is_query).distinct().withColumn("which", F.xxhash64("vec"))
+    data_cells, query_cells = Cells(rows, centres, DATA_BLOCK), Cells(queries, centres, QUERY_BLOCK)
+    met = first_pairs(query_cells, data_cells, k)
+    first = written(_searched(queries, rows, met, query_cells, data_cells, k))
+    # The least kth score of a query cell; none if one of its queries has no k rows yet.
+    kth = first.where(F.col("rank") == k).groupBy("width", "cell").agg(F.count("*").alias("n"), F.min("score").alias("least")).collect()
+    bar = {}
+    for r in kth:
+        key = r["width"], r["cell"]
+        if r["n"] == query_cells.size[key] and r["least"] > -_MOST:  # a score beyond a long says nothing below
+            bar[key] = r["least"] - abs(r["least"]) * 1e-9
+    rest = _searched(queries, rows, other_pairs(query_cells, data_cells, met, bar), query_cells, data_cells, k)
+    score = F.when(F.col("beyond").isNull(), F.col("score")).alias("score")
+    return _best(first.unionByName(rest), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id", "which").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _searched(queries: DataFrame, rows: DataFrame, pairs: dict, query_cells: Cells, data_cells: Cells, k: int) -> DataFrame:
+    """The k best of every query among the rows of the cells that its cell is paired with: width, cell, query_id, which, vec_id, score, beyond, rank."""
+    back: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for q, cells in pairs.items():
+        for x in cells:
+            back.setdefault(x, []).append(q)
+    key = ["width", "qc", "qb", "xc", "xb"]
+    left = shared_out(queries, pairs, data_cells, query_cells, "q").select(
+        "width", F.col("cell").alias("qc"), F.col("block").alias("qb"), F.col("partner.cell").alias("xc"), F.col("partner.block").alias("xb"), "vec_id", "which", "vec"
+    ).toDF(*key, "vec_id", "which", "vec")
+    right = shared_out(rows, back, query_cells, data_cells, "x").select(
+        "width", F.col("partner.cell").alias("qc"), F.col("partner.block").alias("qb"), F.col("cell").alias("xc"), F.col("block").alias("xb"), "vec_id", "vec"
+    ).toDF(*key, "vec_id", "vec")
 
     def met(a, b):
         import pyarrow as pa
 
-        found: dict[str, list] = {"query_id": [], "which": [], "vec_id": [], "score": [], "beyond": []}
-        pick = lambda t: (t.column("vec_id").to_numpy(), t.column("vec").to_pylist())
-        (qi, qv), (xi, xv) = pick(a), pick(b)
-        which = a.column("which").to_numpy()
-
-        def keep(rows: np.ndarray, best: np.ndarray, names: np.ndarray) -> None:
-            row, place = np.nonzero(names != np.iinfo(np.int64).max)
-            found["query_id"] += qi[rows][row].tolist()
-            found["which"] += which[rows][row].tolist()
-            found["vec_id"] += names[row, place].tolist()
-            for score in best[row, place].tolist():
-                score = int(score)
-                found["score"].append(max(-_MOST, min(_MOST, score)))
-                found["beyond"].append(None if abs(score) < _MOST else f"{score + _SHIFT:0{_DIGITS}x}")
-
-        for width in {len(v) for v in qv}:
-            q_at, x_at = (np.array([i for i, v in enumerate(vs) if len(v) == width], dtype=np.int64) for vs in (qv, xv))
-            if not len(q_at) or not len(x_at):
-                continue
-            q, x = np.array([qv[i] for i in q_at]), np.array([xv[i] for i in x_at])
+        kinds = {"width": pa.int32(), "cell": pa.int32(), "query_id": pa.int64(), "which": pa.int64(), "vec_id": pa.int64(), "score": pa.int64(), "beyond": pa.string()}
+        found: dict[str, list] = {name: [] for name in kinds}
+        if a.num_rows and b.num_rows:
+            (qi, q), (xi, x) = ((t.column("vec_id").to_numpy(), np.array(t.column("vec").to_pylist())) for t in (a, b))
+            which = a.column("which").to_numpy()
+
+            def keep(rows: np.ndarray, best: np.ndarray, names: np.ndarray) -> None:
+                at = np.flatnonzero(rows)
+                row, place = np.nonzero(names != np.iinfo(np.int64).max)
+                found["query_id"] += qi[at][row].tolist()
+                found["which"] += which[at][row].tolist()
+                found["vec_id"] += names[row, place].tolist()
+                for score in best[row, place].tolist():
+                    score = int(score)
+                    found["score"].append(max(-_MOST, min(_MOST, score)))
+                    found["beyond"].append(None if abs(score) < _MOST else f"{score + _SHIFT:0{_DIGITS}x}")
+
             # Rows that are small enough for exact products of doubles, on both sides, and the rest.
-            limit = np.floor(np.sqrt(2.0**53 / max(width, 1)))
+            limit = np.floor(np.sqrt(2.0**53 / q.shape[1]))
             plain_q, plain_x = np.abs(q).max(axis=1) < limit, np.abs(x).max(axis=1) < limit
             if plain_q.any() and plain_x.any():
-                keep(q_at[plain_q], *dual_tree(q[plain_q], qi[q_at[plain_q]], x[plain_x], xi[x_at[plain_x]], k))
+                keep(plain_q, *dual_tree(q[plain_q], qi[plain_q], x[plain_x], xi[plain_x], k))
             for some_q, some_x in ((plain_q, ~plain_x), (~plain_q, np.ones(len(x), dtype=bool))):
                 if some_q.any() and some_x.any():
-                    keep(q_at[some_q], *_by_integers(q[some_q], qi[q_at[some_q]], x[some_x], xi[x_at[some_x]], k))
-        kinds = {"query_id": pa.int64(), "which": pa.int64(), "vec_id": pa.int64(), "score": pa.int64(), "beyond": pa.string()}
+                    keep(some_q, *_by_integers(q[some_q], qi[some_q], x[some_x], xi[some_x], k))
+            found["width"] = [q.shape[1]] * len(found["score"])
+            found["cell"] = [a.column("qc")[0].as_py()] * len(found["score"])
         return pa.table({c: pa.array(v, kinds[c]) for c, v in found.items()})
 
-    schema = "query_id long, which long, vec_id long, score long, beyond string"
-    pairs = left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInArrow(met, schema)
-    order = Window.partitionBy("query_id", "which").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
-    score = F.when(F.col("beyond").isNull(), F.col("score")).alias("score")
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score)
+    schema = "width int, cell int, query_id long, which long, vec_id long, score long, beyond string"
+    return _best(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(met, schema), k)
 
 
 def _by_integers(q: np.ndarray, query_ids: np.ndarray, x: np.ndarray, data_ids: np.ndarray, k: int):

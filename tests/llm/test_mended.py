@@ -163,6 +163,33 @@ def test_top_k_against_all_pairs(spark, kind):
     assert covertree.top_k(df.where("false"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.05, 1.0, 30.0])
+def test_top_k_over_many_cells(spark, monkeypatch, spread):
+    """Clusters in small cells: the same lists as over all pairs, and cells that are not worth it are not sent."""
+    monkeypatch.setattr(covertree, "DATA_BLOCK", 40)
+    monkeypatch.setattr(covertree, "QUERY_BLOCK", 10)
+    monkeypatch.setattr(covertree, "LEAF", 8)
+    draw = np.random.default_rng(5)
+    middles = draw.normal(size=(12, 8)) * 10
+    rows = [(i, [float(np.float32(c)) for c in middles[i % 12] + spread * draw.normal(size=8)]) for i in range(700)]
+    rows += [(i, [1.0, 2.0]) for i in range(700, 730)] + [(800, [1e20] + [0.0] * 7), (820, [-1e20] + [1.0] * 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    seen, planned = [], covertree.other_pairs
+
+    def counted(queries, data, met, bar):
+        pairs = planned(queries, data, met, bar)
+        every = sum(m * n for q, m in queries.size.items() for x, n in data.size.items() if q[0] == x[0])
+        seen.append(sum(queries.size[q] * data.size[x] for some in (pairs, met) for q, cells in some.items() for x in cells) / every)
+        return pairs
+
+    monkeypatch.setattr(covertree, "other_pairs", counted)
+    got = lists_of(covertree.top_k(df, F.col("vec_id") % 20 == 0, k=6))
+    rows = [(i, [float(np.float32(c)) for c in v]) for i, v in rows]
+    want = [(q, n, i, s) for q, best in brute_top(rows, 6, lambda i: i % 20 == 0) for n, (i, s) in enumerate(best, 1)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert seen[0] <= 1 and (spread > 0.1 or seen[0] < 0.35)
+
+
 def test_top_k_of_repeated_ids(spark):
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [2.0, 1.0]), (1, [1.0, 3.0]), (2, [5.0, 5.0])]
     found = covertree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 0, k=2)
