@@ -99,5 +99,7 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return decided.where(condition).select("text_sha256", "chars", "id").toDF(*aside)
 
     single = keyed.join(narrow("not stays or rows > 1"), same, "left_anti").select(*columns)
+    if decided.where("stays and rows > 1").isEmpty():  # no row is repeated with its id: the texts are read once
+        return single
     repeated = keyed.join(narrow("stays and rows > 1"), same, "left_semi").dropDuplicates([names[0]]).select(*columns)
     return single.unionByName(repeated)
