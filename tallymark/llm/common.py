@@ -21,9 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(":"):
         spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{known}".rstrip(":")
+    hand_out_few(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that Spark hands to a Python worker at a time. Texts are long: ten thousand, Spark's own number, are tens of MB,
+#: which are held by the executor and several times by the worker.
+ROWS_AT_A_TIME = 1000
+
+
+def hand_out_few(spark: SparkSession) -> None:
+    """Let workers get texts in batches of ``ROWS_AT_A_TIME``, unless the session asks for another number than Spark's own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(ROWS_AT_A_TIME))
+
+
 def work_folder(spark: SparkSession) -> str:
     """A new folder below the one that all executors share."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import Words, bytes_of, chunks, mixed, text_of
+from tallymark.llm.common import Words, bytes_of, chunks, hand_out_few, mixed, text_of
 
 #: Documents, chosen by the hash of their text, that the scorer is trained on.
 SAMPLE = 4000
@@ -213,6 +213,7 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Scor
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, junk_from: float = JUNK_FROM) -> DataFrame:
     """One row per row: doc_id, row (all columns), score (1: fine, 0: junk), kept."""
+    hand_out_few(docs.sparkSession)
     scorer = train(docs, text_col, sample)
     rows = docs.select(
         F.col(id_col).alias("doc_id"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text_of(text_col).alias("text")
