@@ -1,16 +1,16 @@
 """Readers of the control files that steer a run.
 
-Control files are written by people or once per table, so one file is read as
-one record: that keeps every line's place in its file, which decides between
-repeated entries and orders the columns of a type map. Logs grow with every
-run and are read as splittable lines.
+Lists and configurations are written by people, so one file is read as one
+record: that keeps every line's place in its file, which decides between
+repeated entries. Type maps grow with the columns of a table, and logs with
+every run; both are read as splittable lines, and those of a type map are numbered.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions.text import separated, strip
@@ -28,16 +28,28 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def _numbered_lines(spark: SparkSession, paths: str) -> DataFrame:
+    """``path, ordinal, value, first``: the lines of files as splittable rows, each with its file's first line; an empty file has none."""
+    lines = spark.read.text(paths, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.regexp_replace("value", r"\r$", "").alias("value"),
+    )
+    # Within a file rows are ordered by split, and in a split by the row id. The sort of a file spills.
+    in_file = Window.partitionBy("path").orderBy("block", "row")
+    ordinal = F.row_number().over(in_file) - 1
+    return lines.select("path", ordinal.alias("ordinal"), "value", F.first("value").over(in_file).alias("first"))
+
+
 def read_type_map(spark: SparkSession, root: str) -> DataFrame:
     """All type maps below ``root``, one file per table at ``<db>/<schema>/<table>.csv`` (or a folder of that name with one).
 
     Columns are found by their header, in any order. Ordinal 0 stands for the
     file itself, with no column names, so a map with a header only is told
-    apart from a missing one.
+    apart from a missing one. A map may have any number of columns: its lines
+    are read as rows, and no row holds more of it than the header.
     """
-    files = spark.read.text(f"{root}/*/*/*.csv", wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.split("value", r"\r?\n").alias("lines")
-    )
 
     def cells(line):
         return F.transform(separated(line, "|"), strip)
@@ -49,9 +61,10 @@ def read_type_map(spark: SparkSession, root: str) -> DataFrame:
     place = r"/([^/]+)/([^/]+)/([^/]+)\.csv(?:/[^/]+)?$"
     names = zip(TYPE_MAP_HEADER, ["gp_column", "gp_type", "ext_column", "ext_type"])
     return (
-        files.select("path", cells(F.get("lines", F.lit(0))).alias("header"), F.posexplode("lines").alias("ordinal", "line"))
-        .where((F.col("ordinal") == 0) | (strip(F.col("line")) != ""))
-        .withColumn("cells", cells(F.col("line")))
+        _numbered_lines(spark, f"{root}/*/*/*.csv")
+        .where((F.col("ordinal") == 0) | (strip(F.col("value")) != ""))
+        .withColumn("cells", cells(F.col("value")))
+        .withColumn("header", cells(F.col("first")))
         .select(
             *[F.url_decode(F.regexp_extract("path", place, i)).alias(c) for i, c in enumerate(["db", "schema", "table"], 1)],
             "ordinal",
