@@ -14,7 +14,7 @@ from checks.tables import (
 from tallymark.functions import rules, text, types
 from tallymark.operators import compare, content, control, lines
 from tallymark.operators.profile import Metric, all_profiles, extremes, filtered, profile_family, profile_table, sums
-from tallymark.sinks.export import append_log, shared_folder, write_content, write_lines
+from tallymark.sinks.export import append_log, shared_folder, write_content, write_lines, write_unsorted
 from tallymark.sources import control as control_files
 from tallymark.sources import tables as table_files
 
@@ -566,6 +566,7 @@ def incremental_ingest(spark, sf_dir):
     folder = shared_folder(spark)
     landing, target = f"{folder}/landing", f"{folder}/target"
     copy = as_text_copy(source(spark, sf_dir, "lineitem"))
+    write_unsorted(spark)
     copy.withColumn("flag", F.col("l_returnflag")).write.partitionBy("flag").parquet(landing)
     found = table_files.table_files(spark, landing)
     before = found.where(F.col("directory").endswith("flag=A"))

@@ -16,7 +16,7 @@ from tallymark.plans.export import export_profiles
 from tallymark.plans.ingest import current_copies, ingest_changed, read_manifest
 from tallymark.plans.latest import refresh_success
 from tallymark.plans.reconcile import reconcile
-from tallymark.sinks.export import append_log, read_log, replace_log, shared_folder, write_line_files, write_lines
+from tallymark.sinks.export import append_log, read_log, replace_log, shared_folder, write_line_files, write_lines, write_unsorted
 from tallymark.sources.aggregates import SPARK, profile_at_source, quoted
 from tallymark.sources.control import (
     SUCCESS_LOG_HEADER, TYPE_MAP_HEADER, read_line_files, read_result_lines, read_success_log, read_type_map, rejected_log_rows,
@@ -183,6 +183,7 @@ def _reconciled(spark: SparkSession, sf_dir: str):
     damaged = copy.where(~lost).withColumn(
         "o_totalprice", F.when(changed, (F.col("o_totalprice").cast("decimal(18,2)") * 2).cast("string")).otherwise(F.col("o_totalprice"))
     )
+    write_unsorted(spark)
     damaged.write.partitionBy("year").parquet(f"{folder}/copy/orders")
     as_text_copy(source(spark, sf_dir, "customer")).write.parquet(f"{folder}/copy/customer")
 
@@ -388,6 +389,7 @@ def incremental_second_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
     landing, root, manifest = f"{folder}/landing", f"{folder}/copies", f"{folder}/manifest"
     lineitem = source(spark, sf_dir, "lineitem")
+    write_unsorted(spark)
     as_text_copy(lineitem).write.partitionBy("l_returnflag").parquet(landing)
     flags = sorted(r[0] for r in lineitem.select("l_returnflag").distinct().collect())
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.operators.control import TABLE_KEY
-from tallymark.sinks.export import append_log
+from tallymark.sinks.export import append_log, write_unsorted
 from tallymark.sources.tables import copy_shape, files_below, parquet_copy
 
 MANIFEST = "db string, schema string, table string, directory string, modified timestamp, copy string, run string, ended timestamp"
@@ -100,6 +100,7 @@ def _free(shape: tuple) -> str:
 
 def _copy_together(spark: SparkSession, members: Sequence[tuple], column: str, folder: str) -> None:
     """Copies of tables with the same columns, in one job, each to the folder named by its number."""
+    write_unsorted(spark)
     named = [parquet_copy(spark, directory).withColumn(column, F.lit(number)) for number, _, directory, _ in members]
     reduce(DataFrame.unionByName, named).write.partitionBy(column).parquet(folder)
 

@@ -24,6 +24,21 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+#: Folders of a partitioned write that a task keeps open at a time.
+FOLDERS_AT_ONCE = 8
+
+
+def write_unsorted(spark: SparkSession) -> None:
+    """Let tasks write to some folders side by side, unless the session asks for another number of them than Spark's own.
+
+    Else Spark sorts all rows of a task by folder before it writes the first. A task
+    that meets more folders sorts only what is left.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    if spark.conf.get(name) == "0":
+        spark.conf.set(name, str(FOLDERS_AT_ONCE))
+
+
 def write_lines(
     lines: DataFrame, path: str, run_date: date | str, gzip: bool = False, line_sep: str = "\n"
 ) -> None:

@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.sinks.export import write_unsorted
+
 
 def jdbc_options(
     url: str,
@@ -91,7 +93,8 @@ def parquet_family(
     if all(last == table for last, table in names.items()):
         return family.withColumn(column, directory)
     named = spark.createDataFrame(list(names.items()), ["last directory", column])
-    return family.withColumn("last directory", directory).join(named, "last directory", "left").drop("last directory")
+    # A row for each path that was given; shuffled, all rows of a partition would meet in one task.
+    return family.withColumn("last directory", directory).join(F.broadcast(named), "last directory", "left").drop("last directory")
 
 
 # --- incremental ingest ------------------------------------------------------
@@ -147,7 +150,8 @@ def ingest_family(spark: SparkSession, sources: Mapping[str, str], target: str,
     """Copy the given physical partitions of a table in one job.
 
     Each lands in a folder of its own below ``target``, replacing what is
-    there; partitions not given stay as they are.
+    there; partitions not given stay as they are. Rows are neither shuffled nor sorted.
     """
+    write_unsorted(spark)
     writer = parquet_family(spark, sources, column).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(target)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallymark.operators import control, lines
 from tallymark.operators.content import content_rows
 from tallymark.operators.profile import Metric, profile_family
-from tallymark.sinks.export import append_log, write_content, write_lines
+from tallymark.sinks.export import FOLDERS_AT_ONCE, append_log, write_content, write_lines
 from tallymark.sources import control as files
 from tallymark.sources import tables
 
@@ -137,6 +137,26 @@ def test_families_and_ingest(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/single").count() == 1
 
 
+def test_a_family_is_ingested_without_shuffle_or_sort(spark, tmp_path):
+    """All rows of a partition met in one task, to find its name, and were sorted there."""
+    for part in range(FOLDERS_AT_ONCE + 2):
+        spark.range(part, 40, 1, 4).select(F.col("id").cast("string").alias("a")).write.parquet(f"{tmp_path}/in/t_{part}")
+    paths = {f"t_1_prt_{p}": f"{tmp_path}/in/t_{p}" for p in range(FOLDERS_AT_ONCE + 2)}
+    plan = tables.parquet_family(spark, paths)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    spark.conf.unset(name)
+    for writers in (None, "2"):
+        if writers:
+            spark.conf.set(name, writers)
+        target = f"{tmp_path}/out{writers}"
+        tables.ingest_family(spark, paths, target)
+        assert spark.conf.get(name) == (writers or str(FOLDERS_AT_ONCE))
+        found = spark.read.parquet(target).groupBy("table").agg(F.count("*"), F.sum(F.col("a").cast("int"))).collect()
+        assert {tuple(r) for r in found} == {(f"t_1_prt_{p}", 40 - p, sum(range(p, 40))) for p in range(FOLDERS_AT_ONCE + 2)}
+    spark.conf.unset(name)
+
+
 def test_jdbc_options():
     assert tables.jdbc_options("jdbc:x", table="s.t", where="none") == {
         "url": "jdbc:x", "fetchsize": "10000", "query": "SELECT * FROM s.t"
