@@ -4,7 +4,8 @@ Rows and queries go to cells, by the nearest of some pivots, which come from a b
 sample; a cell is a centre with the greatest distance of its rows. Each query cell
 first meets the data cell that its centre likes best, which gives every query a
 kth score. Then it meets the cells whose bound (below) is not under the least of
-these scores; the vectors of other cells are not sent to it. Cells are dealt into
+these scores; the vectors of other cells are not sent to it, and of the rows it
+meets only those not under a query's own kth score are looked at further. Cells are dealt into
 blocks of bounded size, and a pair of blocks meets in one task. There both sides are
 indexed by a cover tree: a node is a centre with the greatest distance of its points, and its
 children are a net of its points at a smaller radius. A pair of a query node
@@ -40,6 +41,8 @@ CELLS, SAMPLE = 256, 2048
 LEAF = 256
 # Scores from here on are ordered by their text, in which all have the same number of hex digits.
 _MOST, _SHIFT, _DIGITS = 2**63 - 1, 1 << 2200, 552
+#: Found rows that a worker holds before it keeps only the best, and the id of an empty place.
+HELD, NOBODY = 1 << 20, np.iinfo(np.int64).max
 NET = 24
 SHRINK = 1.4
 
@@ -55,27 +58,31 @@ class Node:
 
 def cover_tree(x: np.ndarray) -> Node:
     """The tree of all rows of ``x``; equal rows end up in one leaf of radius 0."""
-    root = Node(x, np.arange(len(x)), x.mean(axis=0))
+    root, squares = Node(x, np.arange(len(x)), x.mean(axis=0)), (x * x).sum(axis=1)
     todo = [root]
     while todo:
         node = todo.pop()
         if len(node.points) <= LEAF or node.radius == 0:
             continue
-        own = x[node.points]
+        own, size = x[node.points], squares[node.points]
+
+        def distances(i, own=own, size=size):
+            return np.maximum(size - 2 * (own @ own[i]) + size[i], 0)
+
         # A net by farthest points, until all are within the next radius or the net is full.
-        nearest = ((own - own[0]) ** 2).sum(axis=1)
+        nearest = distances(0)
         member = np.zeros(len(own), dtype=np.int64)
         centres = [own[0]]
         while len(centres) < NET and nearest.max() > (node.radius / SHRINK) ** 2:
-            far = own[int(nearest.argmax())]
-            distance = ((own - far) ** 2).sum(axis=1)
+            far = int(nearest.argmax())
+            distance = distances(far)
             closer = distance < nearest
             nearest, member = np.where(closer, distance, nearest), np.where(closer, len(centres), member)
-            centres.append(far)
+            centres.append(own[far])
         if len(centres) == 1:
-            far = own[int(nearest.argmax())]
-            member = (((own - far) ** 2).sum(axis=1) < nearest).astype(np.int64)
-            centres.append(far)
+            far = int(nearest.argmax())
+            member = (distances(far) < nearest).astype(np.int64)
+            centres.append(own[far])
         for k, centre in enumerate(centres):
             points = node.points[member == k]
             if len(points):
@@ -86,29 +93,43 @@ def cover_tree(x: np.ndarray) -> Node:
     return root
 
 
-def dual_tree(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_ids: np.ndarray, k: int):
-    """Scores and ids of the k best rows of ``data`` for each query; empty places have id -1."""
-    best = np.full((len(queries), k), -np.inf)
-    names = np.full((len(queries), k), np.iinfo(np.int64).max)
+def dual_tree(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_ids: np.ndarray, k: int, floor: np.ndarray | None = None):
+    """Scores and ids of the k best rows of ``data`` for each query; empty places have id ``NOBODY``.
+
+    ``floor``: a score that k rows elsewhere reach, for each query; rows below are not wanted.
+    """
+    # The k best scores so far, the least of them first, and all that reached them: query, score and id.
+    best = np.repeat((np.full(len(queries), -np.inf) if floor is None else floor)[:, None], k, axis=1)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    held = 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The k best of each query among those found, ties to smaller ids, and their places."""
+        row, score, name = (np.concatenate(x) for x in zip(*found, strict=True))
+        at = np.flatnonzero(score >= best[row, 0])
+        at = at[np.lexsort((name[at], -score[at], row[at]))]
+        row, score, name = row[at], score[at], name[at]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        first = place < k
+        return row[first], score[first], name[first], place[first]
 
     def compare(q: np.ndarray, x: np.ndarray) -> None:
+        nonlocal held
         scores = queries[q] @ data[x].T
         scores[query_ids[q][:, None] == data_ids[x][None]] = -np.inf
-        rows = np.flatnonzero((scores >= best[q, -1][:, None]).any(axis=1))
+        rows = np.flatnonzero(scores.max(axis=1) >= best[q, 0])
         if not len(rows):
             return
         q, scores = q[rows], scores[rows]
-        if scores.shape[1] > k:  # all that could be among the k best, ties included, stay
-            bar = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-            width = int((scores >= bar[:, None]).sum(axis=1).max())
-            order = np.lexsort((np.broadcast_to(data_ids[x], scores.shape), -scores), axis=1)[:, :width]
-        else:
-            order = np.broadcast_to(np.arange(scores.shape[1]), scores.shape)
-        all_scores = np.concatenate([best[q], np.take_along_axis(scores, order, axis=1)], axis=1)
-        all_names = np.concatenate([names[q], data_ids[x][order]], axis=1)
-        all_names[np.isneginf(all_scores)] = np.iinfo(np.int64).max
-        first = np.lexsort((all_names, -all_scores), axis=1)[:, :k]
-        best[q], names[q] = np.take_along_axis(all_scores, first, axis=1), np.take_along_axis(all_names, first, axis=1)
+        top = scores if scores.shape[1] <= k else np.partition(scores, scores.shape[1] - k, axis=1)[:, -k:]
+        all_scores = np.concatenate([best[q], top], axis=1)
+        best[q] = np.partition(all_scores, all_scores.shape[1] - k, axis=1)[:, -k:]
+        row, column = np.nonzero((scores >= best[q, 0][:, None]) & (scores > -np.inf))
+        found.append((q[row], scores[row, column], data_ids[x[column]]))
+        held += len(row)
+        if held > HELD:  # many rows of one score
+            found[:] = [merged()[:3]]
+            held = len(found[0][0])
 
     def bound(a: Node, b: Node) -> float:
         return float(a.centre @ b.centre) + a.norm * b.radius + b.norm * a.radius + a.radius * b.radius
@@ -117,7 +138,7 @@ def dual_tree(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data
     stack = [(bound(*roots), *roots)]
     while stack:
         most, a, b = stack.pop()
-        if most * (1 + 1e-9) + 1e-6 < best[a.points, -1].min():
+        if most * (1 + 1e-9) + 1e-6 < best[a.points, 0].min():
             continue
         if not a.children and not b.children:
             compare(a.points, b.points)
@@ -125,7 +146,11 @@ def dual_tree(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data
             stack += sorted(((bound(a, c), a, c) for c in b.children), key=lambda s: s[0])
         else:
             stack += sorted(((bound(c, b), c, b) for c in a.children), key=lambda s: s[0])
-    return best, names
+    scores, names = np.full((len(queries), k), -np.inf), np.full((len(queries), k), NOBODY)
+    if found:
+        row, score, name, place = merged()
+        scores[row, place], names[row, place] = score, name
+    return scores, names
 
 
 def whole_vectors(vectors: DataFrame, scale: int = 64, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -138,6 +163,14 @@ def whole_vectors(vectors: DataFrame, scale: int = 64, id_col: str = "vec_id", v
     return rows.where(finite).select("vec_id", whole.alias("vec"))
 
 
+def _array(column, width: int) -> np.ndarray:
+    """An Arrow column of vectors of one length as an array of rows."""
+    import pyarrow as pa
+
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
 def pivots(rows: DataFrame, cells: int) -> dict[int, np.ndarray]:
     """Centres of cells by length of vectors: the farthest from each other of a bounded sample."""
     sample = rows.orderBy(F.xxhash64("vec_id", "vec"), "vec_id").select("vec").limit(SAMPLE).collect()
@@ -158,21 +191,19 @@ def in_cells(rows: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
 
     def batches(stream):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for batch in stream:
-            vectors = batch.column("vec").to_pylist()
-            widths = np.array([len(v) for v in vectors], dtype=np.int32)
+            vectors = batch.column("vec")
+            widths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False).astype(np.int32)
             cell, distance = np.full(len(vectors), -1, dtype=np.int32), np.full(len(vectors), np.inf)
             for width in set(widths.tolist()) & centres.keys():
                 at = np.flatnonzero(widths == width)
-                x, c = np.array([vectors[i] for i in at]), centres[width]
+                x, c = _array(vectors.take(pa.array(at)), width), centres[width]
                 with np.errstate(over="ignore", invalid="ignore"):
-                    for low in range(0, len(at), 256):
-                        part = x[low : low + 256]
-                        squares = ((part[:, None, :] - c[None]) ** 2).sum(axis=2)
-                        best = squares.argmin(axis=1)
-                        cell[at[low : low + 256]] = best
-                        distance[at[low : low + 256]] = np.sqrt(squares[np.arange(len(part)), best]) * (1 + 1e-9)
+                    best = ((c * c).sum(axis=1) - 2 * (x @ c.T)).argmin(axis=1)
+                    cell[at] = best
+                    distance[at] = np.sqrt(((x - c[best]) ** 2).sum(axis=1)) * (1 + 1e-9)
             columns = [*batch.columns, pa.array(widths), pa.array(cell), pa.array(distance)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "width", "cell", "distance"])
 
@@ -243,7 +274,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
     n = plain.count()
     centres = pivots(plain, max(1, min(CELLS, -(-n // DATA_BLOCK))))
     rows = written(in_cells(plain, centres))
-    queries = rows.where(is_query).distinct().withColumn("which", F.xxhash64("vec"))
+    queries = rows.where(is_query).distinct().withColumn("which", F.xxhash64("vec")).withColumn("floor", F.lit(None).cast("double"))
     data_cells, query_cells = Cells(rows, centres, DATA_BLOCK), Cells(queries, centres, QUERY_BLOCK)
     met = first_pairs(query_cells, data_cells, k)
     first = written(_searched(queries, rows, met, query_cells, data_cells, k))
@@ -254,6 +285,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id
         key = r["width"], r["cell"]
         if r["n"] == query_cells.size[key] and r["least"] > -_MOST:  # a score beyond a long says nothing below
             bar[key] = r["least"] - abs(r["least"]) * 1e-9
+    # What a query has found already; a score beyond 2^53 is no exact double.
+    reached = first.where((F.col("rank") == k) & (F.abs("score") < 2**53)).select(F.col("query_id").alias("vec_id"), "which", F.col("score").cast("double").alias("floor"))
+    queries = queries.drop("floor").join(reached, ["vec_id", "which"], "left")
     rest = _searched(queries, rows, other_pairs(query_cells, data_cells, met, bar), query_cells, data_cells, k)
     score = F.when(F.col("beyond").isNull(), F.col("score")).alias("score")
     return _best(first.unionByName(rest), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score)
@@ -272,8 +306,8 @@ def _searched(queries: DataFrame, rows: DataFrame, pairs: dict, query_cells: Cel
             back.setdefault(x, []).append(q)
     key = ["width", "qc", "qb", "xc", "xb"]
     left = shared_out(queries, pairs, data_cells, query_cells, "q").select(
-        "width", F.col("cell").alias("qc"), F.col("block").alias("qb"), F.col("partner.cell").alias("xc"), F.col("partner.block").alias("xb"), "vec_id", "which", "vec"
-    ).toDF(*key, "vec_id", "which", "vec")
+        "width", F.col("cell").alias("qc"), F.col("block").alias("qb"), F.col("partner.cell").alias("xc"), F.col("partner.block").alias("xb"), "vec_id", "which", "floor", "vec"
+    ).toDF(*key, "vec_id", "which", "floor", "vec")
     right = shared_out(rows, back, query_cells, data_cells, "x").select(
         "width", F.col("partner.cell").alias("qc"), F.col("partner.block").alias("qb"), F.col("cell").alias("xc"), F.col("block").alias("xb"), "vec_id", "vec"
     ).toDF(*key, "vec_id", "vec")
@@ -284,15 +318,20 @@ def _searched(queries: DataFrame, rows: DataFrame, pairs: dict, query_cells: Cel
         kinds = {"width": pa.int32(), "cell": pa.int32(), "query_id": pa.int64(), "which": pa.int64(), "vec_id": pa.int64(), "score": pa.int64(), "beyond": pa.string()}
         found: dict[str, list] = {name: [] for name in kinds}
         if a.num_rows and b.num_rows:
-            (qi, q), (xi, x) = ((t.column("vec_id").to_numpy(), np.array(t.column("vec").to_pylist())) for t in (a, b))
-            which = a.column("which").to_numpy()
+            width = a.column("width")[0].as_py()
+            (qi, q), (xi, x) = ((t.column("vec_id").to_numpy(), _array(t.column("vec"), width)) for t in (a, b))
+            which, floor = a.column("which").to_numpy(), a.column("floor").fill_null(-np.inf).to_numpy()
 
             def keep(rows: np.ndarray, best: np.ndarray, names: np.ndarray) -> None:
                 at = np.flatnonzero(rows)
-                row, place = np.nonzero(names != np.iinfo(np.int64).max)
+                row, place = np.nonzero(names != NOBODY)
                 found["query_id"] += qi[at][row].tolist()
                 found["which"] += which[at][row].tolist()
                 found["vec_id"] += names[row, place].tolist()
+                if best.dtype == np.float64:  # below 2^53
+                    found["score"] += best[row, place].astype(np.int64).tolist()
+                    found["beyond"] += [None] * len(row)
+                    return
                 for score in best[row, place].tolist():
                     score = int(score)
                     found["score"].append(max(-_MOST, min(_MOST, score)))
@@ -302,7 +341,7 @@ def _searched(queries: DataFrame, rows: DataFrame, pairs: dict, query_cells: Cel
             limit = np.floor(np.sqrt(2.0**53 / q.shape[1]))
             plain_q, plain_x = np.abs(q).max(axis=1) < limit, np.abs(x).max(axis=1) < limit
             if plain_q.any() and plain_x.any():
-                keep(plain_q, *dual_tree(q[plain_q], qi[plain_q], x[plain_x], xi[plain_x], k))
+                keep(plain_q, *dual_tree(q[plain_q], qi[plain_q], x[plain_x], xi[plain_x], k, floor[plain_q]))
             for some_q, some_x in ((plain_q, ~plain_x), (~plain_q, np.ones(len(x), dtype=bool))):
                 if some_q.any() and some_x.any():
                     keep(some_q, *_by_integers(q[some_q], qi[some_q], x[some_x], xi[some_x], k))
@@ -317,7 +356,7 @@ def _searched(queries: DataFrame, rows: DataFrame, pairs: dict, query_cells: Cel
 def _by_integers(q: np.ndarray, query_ids: np.ndarray, x: np.ndarray, data_ids: np.ndarray, k: int):
     """As dual_tree, for components whose products need more than 53 bits."""
     left, right = [[int(c) for c in v] for v in q], [[int(c) for c in v] for v in x]
-    best, names = np.full((len(q), k), 0, dtype=object), np.full((len(q), k), np.iinfo(np.int64).max)
+    best, names = np.full((len(q), k), 0, dtype=object), np.full((len(q), k), NOBODY)
     for i, a in enumerate(left):
         scores = sorted((-sum(map(int.__mul__, a, b)), int(n)) for b, n in zip(right, data_ids, strict=True) if n != query_ids[i])[:k]
         for j, (s, n) in enumerate(scores):

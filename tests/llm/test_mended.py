@@ -194,3 +194,22 @@ def test_top_k_of_repeated_ids(spark):
     rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [2.0, 1.0]), (1, [1.0, 3.0]), (2, [5.0, 5.0])]
     found = covertree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 0, k=2)
     assert sorted((r.rank, r.vec_id, r.score) for r in found.collect()) == sorted([(1, 2, 20480), (2, 1, 8192), (1, 2, 20480), (2, 1, 12288)])
+
+
+def test_a_query_looks_only_at_rows_that_reach_its_kth_score(monkeypatch):
+    """Every block gave each query k rows, sorted, whatever it had found before."""
+    rng = np.random.default_rng(3)
+    x = np.floor(rng.normal(0, 20, (3000, 16)))
+    x[1000:1400] = x[7]
+    q, names = x[:60], rng.permutation(3000)
+    scores = q @ x.T
+    scores[np.arange(60)[:, None] == np.arange(3000)[None]] = -np.inf
+    want = [sorted(zip(-s, names, strict=True))[:20] for s in scores]
+    floor = np.array([-w[9][0] for w in want])  # ten rows elsewhere could be better than those from the tenth on
+    for held in (1 << 20, 500):
+        monkeypatch.setattr(covertree, "HELD", held)
+        got, ids = covertree.dual_tree(q, names[:60], x, names, 20)
+        assert [list(zip(-g, i, strict=True)) for g, i in zip(got, ids, strict=True)] == want
+        got, ids = covertree.dual_tree(q, names[:60], x, names, 20, floor)
+        for w, f, g, i in zip(want, floor, got, ids, strict=True):
+            assert [(-s, n) for s, n in zip(g, i, strict=True) if n != covertree.NOBODY] == [p for p in w if -p[0] >= f]
