@@ -10,7 +10,9 @@ How it is spread: a worker counts its distinct pairs of context and token, as
 hashes; one shuffle sums them into one row per pair (never per occurrence). Each
 sweep is one pass over these rows: tables are summed by token and by context
 over all rows, both sums are joined to the pairs, and all pairs are seated again
-and written. The sampled rows are the model, and it grows with the corpus. To
+and written. A pair that was met once sits at one table in every sample, so only
+the others are joined, seated and written; it counts in the sums, which are taken
+of all pairs once. The sampled rows are the model, and it grows with the corpus. To
 score, texts are dealt into blocks of about ``BLOCK_BYTES``; a block asks for its
 distinct tokens, contexts and pairs by one join, and the answers to just these
 are brought back to the block's texts. The driver holds only sums over all rows.
@@ -28,6 +30,7 @@ they are there.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -177,9 +180,9 @@ def _seeds(key: np.ndarray, sweep: int) -> np.ndarray:
 class Parent:
     """The unigram restaurant for one sample of the pairs' tables: word, customers, dishes and above (tables), and their sums."""
 
-    def __init__(self, pairs: DataFrame, tables: str, above: float | None, sweep: int):
-        """``above``: tables of the unigram restaurant after the sweep before; one for each word if None."""
-        dishes = written(pairs.groupBy("word").agg(F.sum("customers").alias("customers"), F.sum(tables).alias("dishes")))
+    def __init__(self, words: DataFrame, pairs: DataFrame, tables: str, above: float | None, sweep: int):
+        """``words``, ``pairs``: as in `Model`. ``above``: tables of the unigram restaurant after the sweep before; one for each word if None."""
+        dishes = written(with_extra(words, pairs, "word", tables).select("word", "customers", F.col(tables).alias("dishes")))
         seen = dishes.agg(F.count("*").alias("v"), F.sum("customers").alias("n"), F.sum("dishes").alias("d")).first()
         self.v, self.n = seen["v"], seen["n"] or 0
         self.total = (seen["d"] or 0) + PARENT_STRENGTH
@@ -205,20 +208,40 @@ class Parent:
         return (F.col("dishes") - F.lit(PARENT_DISCOUNT) * F.col("above") + F.lit(float(self.unseen))) / F.lit(float(self.total))
 
 
-def sampled(counts: DataFrame) -> tuple[DataFrame, list[Parent]]:
+class Model(NamedTuple):
+    """What is learned: ``words`` and ``contexts`` (customers and pairs), the tables of the pairs met more than once in
+    every kept sample, the keys of those met once, and the unigram restaurant of each sample."""
+
+    words: DataFrame
+    contexts: DataFrame
+    pairs: DataFrame
+    once: DataFrame
+    parents: list[Parent]
+
+
+def with_extra(sums: DataFrame, pairs: DataFrame, key: str, *tables: str) -> DataFrame:
+    """Sums with the tables of all their pairs: one each, and what those met more than once have beyond it."""
+    extra = pairs.groupBy(key).agg(*(F.sum(F.col(t) - 1).alias(t) for t in tables))
+    total = ((F.col("pairs") + F.coalesce(t, F.lit(0).cast("long"))).alias(t) for t in tables)
+    return sums.join(extra, key, "left").select(key, "customers", *total)
+
+
+def sampled(counts: DataFrame) -> Model:
     """The pairs with their tables in every kept sample, and the unigram restaurant of each."""
-    pairs = counts.select("*", *(F.lit(1).cast("long").alias(t) for t in _TABLES))
+    of_all = [F.sum("customers").alias("customers"), F.count("*").alias("pairs")]
+    words, contexts = (written(counts.groupBy(key).agg(*of_all)) for key in ("word", "context"))
+    pairs = counts.where("customers > 1").select("*", *(F.lit(1).cast("long").alias(t) for t in _TABLES))
     names = ["context", "word", "customers", *_TABLES]
     schema = ", ".join(f"{c} long" for c in names)
     last, above, parents = _TABLES[-1], None, []
     for sweep in range(SWEEPS + 1):
-        parent = Parent(pairs, last, above, sweep)
+        parent = Parent(words, pairs, last, above, sweep)
         above = parent.above
         parents.append(parent)
         if sweep == SWEEPS:
             break
         # Written, so that Spark can split what a very common context or word has in the joins.
-        seats = written(pairs.groupBy("context").agg(F.sum(last).alias("seats")))
+        seats = written(with_extra(contexts, pairs, "context", last).select("context", F.col(last).alias("seats")))
 
         def batches(stream, sweep=sweep):
             import pyarrow as pa
@@ -233,17 +256,18 @@ def sampled(counts: DataFrame) -> tuple[DataFrame, list[Parent]]:
 
         served = pairs.join(parent.words.select("word", parent.probability().alias("parent")), "word").join(seats, "context")
         pairs = written(served.mapInArrow(batches, schema))
-    return pairs, parents[-SAMPLES:]
+    return Model(words, contexts, pairs, counts.where("customers = 1"), parents[-SAMPLES:])
 
 
-def answers(pairs: DataFrame, parents: list[Parent]) -> DataFrame:
+def answers(model: Model) -> DataFrame:
     """key, n and a value by sample: what the model knows of each token (count, parent's probability), context
     (customers, share that goes to the parent) and pair (customers less discounts)."""
-    words = parents[-1].words.select("word", "customers")
-    for value, parent in zip(_VALUES, parents, strict=True):
+    words = model.parents[-1].words.select("word", "customers")
+    for value, parent in zip(_VALUES, model.parents, strict=True):
         words = words.join(parent.words.select("word", parent.probability().alias(value)), "word")
-    back = lambda t: (F.lit(STRENGTH) + F.lit(DISCOUNT) * F.sum(t)) / (F.lit(STRENGTH) + F.sum("customers"))
-    contexts = pairs.groupBy("context").agg(F.sum("customers").alias("n"), *(back(t).alias(a) for t, a in zip(_TABLES, _VALUES, strict=True)))
+    back = lambda t: (F.lit(STRENGTH) + F.lit(DISCOUNT) * F.col(t)) / (F.lit(STRENGTH) + F.col("customers"))
+    contexts = with_extra(model.contexts, model.pairs, "context", *_TABLES)
+    contexts = contexts.select("context", F.col("customers").alias("n"), *(back(t).alias(a) for t, a in zip(_TABLES, _VALUES, strict=True)))
     names = ["key", "n", *_VALUES]
     schema = "key long, n long, " + ", ".join(f"{a} double" for a in _VALUES)
 
@@ -257,6 +281,7 @@ def answers(pairs: DataFrame, parents: list[Parent]) -> DataFrame:
             key = _pair_key(_column(batch, "context").view(np.uint64), _column(batch, "word").view(np.uint64))
             yield from _batches(names, [key, customers, *(customers - DISCOUNT * _column(batch, t) for t in _TABLES)])
 
+    pairs = model.pairs.unionByName(model.once.select("*", *(F.lit(1).cast("long").alias(t) for t in _TABLES)))
     return words.toDF(*names).unionAll(contexts.mapInArrow(of_contexts, schema)).unionAll(pairs.mapInArrow(of_pairs, schema))
 
 
@@ -282,11 +307,12 @@ def score(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).alias("doc_id"), may_learn.alias("learn"), text_of(text_col).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // BLOCK_BYTES))
-    pairs, parents = sampled(written(counted(rows)))
+    model = sampled(written(counted(rows)))
+    parents = model.parents
     n, v = parents[-1].n, parents[-1].v
     nothing = np.array([p.unseen / p.total for p in parents])
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition("block")
-    replies = asked(dealt).join(answers(pairs, parents), "key").select("block", "key", "n", *_VALUES)
+    replies = asked(dealt).join(answers(model), "key").select("block", "key", "n", *_VALUES)
 
     def scored(left, right):
         import pyarrow as pa

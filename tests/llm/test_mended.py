@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.llm import covertree, html_content, hyperminhash, toxicity
+from tallymark.llm import covertree, hpylm, html_content, hyperminhash, toxicity
 from tallymark.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -213,3 +213,24 @@ def test_a_query_looks_only_at_rows_that_reach_its_kth_score(monkeypatch):
         got, ids = covertree.dual_tree(q, names[:60], x, names, 20, floor)
         for w, f, g, i in zip(want, floor, got, ids, strict=True):
             assert [(-s, n) for s, n in zip(g, i, strict=True) if n != covertree.NOBODY] == [p for p in w if -p[0] >= f]
+
+
+def test_pairs_met_once_take_no_part_in_sweeps(spark):
+    """All pairs were joined, seated and written in every sweep; 8 of 10 million were met once and sit at one table."""
+    rng = np.random.default_rng(5)
+    n = np.minimum(rng.zipf(1.5, 600), 500)
+    rows = [(int(c), int(w), int(m)) for c, w, m in zip(rng.integers(0, 20, 600), range(600), n, strict=True)]
+    rows = [(c, w % 40, m) for c, w, m in rows]
+    counts = spark.createDataFrame(rows, "context long, word long, customers long").groupBy("context", "word").agg(F.sum("customers").alias("customers"))
+    counts = hpylm.written(counts)
+    model = hpylm.sampled(counts)
+    seated = {(r.context, r.word): r for r in model.pairs.collect()}
+    every = {(r.context, r.word): r.customers for r in counts.collect()}
+    assert seated and {p for p, m in every.items() if m > 1} == seated.keys()
+    assert {(r.context, r.word) for r in model.once.collect()} == every.keys() - seated.keys() != set()
+    assert all(1 <= r[t] <= r.customers for r in seated.values() for t in hpylm._TABLES)
+    for key, sums, at in (("word", model.words, 1), ("context", model.contexts, 0)):
+        for r in hpylm.with_extra(sums, model.pairs, key, *hpylm._TABLES).collect():
+            own = [p for p in every if p[at] == r[key]]
+            assert r.customers == sum(every[p] for p in own)
+            assert [r[t] for t in hpylm._TABLES] == [sum(seated[p][t] if p in seated else 1 for p in own) for t in hpylm._TABLES]
